@@ -5,16 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, secrets
 from .common import table
 
 
+def _span_text(spans, where=None):
+    """kind:start:end of the spans, comma-joined."""
+    chosen = F.filter(spans, where) if where else spans
+    return F.concat_ws(",", F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE_RULES]
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(_span_text(spans, lambda s: s["kind"].isin(base)), 256).alias("base_sha256"),
+        _span_text(spans).alias("spans"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secrets": op2_secrets,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
