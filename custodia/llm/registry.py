@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, secrets
+from . import exact_dedup, packing, secrets, sentencepiece
 from .common import table
 
 
@@ -20,21 +20,43 @@ def _span_text(spans, where=None):
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.BASE_RULES]
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     spans = F.col("spans")
     return found.select(
         "doc_id",
-        *(F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base),
+        *map(count, base),
         F.sha2(_span_text(spans, lambda s: s["kind"].isin(base)), 256).alias("base_sha256"),
         _span_text(spans).alias("spans"),
     )
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), keep_ids=False)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepiece.encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+    return encoded.withColumn("ids_crc32", sentencepiece.checksum("ids")).drop("ids")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
+    "op4_packing": op4_packing,
+    "op6_sentencepiece": op6_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
