@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, secrets, sentencepiece
+from . import exact_dedup, packing, secrets, sentencepiece, substring_dedup
 from .common import table
 
 
@@ -53,11 +53,16 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.mark_repeats(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op4_packing": op4_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
