@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, secrets, sentencepiece, substring_dedup
+from . import exact_dedup, packing, secrets, sentencepiece, substring_dedup, suffix_dedup
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.withColumn("ids_crc32", sentencepiece.checksum("ids")).drop("ids")
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.mark_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op4_packing": op4_packing,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_suffix_array": op7_suffix_array,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }

@@ -81,9 +81,7 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_B
         h, doc = hashes[sent], ids[row[first[sent]]]
         parts = deal(_shard_of(h, n_shards), n_shards)
         block = key[0].as_py()
-        known, rank = np.unique(doc, return_inverse=True)  # few ids, many entries
-        rank = rank.astype(np.uint16 if len(known) < 65536 else np.uint32)
-        blobs = [pack_entries(h[at], known, rank[at]) for _, at in parts]
+        blobs = [pack_entries(h[at], doc[at]) for _, at in parts]
         return pa.table({"shard": pa.array([s for s, _ in parts], pa.int32()), "block": pa.array([block] * len(parts), pa.int32()), "entries": pa.array(blobs, pa.binary())})
 
     def decide(group):
@@ -124,15 +122,16 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_B
     return base.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(finish, RESULT)
 
 
-def pack_entries(hashes: np.ndarray, known: np.ndarray, rank: np.ndarray) -> bytes:
-    """Sorted hashes as differences, and documents as ranks in a list of their ids."""
-    head = pack(known)
-    return len(head).to_bytes(4, "little") + head + pack(_deltas(hashes), rank)
+def pack_entries(hashes: np.ndarray, doc: np.ndarray) -> bytes:
+    """Sorted hashes as differences, and documents as ranks in the list of their ids."""
+    known, rank = np.unique(doc, return_inverse=True)
+    head = pack(np.diff(known, prepend=0))
+    return len(head).to_bytes(4, "little") + head + pack(_deltas(hashes), rank.astype(np.uint16 if len(known) < 65536 else np.uint32))
 
 
 def unpack_entries(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     n = int.from_bytes(blob[:4], "little")
-    known = unpack(blob[4 : 4 + n])[0]
+    known = np.cumsum(unpack(blob[4 : 4 + n])[0])
     deltas, rank = unpack(blob[4 + n :])
     return np.cumsum(deltas), known[rank]
 

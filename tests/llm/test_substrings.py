@@ -1,9 +1,10 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 
-from custodia.llm import substring_dedup
+from custodia.llm import substring_dedup, suffix_dedup
 
 from .util import docs, noisy
 
@@ -47,3 +48,48 @@ def test_spans_are_maximal(spark):
     d = docs(spark, [passage, "a b " + passage + " c " + passage])
     spans = {r.doc_id: [tuple(s) for s in r.spans] for r in substring_dedup.mark_repeats(d).collect()}
     assert spans == {0: [], 1: [(2, 72), (73, 143)]}
+
+
+def brute_bytes(texts, ids, width):
+    raw = [(t or "").encode() for t in texts]
+    order = sorted(range(len(raw)), key=lambda i: (ids[i], raw[i]))
+    seen, out = set(), []
+    for i in order:
+        t, gone = raw[i], set()
+        for k in range(len(t) - width + 1):
+            s = t[k : k + width]
+            if s in seen:
+                gone.update(range(k, k + width))
+            seen.add(s)
+        kept = bytes(c for k, c in enumerate(t) if k not in gone)
+        runs = sum(1 for k in gone if k - 1 not in gone)
+        out.append((ids[i], len(t), len(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("width", "kmer", "block", "shard", "batch", "hot"), [
+    (100, 24, 4 << 20, 4 << 20, 2048, 4096), (100, 24, 3000, 4000, 7, 3), (20, 6, 2000, 3000, 16, 2), (8, 4, 1500, 2000, 5, 4096),
+])
+def test_bytes_match_brute_force(spark, width, kmer, block, shard, batch, hot):
+    texts = noisy(13, 70) + ["ab" * 300, "\x00" * 150, "\x00" * 130 + "a"]
+    marked = suffix_dedup.mark_repeats(docs(spark, texts, odd=True), width, kmer, block, shard, batch, hot)
+    got = sorted(map(tuple, suffix_dedup.digest(marked).collect()))
+    assert got == brute_bytes(texts, list(range(len(texts))), width)
+
+
+def test_bytes_repeated_ids_and_empty(spark):
+    text = "".join(f"w{i} " for i in range(60))
+    d = docs(spark, [text, text, "x", None], ids=[4, 4, None, None])
+    got = sorted((str(r.doc_id), r.n_removed) for r in suffix_dedup.digest(suffix_dedup.mark_repeats(d)).collect())
+    assert got == [("4", 0), ("4", len(text)), ("None", 0), ("None", 0)]
+    assert suffix_dedup.mark_repeats(docs(spark, [])).count() == 0
+
+
+def test_levels_grow_geometrically():
+    r = np.random.default_rng(3)
+    family = suffix_dedup.Family()
+    for i in range(40):
+        family.add(r.integers(97, 123, (50, 12)).astype(np.uint8).view("S12").reshape(-1), np.arange(50 * i, 50 * i + 50))
+    sizes = [len(s) for s, _ in family.levels]
+    assert sizes == sorted(sizes, reverse=True) and len(sizes) <= 6
+    assert all((s[1:] > s[:-1]).all() for s, _ in family.levels)
