@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, secrets, sentencepiece, substring_dedup, suffix_dedup
+from . import exact_dedup, jaccard_join, packing, secrets, sentencepiece, substring_dedup, suffix_dedup
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.mark_repeats(table(spark, sf_dir, "documents")))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classify(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_copies(table(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_suffix_array": op7_suffix_array,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }

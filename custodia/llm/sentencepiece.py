@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty
 from .piece_model import CHUNK, SPACE, build, parse, spans_words
-from .tokens import CACHE
+from .tokens import CACHE, slices
 
 ENCODED = "doc_id long, ids binary, n_tokens long, n_chars long, n_decoded long, round_trip boolean, parity boolean"
 _WORKER: dict = {}
@@ -66,10 +66,13 @@ class Codec:
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, int, bool, bool]]:
         """(ids, decoded length, round trip, parity) of each text."""
+        return [done for a, b in slices(texts) for done in self._encode(texts[a:b])]
+
+    def _encode(self, texts: list[str]) -> list[tuple[bytes, int, bool, bool]]:
         if not self.by_chunk or any(SPACE in t for t in texts):
             if self.by_chunk:  # a marker in a text stands for a space, so those texts have other chunks
                 marked = [i for i, t in enumerate(texts) if SPACE in t]
-                out = self.encode([t if SPACE not in t else "" for t in texts])
+                out = self._encode([t if SPACE not in t else "" for t in texts])
                 for i, done in zip(marked, self._whole([texts[i] for i in marked])):
                     out[i] = done
                 return out

@@ -14,7 +14,7 @@ from collections.abc import Iterable
 
 import numpy as np
 
-CACHE = 400_000
+CACHE = 250_000
 _PLAIN = re.compile(r"\s\s|^\s|\s\Z")
 #: A space between two characters that are not white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -28,6 +28,18 @@ def pieces(text: str) -> list[str]:
     return text.split(" ")
 
 
+def slices(texts: list[str], most: int = 1 << 19) -> Iterable[tuple[int, int]]:
+    """Consecutive ranges of about ``most`` characters, so that the pieces in memory do not grow with a batch."""
+    a = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > most:
+            yield a, i
+            a, size = i, 0
+        size += len(t)
+    if a < len(texts):
+        yield a, len(texts)
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -43,7 +55,10 @@ class Encoder:
         for p, e in zip(new, self.tokenizer.encode_batch_fast([lead + p for p in new], add_special_tokens=False)):
             known[p] = np.array(e.ids, "<u4").tobytes()
 
-    def encode(self, texts: Iterable[str]) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [ids for a, b in slices(texts) for ids in self._encode(texts[a:b])]
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces(t) for t in texts]
         if len(self.rest) > CACHE:
             self.first.clear()
