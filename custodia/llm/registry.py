@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, packing, secrets, sentencepiece, substring_dedup, suffix_dedup
+from . import exact_dedup, jaccard_join, packing, secrets, sentencepiece, substring_dedup, suffix_dedup, vp_search
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vp_search.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
@@ -67,6 +71,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
+    "op3_ann": op3_ann,
     "op4_packing": op4_packing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_suffix_array": op7_suffix_array,
@@ -76,6 +81,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_ann": """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.e, c.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op9_exact_dedup": r"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,
