@@ -135,10 +135,11 @@ BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijection that spreads every bit of 64-bit values."""
     h = h ^ (h >> np.uint64(30))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    h = h ^ (h >> np.uint64(27))
-    h = h * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 _POWERS: dict[int, np.ndarray] = {}

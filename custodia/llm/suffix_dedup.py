@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, BYTE_CODE, blocks, deal, ids_of, mix, ordered, pack, prefix_hash, text_bytes, unpack, utf8
+from .common import BYTE_CODE, blocks, deal, ids_of, mix, ordered, pack, prefix_hash, text_bytes, unpack, utf8
 from .substring_dedup import pack_entries, unpack_entries
 
 #: Bytes of a repeated string, and of the k-mers that anchor it.
@@ -49,10 +49,15 @@ def anchors(raw: np.ndarray, offs: np.ndarray, width: int = WIDTH, kmer: int = K
     if n < width:
         z = np.zeros(0, np.int64)
         return z, z, z, z.astype(np.uint64), z.astype(np.uint64)
-    code = mix((sums[kmer:] - sums[:-kmer]) * inverse[: n - kmer + 1])
+    code = sums[kmer:] - sums[:-kmer]
+    code *= inverse[: n - kmer + 1]
+    code = mix(code)
     bits = np.uint64(max(1, int(n).bit_length()))
     at = np.arange(len(code), dtype=np.uint64)
-    low = (code >> bits) << bits | at
+    low = code >> bits
+    low <<= bits
+    low |= at
+    del at
     span, reach = width - kmer + 1, 1
     while reach * 2 <= span:  # minima over spans of 1, 2, 4, ...
         low = np.minimum(low[:-reach], low[reach:])
@@ -75,6 +80,8 @@ def anchors(raw: np.ndarray, offs: np.ndarray, width: int = WIDTH, kmer: int = K
 
 #: Input bytes for each shard, contexts in a batch of a shard, and contexts of one k-mer from which it is dealt by strings.
 SHARD_BYTES, BATCH, HOT = 4 << 20, 2048, 4096
+#: Bytes of a block; a task needs about 120 bytes of memory for each of them.
+BLOCK_BYTES = 3 << 19
 ENTRIES = "shard int, block int, entries binary"
 CODES = "block int, shard int, codes binary"
 RESULT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
