@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, packing, secrets, sentencepiece, substring_dedup, suffix_dedup, vp_search
+from . import exact_dedup, jaccard_join, packing, secrets, sentencepiece, substring_dedup, suffix_dedup, toxicity, vp_search
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentencepiece.encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return encoded.withColumn("ids_crc32", sentencepiece.checksum("ids")).drop("ids")
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secrets": op2_secrets,
     "op3_ann": op3_ann,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_suffix_array": op7_suffix_array,
     "op8_ngram_jaccard": op8_ngram_jaccard,
