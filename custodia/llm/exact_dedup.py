@@ -56,12 +56,8 @@ def group_copies(docs: DataFrame, hash_of=content_hash) -> DataFrame:
     )
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; one row for each distinct text."""
-    marks = group_copies(docs).where("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha")).dropDuplicates(["_sha"])
-    sha = F.sha2(normalised(text_or_empty()), 256)
-    return (
-        docs.join(marks, F.col("doc_id").eqNullSafe(F.col("_keep")) & (sha == F.col("_sha")), "left_semi")
-        .dropDuplicates(["doc_id"])
-        .select(*docs.columns)
-    )
+def drop_copies(docs: DataFrame, hash_of=content_hash) -> DataFrame:
+    """The rows that stay, with all their columns; one for each distinct text, even where rows repeat."""
+    norm = docs.select(F.struct(*docs.columns).alias("_row"), normalised(text_or_empty()).alias("_norm"))
+    rank = F.struct((-F.char_length(F.coalesce("_row.text", F.lit("")))).alias("c"), F.coalesce("_row.doc_id", F.lit((1 << 63) - 1)).alias("i"))
+    return norm.groupBy(hash_of(F.col("_norm")).alias("_h"), "_norm").agg(F.min_by("_row", rank).alias("_row")).select("_row.*")

@@ -28,10 +28,10 @@ def test_collisions_are_told_apart(spark):
 
 
 def test_drop_copies_keeps_columns_and_one_row_each(spark):
-    d = docs(spark, ["a", "a", "b", None, "", "b "], ids=[5, 5, 1, None, 9, 0], odd=True)
+    d = docs(spark, ["a", "a", "b", None, "", "b ", "c"], ids=[5, 5, 1, None, 9, 0, 5], odd=True)
     out = exact_dedup.drop_copies(d)
     assert out.columns == d.columns
-    assert sorted(str(r.doc_id) for r in out.collect()) == ["0", "5", "9"]
+    assert sorted(str(r.doc_id) for r in out.collect()) == ["0", "5", "5", "9"]
 
 
 def test_empty_tables(spark):
