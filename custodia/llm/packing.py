@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, text_or_empty
-from .tokens import encoder
+from .tokens import encoder, parts
 
 #: Longest sequence, and the id that ends every document.
 LENGTH, END_ID = 2048, 1
@@ -44,7 +44,7 @@ def tokenise(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END
     def run(batches):
         coder = encoder(path)
         seen = 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             coded = [b + end for b in coder.encode(batch.column("text").to_pylist())]
             rows = defaultdict(list)
             for doc, ids in zip(batch.column("doc_id").to_pylist(), coded):

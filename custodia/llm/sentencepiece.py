@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty
-from .piece_model import CHUNK, SPACE, build, parse, spans_words
-from .tokens import CACHE, slices
+from .piece_model import BYTE, CHUNK, SPACE, build, parse, spans_words
+from .tokens import CACHE, TOGETHER, parts, split_ids
 
 ENCODED = "doc_id long, ids binary, n_tokens long, n_chars long, n_decoded long, round_trip boolean, parity boolean"
 _WORKER: dict = {}
@@ -34,6 +34,7 @@ class Codec:
         self.whole = build(self.model)
         self.inner = build(self.model, prefix=False)
         m = self.model
+        self.bytes_of = np.array([1 if k == BYTE else len(p.replace(SPACE, " ").encode()) for p, _, k in m.pieces])
         self.by_chunk = not (m.remove_spaces or m.charsmap or spans_words(m)) and m.dummy_prefix
         self.reference = None
         if verify != "none":
@@ -53,26 +54,35 @@ class Codec:
             self.known.clear()
             self.odd.clear()
         new = [c for c in chunks if c not in self.known]
-        ids = [e.ids for e in self.inner.encode_batch_fast(new, add_special_tokens=False)]
+        whole = [c for c in new if c[-1] != " "]
+        groups = [whole[i : i + TOGETHER] for i in range(0, len(whole), TOGETHER)]
+        groups += [[c] for c in new if c[-1] == " "]  # spaces at the end of a text; nothing may follow them
+        joined = ["".join(g) for g in groups]
+        ids = [e.ids for e in self.inner.encode_batch_fast(joined, add_special_tokens=False)]
         decoded = self.inner.decode_batch(ids, skip_special_tokens=False) if new else []
-        # the reference puts one space before what it is given, but none before nothing: a lone space is the marker's piece
-        checks = self._check(new, ids, decoded, [c[1:] for c in new])
-        for c, i, d, ok in zip(new, ids, decoded, checks):
-            if c == " " and self.reference:
+        # the reference puts one space before what it is given
+        for g, i, ok in zip(groups, ids, self._check(joined, ids, decoded, [j[1:] for j in joined])):
+            blobs = split_ids(np.array(i, np.int64), self.bytes_of, [len(c.encode()) for c in g])
+            self.known.update(zip(g, blobs))
+            if not all(ok):
+                self._look_closer(g, blobs)
+
+    def _look_closer(self, chunks: list[str], blobs: list[bytes]) -> None:
+        """Which chunks of a group that failed a comparison fail it alone."""
+        ids = [np.frombuffer(b, "<u4").tolist() for b in blobs]
+        decoded = self.inner.decode_batch(ids, skip_special_tokens=False)
+        for c, i, d, ok in zip(chunks, ids, decoded, self._check(chunks, ids, decoded, [c[1:] for c in chunks])):
+            if c == " " and self.reference:  # the reference puts no space before nothing: a lone space is the marker's piece
                 ok = (ok[0], i == [self.reference.piece_to_id(SPACE)])
-            self.known[c] = np.array(i, "<u4").tobytes()
             if not all(ok):
                 self.odd[c] = (*ok, len(d) - len(c))
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, int, bool, bool]]:
         """(ids, decoded length, round trip, parity) of each text."""
-        return [done for a, b in slices(texts) for done in self._encode(texts[a:b])]
-
-    def _encode(self, texts: list[str]) -> list[tuple[bytes, int, bool, bool]]:
         if not self.by_chunk or any(SPACE in t for t in texts):
             if self.by_chunk:  # a marker in a text stands for a space, so those texts have other chunks
                 marked = [i for i, t in enumerate(texts) if SPACE in t]
-                out = self._encode([t if SPACE not in t else "" for t in texts])
+                out = self.encode([t if SPACE not in t else "" for t in texts])
                 for i, done in zip(marked, self._whole([texts[i] for i in marked])):
                     out[i] = done
                 return out
@@ -112,7 +122,7 @@ def encode(docs: DataFrame, path: str, verify: str = "all") -> DataFrame:
 
     def run(batches):
         c = codec(path, verify)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole)):
             texts = batch.column("text").to_pylist()
             done = c.encode(texts)
             yield pa.RecordBatch.from_arrays(

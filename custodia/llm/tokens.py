@@ -13,8 +13,12 @@ import re
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHE = 250_000
+CACHE = 600_000
+#: Pieces that are encoded as one text; their ids are told apart by their bytes.
+TOGETHER = 512
 _PLAIN = re.compile(r"\s\s|^\s|\s\Z")
 #: A space between two characters that are not white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -28,16 +32,20 @@ def pieces(text: str) -> list[str]:
     return text.split(" ")
 
 
-def slices(texts: list[str], most: int = 1 << 19) -> Iterable[tuple[int, int]]:
-    """Consecutive ranges of about ``most`` characters, so that the pieces in memory do not grow with a batch."""
-    a = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield a, i
-            a, size = i, 0
-        size += len(t)
-    if a < len(texts):
-        yield a, len(texts)
+def parts(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterable[pa.RecordBatch]:
+    """The batch in ranges of about ``most`` bytes of text, so that the pieces in memory do not grow with a batch."""
+    upto = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
+def split_ids(ids: np.ndarray, bytes_of: np.ndarray, sizes: list[int]) -> list[bytes]:
+    """Ids of texts that were encoded as one: a text ends where its bytes do."""
+    ends = np.searchsorted(np.cumsum(bytes_of[ids]), np.cumsum(sizes), side="left") + 1
+    raw, cuts = ids.astype("<u4").tobytes(), [0, *(4 * ends).tolist()]
+    return [raw[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 class Encoder:
@@ -47,27 +55,36 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # in a byte-level vocabulary a character stands for a byte
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())])
         self.first: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
 
-    def _learn(self, known: dict[str, bytes], wanted: set[str], lead: str) -> None:
-        new = [p for p in wanted if p not in known]
-        for p, e in zip(new, self.tokenizer.encode_batch_fast([lead + p for p in new], add_special_tokens=False)):
-            known[p] = np.array(e.ids, "<u4").tobytes()
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, heads: set[str], rest: set[str]) -> None:
+        heads = [p for p in heads if p not in self.first]
+        for p, ids in zip(heads, self._ids(heads)):
+            self.first[p] = ids.astype("<u4").tobytes()
+        rest = [p for p in rest if p not in self.rest]
+        odd = [p for p in rest if p[-1].isspace()]  # white space at the end of a text; nothing may follow it
+        for p, ids in zip(odd, self._ids([" " + p for p in odd])):
+            self.rest[p] = ids.astype("<u4").tobytes()
+        rest = [p for p in rest if not p[-1].isspace()]
+        groups = [rest[i : i + TOGETHER] for i in range(0, len(rest), TOGETHER)]
+        for g, ids in zip(groups, self._ids([" " + " ".join(g) for g in groups])):
+            self.rest.update(zip(g, split_ids(ids, self.bytes_of, [len(p.encode()) + 1 for p in g])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [ids for a, b in slices(texts) for ids in self._encode(texts[a:b])]
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
         cut = [pieces(t) for t in texts]
         if len(self.rest) > CACHE:
             self.first.clear()
             self.rest.clear()
-        heads, wanted = {c[0] for c in cut}, set()
+        wanted: set[str] = set()
         for c in cut:
             wanted.update(c[1:])
-        self._learn(self.first, heads, "")
-        self._learn(self.rest, wanted, " ")
+        self._learn({c[0] for c in cut}, wanted)
         rest, first = self.rest.__getitem__, self.first
         return [first[c[0]] + b"".join(map(rest, c[1:])) for c in cut]
 
