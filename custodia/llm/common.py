@@ -9,6 +9,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +79,15 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def parts(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterable[pa.RecordBatch]:
+    """The batch in ranges of about ``most`` bytes of text, so that what is made of them in memory does not grow with a batch."""
+    upto = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        if a < b:
+            yield batch.slice(a, b - a)
+
+
 def ordered(group: pa.Table) -> pa.Table:
     """Rows by doc_id, then text: the same order whenever the block is read again."""
     return group.sort_by([("doc_id", "ascending"), ("text", "ascending")])

@@ -28,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, blocks, deal, ids_of, materialise, mix, ordered, pack, text_bytes, text_or_empty, unpack, utf8, words
+from .common import blocks, deal, ids_of, materialise, mix, ordered, pack, parts, text_bytes, text_or_empty, unpack, utf8, words
 
 SIZE, PERCENT = 5, 80
 #: Cells of the sketch, and the parts in which it is added up.
 CELLS, PARTS = 1 << 20, 64
 #: Input bytes for each shard and place; members of a place that a frequent shingle's salt aims at; homes a list may have.
 SHARD_BYTES, PLACE, HOMES = 8 << 20, 4096, 32
+#: Bytes of a block.
+BLOCK_BYTES = 2 << 20
 _SALT = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -72,7 +74,7 @@ def sketch(docs: DataFrame, size: int = SIZE) -> np.ndarray:
 
     def count(batches):
         cells = np.zeros(CELLS, np.uint32)
-        for batch in batches:
+        for batch in (part for whole in batches for part in parts(whole, 1 << 20)):
             _, h, _ = shingles(pa.Table.from_batches([batch]), size)
             cells += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
         parts = np.split(cells, PARTS)

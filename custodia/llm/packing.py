@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, text_or_empty
-from .tokens import encoder, parts
+from .common import materialise, parts, text_or_empty
+from .tokens import encoder
 
 #: Longest sequence, and the id that ends every document.
 LENGTH, END_ID = 2048, 1

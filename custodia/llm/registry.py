@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, packing, secrets, sentencepiece, substring_dedup, suffix_dedup, toxicity, vp_search
+from . import exact_dedup, jaccard_join, packing, pii, secrets, sentencepiece, substring_dedup, suffix_dedup, toxicity, vp_search
 from .common import table
 
 
@@ -17,6 +17,21 @@ def _span_text(spans, where=None):
     return F.concat_ws(",", F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, pii.KINDS),
+        F.sha2(_span_text(spans, lambda s: s["kind"].isin(*pii.KINDS)), 256).alias("base_sha256"),
+        _span_text(spans).alias("spans"),
+    )
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.BASE_RULES]
@@ -74,6 +89,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
     "op3_ann": op3_ann,
     "op4_packing": op4_packing,

@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import parts, text_or_empty
 from .piece_model import BYTE, CHUNK, SPACE, build, parse, spans_words
-from .tokens import CACHE, TOGETHER, parts, split_ids
+from .tokens import CACHE, TOGETHER, split_ids
 
 ENCODED = "doc_id long, ids binary, n_tokens long, n_chars long, n_decoded long, round_trip boolean, parity boolean"
 _WORKER: dict = {}

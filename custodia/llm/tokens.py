@@ -10,11 +10,8 @@ starts anew, which costs time but changes nothing.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 
 CACHE = 600_000
 #: Pieces that are encoded as one text; their ids are told apart by their bytes.
@@ -32,15 +29,6 @@ def pieces(text: str) -> list[str]:
     return text.split(" ")
 
 
-def parts(batch: pa.RecordBatch, most: int = 1 << 19) -> Iterable[pa.RecordBatch]:
-    """The batch in ranges of about ``most`` bytes of text, so that the pieces in memory do not grow with a batch."""
-    upto = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)) // most
-    cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(cuts, cuts[1:]):
-        if a < b:
-            yield batch.slice(a, b - a)
-
-
 def split_ids(ids: np.ndarray, bytes_of: np.ndarray, sizes: list[int]) -> list[bytes]:
     """Ids of texts that were encoded as one: a text ends where its bytes do."""
     ends = np.searchsorted(np.cumsum(bytes_of[ids]), np.cumsum(sizes), side="left") + 1
