@@ -131,7 +131,7 @@ def _entry_rows(s: Sets, n_shards: int):
     """Positions of the entries that a block sends, by shard."""
     sent = s.prefix[s.valid[s.row[s.prefix]]]
     sent = sent[np.argsort(s.hash[sent], kind="stable")]
-    return [(shard, sent[at]) for shard, at in deal(place_of(s.hash[sent], n_shards).astype(np.int64), n_shards)]
+    return [(shard, sent[at]) for shard, at in deal(place_of(mix(s.hash[sent] + _SALT[2]), n_shards).astype(np.int64), n_shards)]
 
 
 def _blob(*arrays: np.ndarray) -> bytes:

@@ -89,6 +89,7 @@ UNIQUE, REPEAT, COMPARE, BY_STRING = 0, 1, 2, 3
 
 
 def _shard_of(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Anchors have small hashes, so callers mix them once more."""
     return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
@@ -109,7 +110,7 @@ class Block:
     def codes(self, told: dict[int, bytes], n_shards: int) -> np.ndarray:
         """The shards' answers, for each anchor that was sent."""
         out = np.zeros(len(self.sent), np.uint8)
-        for s, at in deal(_shard_of(self.kmer[self.sent], n_shards), n_shards):
+        for s, at in deal(_shard_of(mix(self.kmer[self.sent]), n_shards), n_shards):
             out[at] = unpack(told[s])[0]
         return out
 
@@ -188,7 +189,7 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_by
 
     def send(key, group):
         b = Block(ordered(group), width, kmer)
-        parts = deal(_shard_of(b.kmer[b.sent], n_entries), n_entries)
+        parts = deal(_shard_of(mix(b.kmer[b.sent]), n_entries), n_entries)
         blobs = []
         for _, at in parts:
             k, w, d = b.kmer[b.sent[at]], b.whole[b.sent[at]], b.doc[b.sent[at]]
