@@ -77,8 +77,7 @@ def sketch(docs: DataFrame, size: int = SIZE) -> np.ndarray:
         for batch in (part for whole in batches for part in parts(whole, 1 << 20)):
             _, h, _ = shingles(pa.Table.from_batches([batch]), size)
             cells += np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS).astype(np.uint32)
-        parts = np.split(cells, PARTS)
-        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([pack(p) for p in parts], pa.binary())], names=["part", "cells"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([pack(p) for p in np.split(cells, PARTS)], pa.binary())], names=["part", "cells"])
 
     def add(group):
         total = sum(unpack(b)[0].astype(np.uint64) for b in group["cells"].to_pylist())
