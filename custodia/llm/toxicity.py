@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from .common import materialise, text_or_empty
 
 MAX_TRAIN, MAX_VOCAB, MIN_DF, FOLDS = 20_000, 1 << 16, 8, 3
-STRENGTH, ITERATIONS, THRESHOLD = 5e-4, 60, 0.5
+STRENGTH, ITERATIONS, THRESHOLD = 5e-4, 25, 0.5
+#: Partitions of the sample: it is bounded, and every iteration is a job over them.
+TRAIN_PARTITIONS = 4
 WORD = re.compile(r"\w+")
 
 
@@ -69,7 +71,8 @@ def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], ma
 
     kinds = ", ".join(f"{y} double" for y in names)
     done = rows.mapInArrow(split, f"_id long, words array<string>, {kinds}")
-    return materialise(done.withColumn("fold", F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(folds)).cast("int")), "labelled")
+    fold = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(folds)).cast("int")
+    return materialise(done.withColumn("fold", fold).repartition(TRAIN_PARTITIONS, "_id"), "labelled")
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_train: int = MAX_TRAIN, max_vocab: int = MAX_VOCAB, min_df: int = MIN_DF, folds: int = FOLDS) -> Chain:
@@ -93,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_t
     chain = Chain(tuple(categories), vocab, np.zeros((n, len(vocab))), np.zeros((n, n)), np.zeros(n))
     p = [f"p{i}" for i in range(n)]
     for j in range(n):
-        data = rows.select("*", vector("words", *p[:j]).alias("features"))
+        data = rows.coalesce(TRAIN_PARTITIONS).select("*", vector("words", *p[:j]).alias("features"))
         counts = {r[0]: r[1] for r in data.groupBy(f"y{j}").count().collect()}
         share = counts.get(1.0, 0) / max(1, sum(counts.values()))
         model = LogisticRegression(labelCol=f"y{j}", regParam=STRENGTH, elasticNetParam=1.0, maxIter=ITERATIONS, standardization=False)
