@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import coverage, scalars
+from . import coverage, judging, reconciling, scalars
 
-_MODULES = (coverage, scalars)
+_MODULES = (coverage, scalars, reconciling, judging)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE_SQL = {k: s for m in _MODULES for k, s in m.ORACLE_SQL.items()}
