@@ -5,11 +5,12 @@ has its whole sequence as one. Documents link when their sets' Jaccard similarit
 
 1. A fixed-size sketch counts shingles over all documents. It only orders them, rare ones first: any
    order gives the same links, this one keeps frequent passages out of the lists that are shared.
-2. Sets that reach the similarity share a shingle among the first n - ceil(n * percent / 100) + 1 of each. Blocks
-   of documents send these, packed, to shards by shingle. A shard answers with places of search for documents that
-   share one with a different set: the homes of the list's members, or, where a list has many homes, a home
-   of the list itself. A home is a min-hash of the set; that of a frequent shingle is salted.
-3. Blocks send the sets of such documents to their places. There, every set is searched in an inverted index of
+2. Sets that reach the similarity share l shingles among the first n - ceil(n * percent / 100) + l of each, for any l; here
+   l grows with n, so a passage alone does not make a candidate. Blocks of documents send these prefixes, packed,
+   to shards by shingle. For a shingle of several different sets a shard answers with places of search: the homes of the
+   list's members, or, where a list has many homes, a home of the list itself. Of copies of one set only the first block
+   is answered. A home is a min-hash of the set; that of a frequent shingle is salted.
+3. Blocks send a set to a place if l of its shingles were answered with it. There, every set is searched in an inverted index of
    all: a query must meet T = ceil(n * percent / 100) shingles of a match; the short lists are merged, candidates are
    binary-probed in the long ones and kept while they can still reach T. A place returns a spanning forest of its links,
    never the pairs themselves.
@@ -31,6 +32,8 @@ from pyspark.sql import functions as F
 from .common import blocks, deal, ids_of, materialise, mix, ordered, pack, parts, text_bytes, text_or_empty, unpack, utf8, words
 
 SIZE, PERCENT = 5, 80
+#: A set's prefix grows by one shingle, and the number that must be shared too, for so many shingles.
+EXTRA = 10
 #: Cells of the sketch, and the parts in which it is added up.
 CELLS, PARTS = 1 << 20, 64
 #: Input bytes for each shard and place; members of a place that a frequent shingle's salt aims at; homes a list may have.
@@ -105,11 +108,14 @@ class Sets:
         rank = np.where(seen > 4 * noise + 32, np.log2(seen + 1.0), 0).astype(np.int8)
         ordering = np.lexsort((self.hash, rank, self.row))
         # of the sorted set, the first n - ceil(n * percent / 100) + 1
-        upto = self.n - (self.n * percent + 99) // 100 + 1
+        least = (self.n * percent + 99) // 100
+        upto = self.n - least + 1 + self.n // EXTRA
+        #: A match has at least ``least`` shingles, so its own l is at least this, and the smaller l of the two holds.
+        self.needed = 1 + least // EXTRA
         self.prefix = ordering[(np.arange(len(ordering)) - self.begin[self.row]) < upto[self.row]]  # rows are in order in both
         full = np.flatnonzero(self.n)
         self.one, self.two = np.zeros(n_rows, np.uint64), np.zeros(n_rows, np.uint64)
-        self.home = np.zeros(n_rows, np.int32)
+        self.home, self.leads = np.zeros(n_rows, np.int32), np.ones(n_rows, bool)
         if len(full):
             starts = self.begin[full]
             self.one[full] = mix(np.add.reduceat(mix(self.hash + _SALT[3]), starts) + self.n[full].astype(np.uint64))
@@ -118,6 +124,10 @@ class Sets:
             least = np.minimum.reduceat(by, starts)
             which = np.flatnonzero(by == np.repeat(least, self.n[full]))
             which = which[np.searchsorted(self.row[which], full)]
+            # of the rows of one set in this block, the first stands for all
+            known = np.where(self.valid, self.one, np.uint64(0))
+            self.leads = np.zeros(n_rows, bool)
+            self.leads[np.unique(known, return_index=True)[1]] = True
             salts = (1 + np.maximum(0, seen[which].astype(np.int64) - 2 * noise) // PLACE).astype(np.uint64)
             self.home[full] = place_of(mix(least + (self.one[full] % salts) * _SALT[6]), n_places)
 
@@ -128,7 +138,7 @@ def place_of(h: np.ndarray, n: int) -> np.ndarray:
 
 def _entry_rows(s: Sets, n_shards: int):
     """Positions of the entries that a block sends, by shard."""
-    sent = s.prefix[s.valid[s.row[s.prefix]]]
+    sent = s.prefix[(s.valid & s.leads)[s.row[s.prefix]]]
     sent = sent[np.argsort(s.hash[sent], kind="stable")]
     return [(shard, sent[at]) for shard, at in deal(place_of(mix(s.hash[sent] + _SALT[2]), n_shards).astype(np.int64), n_shards)]
 
@@ -207,7 +217,10 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
     def send(key, group):
         s = Sets(ordered(group), size, percent, cells.value, n_shards)
         parts = _entry_rows(s, n_shards)
-        blobs = [_blob(np.diff(s.hash[at], prepend=np.uint64(0)), s.one[s.row[at]], s.home[s.row[at]]) for _, at in parts]
+        blobs = []
+        for _, at in parts:  # what belongs to a row once for each row
+            rows, of = np.unique(s.row[at], return_inverse=True)
+            blobs.append(_blob(np.diff(s.hash[at], prepend=np.uint64(0)), of.astype(np.uint16 if len(rows) < 65536 else np.uint32), s.one[rows], s.home[rows]))
         return pa.table({"shard": pa.array([p for p, _ in parts], pa.int32()), "block": pa.array([key[0].as_py()] * len(parts), pa.int32()), "entries": pa.array(blobs, pa.binary())})
 
     def meet(group):
@@ -215,15 +228,15 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
         parts = [_unblob(b) for b in group["entries"].to_pylist()]
         took = np.cumsum([0, *(len(p[0]) for p in parts)])
         h = np.concatenate([np.cumsum(p[0]) for p in parts])
-        one, home = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
-        order = np.lexsort((home, one, h))
+        one, home = np.concatenate([p[2][p[1]] for p in parts]), np.concatenate([p[3][p[1]] for p in parts])
+        order = np.lexsort((one, h))  # stable: copies of a set by block
         h, one, home = h[order], one[order], home[order]
         new = np.ones(len(h), bool)
         new[1:] = h[1:] != h[:-1]
         other = new.copy()
         other[1:] |= one[1:] != one[:-1]
         of = np.cumsum(new) - 1
-        shared = (np.bincount(of, weights=other) > 1)[of]
+        shared = (np.bincount(of, weights=other) > 1)[of] & other
         at, place = [], []
         if shared.any():
             idx = np.flatnonzero(shared)
@@ -237,7 +250,7 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
             n = end - begin
             many = n > homes
             at.append(idx[many])
-            place.append(place_of(mix(h[idx[many]] + _SALT[1]), n_shards))
+            place.append(-1 - place_of(mix(h[idx[many]] + _SALT[1]), n_shards))  # any place may hold the match
             idx, begin, n = idx[~many], begin[~many], n[~many]
             flat = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
             who, where = np.repeat(idx, n), w[flat]
@@ -262,10 +275,12 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
             where.append(p)
         shard, blobs = [-1], [_blob(s.ids, s.valid.astype(np.uint8), s.n, s.one, s.two)]
         if rows:
-            pairs = np.unique(np.stack((np.concatenate(where).astype(np.int64), np.concatenate(rows))), axis=1)
-            # of the rows of one set in this block, the first stands for all
-            _, lead, same = np.unique(s.one, return_index=True, return_inverse=True)
-            pairs = np.unique(np.stack((pairs[0], lead[same[pairs[1]]])), axis=1)
+            row, place = np.concatenate(rows), np.concatenate(where).astype(np.int64)
+            wild = np.bincount(row[place < 0], minlength=len(s.n))  # shingles whose lists have a place of their own
+            pairs, count = np.unique(np.stack((place[place >= 0], row[place >= 0])), axis=1, return_counts=True)
+            pairs = pairs[:, count + wild[pairs[1]] >= s.needed[pairs[1]]]
+            alone = (place < 0) & (wild >= s.needed)[row]
+            pairs = np.unique(np.concatenate((pairs, np.stack((-1 - place[alone], row[alone]))), axis=1), axis=1)
             for p, at in deal(pairs[0], n_shards):
                 r = pairs[1][at]
                 n = s.n[r]
