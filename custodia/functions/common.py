@@ -17,3 +17,8 @@ def col(c: Column | str) -> Column:
 def nonempty(c: Column | str) -> Column:
     """NULL for NULL and for the empty string."""
     return F.nullif(col(c), F.lit(""))
+
+
+def casefold(c: Column | str) -> Column:
+    """Upper, then lower case, so that ß equals ss. The empty text keeps the optimizer from taking lower(upper(x)) for lower(x)."""
+    return F.lower(F.concat(F.upper(col(c)), F.lit("")))

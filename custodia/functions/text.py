@@ -8,12 +8,12 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .common import col, nonempty
+from .common import casefold, col, nonempty
 
 
 def norm_title(title: Column | str) -> Column:
     """White space collapsed, ends trimmed, case folded (upper, then lower, so that ß equals ss)."""
-    return F.lower(F.upper(F.trim(F.regexp_replace(col(title), r"(?U)\s+", " "))))
+    return casefold(F.trim(F.regexp_replace(col(title), r"(?U)\s+", " ")))
 
 
 def bump_version(version: Column | str, marker: str = "A") -> Column:

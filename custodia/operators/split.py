@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.common import casefold
 from ..functions.items import item_timestamp
 from ..functions.keys import parse_part
 
 
 def _order():
-    return [item_timestamp("name").isNull(), item_timestamp("name"), F.lower(F.upper("name")), F.col("name")]
+    return [item_timestamp("name").isNull(), item_timestamp("name"), casefold("name"), F.col("name")]
 
 
 def positions(files: DataFrame) -> DataFrame:

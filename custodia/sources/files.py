@@ -139,6 +139,15 @@ def hash_files(paths: DataFrame, piece: int = 1 << 16) -> DataFrame:
     return paths.select("site", "path").mapInArrow(run, "site string, path string, sha512 string, md5 string, error string")
 
 
+def _cp1252() -> tuple[str, str]:
+    """The characters in which ISO-8859-1, which Spark reads, and cp1252 differ."""
+    differ = {bytes([b]).decode("latin-1"): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    return "".join(k for k, v in differ.items() if v), "".join(differ.values())
+
+
+_CP1252 = _cp1252()
+
+
 def read_dirty_csv(spark: SparkSession, path: str) -> DataFrame:
     """A table that people saved: UTF-8 with or without a mark, else cp1252; ``;`` if the header has no comma. Of equal headers
     the last counts."""
@@ -147,14 +156,15 @@ def read_dirty_csv(spark: SparkSession, path: str) -> DataFrame:
         head, encoding = bytes(first).decode("utf-8-sig"), "UTF-8"
     except UnicodeDecodeError as e:
         cut = e.start >= len(first) - 3 and len(first) == 1 << 16  # a character cut at the end of the piece
-        head, encoding = bytes(first).decode("utf-8-sig" if cut else "cp1252", "ignore"), "UTF-8" if cut else "windows-1252"
+        head, encoding = bytes(first).decode("utf-8-sig" if cut else "cp1252", "ignore"), "UTF-8" if cut else "ISO-8859-1"
     line = head.split("\n", 1)[0]
     sep = ";" if ";" in line and "," not in line else ","
     names = [h.strip().strip('"') for h in line.strip().split(sep)]
     df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"')
     last = {n: i for i, n in enumerate(names)} if len(names) == len(df.columns) else {c: i for i, c in enumerate(df.columns)}
     safe = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
-    return safe.select(*(F.col(f"_{i}").alias(n.lstrip("﻿")) for n, i in last.items()))
+    fix = (lambda c: F.translate(c, *_CP1252)) if encoding == "ISO-8859-1" else (lambda c: c)
+    return safe.select(*(fix(F.col(f"_{i}")).alias(n.lstrip("﻿")) for n, i in last.items()))
 
 
 def choose_key_column(columns: list[str], override: str | None = None, names: tuple[str, ...] = ("site#", "site")) -> str:
