@@ -38,7 +38,10 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
+_DOTTED = re.compile(r"\.[0-9]+\.[0-9]")
+_TOKEN = re.compile(r"\S+")
+#: Not part of a term at its ends.
+EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~…«»„“”‘’¿¡"
 
 
 def luhn(digits: str) -> bool:
@@ -61,7 +64,7 @@ def entities(text: str) -> list[tuple[int, int, int]]:
             if start < m.start():
                 out.append((0, start, m.end()))
                 done = m.end()
-    if text.count(".") >= 3:
+    if _DOTTED.search(text):
         out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -80,12 +83,26 @@ def entity_key(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:{value.lower() if kind < 2 else ''.join(c for c in value if c.isdigit())}"
 
 
-def _positions(term: str) -> np.ndarray:
+def term_of(token: str) -> str:
+    return token.strip(EDGES).lower()
+
+
+def terms(text: str, a: int = 0, b: int | None = None):
+    """(start, end, term) of the words of text[a:b]."""
+    for m in _TOKEN.finditer(text, a, len(text) if b is None else b):
+        word = m[0].strip(EDGES)
+        if word:
+            start = m.start() + m[0].index(word)
+            yield start, start + len(word), word.lower()
+
+
+def _positions(term: str) -> list[int]:
     """Bits of a term in the filter."""
-    import hashlib
+    import xxhash
 
-    h = np.frombuffer(hashlib.blake2b(term.encode(), digest_size=16).digest(), np.uint64)
-    return (h[0] + np.arange(4, dtype=np.uint64) * h[1]) % np.uint64(FILTER_BITS)
+    h = xxhash.xxh3_128_intdigest(term.encode("utf-8", "surrogatepass"))
+    a, b = h & 0xFFFFFFFF, h >> 64 | 1
+    return [(a + i * b) % FILTER_BITS for i in range(4)]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -96,12 +113,11 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _near(text: str, spans: list[tuple[int, int, int]], reach: int):
     """(entity, term, surroundings) of the words near each mention."""
-    taken = sorted((s, e) for _, s, e in spans)
+    taken = [(s, e) for _, s, e in spans]
     for kind, start, end in spans:
-        left = [m for m in _WORD.finditer(text, max(0, start - 24 * reach), start)][-reach:]
-        right = [m for _, m in zip(range(reach), _WORD.finditer(text, end))]
-        ws = [m[0].lower() for m in left + right if not any(s < m.end() and m.start() < e for s, e in taken)]
-        yield entity_key(kind, text[start:end]), ws
+        left = list(terms(text, max(0, start - 24 * reach), start))[-reach:]
+        right = [t for _, t in zip(range(reach), terms(text, end))]
+        yield entity_key(kind, text[start:end]), [t for a, b, t in left + right if not any(s < b and a < e for s, e in taken)]
 
 
 def disclosing(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, remove_bits: float = REMOVE_BITS, generalise_bits: float = GENERALISE_BITS, gain: float = GAIN) -> DataFrame:
@@ -128,12 +144,14 @@ def disclosing(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, remo
     bits = _filter(wanted)
 
     def count(batches):
-        keep = bits.value
         for b in (part for whole in batches for part in parts(whole, 4 << 20)):
             c: Counter = Counter()
             for t in b.column("text").to_pylist():
-                c.update(m for m in _WORD.findall(t.lower()))
-            found = [(w, n) for w, n in c.items() if _may_hold(keep, w)] if keep is not None else []
+                c.update(t.split())
+            totals: Counter = Counter()
+            for token, n in c.items():
+                totals[term_of(token)] += n
+            found = [(t, n) for t, n in totals.items() if t and _may_hold(bits.value, t)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found)], names=["term", "n"])
 
@@ -144,8 +162,8 @@ def disclosing(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, remo
     scored = pairs.join(totals, "term").join(mentioned, "entity")
     left = -F.log2(F.least(F.col("near") / F.col("total"), F.lit(1.0)))
     gained = F.log2(F.lit(float(size)) / F.col("mentioned")) - left
-    terms = scored.select("term", left.alias("bits_left"), gained.alias("bits_gained")).where((F.col("bits_left") <= generalise_bits) & (F.col("bits_gained") >= gain))
-    least = terms.groupBy("term").agg(F.min("bits_left").alias("bits_left"), F.max("bits_gained").alias("bits_gained"))
+    close = scored.select("term", left.alias("bits_left"), gained.alias("bits_gained")).where((F.col("bits_left") <= generalise_bits) & (F.col("bits_gained") >= gain))
+    least = close.groupBy("term").agg(F.min("bits_left").alias("bits_left"), F.max("bits_gained").alias("bits_gained"))
     return least.select("term", F.when(F.col("bits_left") <= remove_bits, "remove").otherwise("generalise").alias("action"), "bits_left", "bits_gained")
 
 
@@ -154,19 +172,18 @@ def _filter(terms: DataFrame):
 
     def positions(batches):
         for b in batches:
-            at = np.concatenate([_positions(t) for t in b.column(0).to_pylist()] or [np.zeros(0, np.uint64)]).astype(np.int64)
+            at = np.array([p for t in b.column(0).to_pylist() for p in _positions(t)], np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(at // 64), pa.array(at % 64)], names=["cell", "bit"])
 
     rows = terms.mapInArrow(positions, "cell long, bit long").groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits")).collect()  # FILTER_BITS / 64 rows at most
     cells = np.zeros(FILTER_BITS // 64, np.int64)
     for r in rows:
         cells[r["cell"]] = r["bits"]
-    return terms.sparkSession.sparkContext.broadcast(cells if rows else None)
+    return terms.sparkSession.sparkContext.broadcast(cells.tobytes() if rows else b"")
 
 
-def _may_hold(cells: np.ndarray, term: str) -> bool:
-    at = _positions(term).astype(np.int64)
-    return bool(((cells[at // 64] >> (at % 64)) & 1).all())
+def _may_hold(bits: bytes, term: str) -> bool:
+    return bool(bits) and all(bits[p >> 3] >> (p & 7) & 1 for p in _positions(term))
 
 
 SPANS = "key string, doc_id long, spans array<struct<kind:string,start:long,end:long,term:string>>"
@@ -176,32 +193,36 @@ _SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end"
 def find(docs: DataFrame, **options) -> DataFrame:
     """doc_id, text, spans for every row: spans are (kind, start, end) by kind and start; kinds are the entities' and, of
     other terms, "generalise" and "remove"."""
-    terms = materialise(disclosing(docs, **options), "terms")
-    bits = _filter(terms.select("term"))
+    known_terms = materialise(disclosing(docs, **options), "terms")
+    bits = _filter(known_terms.select("term"))
     texts = _texts(docs)
 
     def scan(batches):
         keep, known = bits.value, {}
-        for b in batches:
+
+        def wanted(token):
+            if token not in known:
+                if len(known) > 200_000:
+                    known.clear()
+                known[token] = _may_hold(keep, term_of(token))
+            return known[token]
+
+        for b in (part for whole in batches for part in parts(whole, 4 << 20)):
             out = []
             for t in b.column("text").to_pylist():
                 found = entities(t)
                 spans = [{"kind": KINDS[k], "start": s, "end": e, "term": None} for k, s, e in found]
-                for m in _WORD.finditer(t) if keep is not None else ():
-                    w = m[0].lower()
-                    if w not in known:
-                        if len(known) > 200_000:
-                            known.clear()
-                        known[w] = _may_hold(keep, w)
-                    if known[w] and not any(s < m.end() and m.start() < e for _, s, e in found):
-                        spans.append({"kind": "term", "start": m.start(), "end": m.end(), "term": w})
+                if keep and any(map(wanted, set(t.split()))):
+                    for start, end, w in terms(t):
+                        if wanted(w) and not any(s < end and start < e for _, s, e in found):
+                            spans.append({"kind": "term", "start": start, "end": end, "term": w})
                 out.append(spans)
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("doc_id"), pa.array(out, _SPAN)], names=["key", "doc_id", "spans"])
 
     found = materialise(texts.select("key", "doc_id", "text").mapInArrow(scan, SPANS), "spans")
     base = F.filter("spans", lambda s: s["term"].isNull())
     maybe = found.select("key", F.explode("spans").alias("s")).where("s.term is not null").distinct()
-    real = maybe.join(terms, F.col("s.term") == F.col("term")).select("key", F.struct(F.col("action").alias("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.term").alias("term")).alias("s"))
+    real = maybe.join(known_terms, F.col("s.term") == F.col("term")).select("key", F.struct(F.col("action").alias("kind"), F.col("s.start").alias("start"), F.col("s.end").alias("end"), F.col("s.term").alias("term")).alias("s"))
     more = real.groupBy("key").agg(F.collect_list("s").alias("more"))
     rank = F.create_map(*(F.lit(x) for kv in enumerate((*KINDS, "generalise", "remove")) for x in reversed(kv)))
     by = lambda a, b: F.when(rank[a["kind"]] != rank[b["kind"]], rank[a["kind"]] - rank[b["kind"]]).otherwise((a["start"] - b["start"]).cast("int"))

@@ -61,7 +61,7 @@ def brute_terms(texts, reach, support, remove, general, gain):
     for t in texts:
         t = t or ""
         size += t.count(" ") + 1
-        totals.update(pii._WORD.findall(t.lower()))
+        totals.update(w for _, _, w in pii.terms(t))
         for e, ws in pii._near(t, brute(t), reach):
             for w, n in Counter(ws).items():
                 seen[e, w][tuple(ws)] = 1
@@ -86,7 +86,7 @@ def test_terms_and_spans_match_brute_force(spark):
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(d, **options).collect()}
     for i, t in enumerate(texts):
         base = brute(t or "")
-        more = [(want[m[0].lower()], m.start(), m.end()) for m in pii._WORD.finditer(t or "") if m[0].lower() in want and not any(s < m.end() and m.start() < e for _, s, e in base)]
+        more = [(want[w], a, b) for a, b, w in pii.terms(t or "") if w in want and not any(s < b and a < e for _, s, e in base)]
         every = [(pii.KINDS[k], s, e) for k, s, e in base] + sorted(more, key=lambda x: (x[0] != "generalise", x[1]))
         assert got[i] == every
     clean = {r.doc_id: r.text for r in pii.sanitise(d, **options).collect()}
