@@ -167,6 +167,8 @@ class Search:
         self.postings = member[order]
         _, self.of, counts = np.unique(tokens, return_inverse=True, return_counts=True)
         self.lists = np.append(0, np.cumsum(counts))
+        # every posting as one number, by list and member: a binary probe finds a member in any list
+        self.keys = np.repeat(np.arange(len(counts)), counts) * len(sizes) + self.postings
         self.root = np.arange(len(sizes))
 
     def matches(self, q: int) -> np.ndarray:
@@ -176,22 +178,26 @@ class Search:
         lists = self.of[self.begin[q] : self.begin[q] + n]
         length = self.lists[lists + 1] - self.lists[lists]
         lists = lists[np.argsort(length, kind="stable")]
-        short, long = lists[: n - t + 1], lists[n - t + 1 :]
+        # of the lists that a match shares, at most len(long) are long ones
+        cut = n - t + 1 + min(n // EXTRA, t - 1)
+        short, long = lists[:cut], lists[cut:]
         lo, size = self.lists[short], self.lists[short + 1] - self.lists[short]
         at = np.repeat(lo - np.cumsum(size) + size, size) + np.arange(size.sum())
-        found, count = np.unique(self.postings[at], return_counts=True)
-        m = self.sizes[found]
+        merged = np.bincount(self.postings[at], minlength=len(self.sizes))
+        found = np.flatnonzero(merged >= t - len(long))
+        count, m = merged[found], self.sizes[found]
         fits = (self.root[found] != self.root[q]) & (100 * np.minimum(m, n) >= self.percent * np.maximum(m, n))
         found, count = found[fits], count[fits]
-        for i, one in enumerate(long):
+        left = len(long)
+        for part in np.array_split(long, 4) if left else ():
             if not len(found):
                 return found
-            held = self.postings[self.lists[one] : self.lists[one + 1]]
-            at = np.searchsorted(held, found)
-            count = count + (held[np.minimum(at, len(held) - 1)] == found)
-            alive = count + len(long) - 1 - i >= t
-            if not alive.all():
-                found, count = found[alive], count[alive]
+            probe = (part[:, None] * len(self.sizes) + found).ravel()
+            hit = self.keys[np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)] == probe
+            count = count + hit.reshape(len(part), len(found)).sum(0)
+            left -= len(part)
+            alive = count + left >= t
+            found, count = found[alive], count[alive]
         m = self.sizes[found]
         return found[100 * count >= self.percent * (n + m - count)]
 
