@@ -101,7 +101,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 
+_RULES = ", ".join(
+    "('{}', {}, '{}', {}, {}, {})".format(r.kind, i, r.pattern.replace("'", "''"), r.group, r.at_least, r in secrets.BASE_RULES) for i, r in enumerate(secrets.RULES)
+)
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_secrets": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+r(kind, rank, pattern, grp, least, base) AS (VALUES {RULES}),
+m AS (
+  SELECT doc_id, kind, rank, least, base,
+    unnest(string_split_regex(t, pattern)[1:len(regexp_extract_all(t, pattern))]) AS gap,
+    unnest(regexp_extract_all(t, pattern)) AS found,
+    unnest(CASE grp WHEN 2 THEN regexp_extract_all(t, pattern, 2) ELSE regexp_extract_all(t, pattern) END) AS counted,
+    unnest(range(len(regexp_extract_all(t, pattern)))) AS n
+  FROM d, r WHERE regexp_matches(t, pattern)),
+p AS (SELECT *, sum(length(gap) + length(found)) OVER (PARTITION BY doc_id, kind ORDER BY n)::BIGINT AS e FROM m),
+s AS (SELECT doc_id, kind, rank, base, e - length(found) AS b, e FROM p WHERE length(counted) >= least),
+g AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS a, count(*) FILTER (WHERE kind = 'access') AS c, count(*) FILTER (WHERE kind = 'hex') AS h,
+  string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) FILTER (WHERE base) AS bs, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) AS sp FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(bs, '')) AS base_sha256, coalesce(sp, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)""".replace("{RULES}", _RULES),
+    "op8_ngram_jaccard": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * common >= 80 * (a.n + b.n - common)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+c AS (SELECT DISTINCT x AS doc_id, x AS seen FROM e UNION SELECT c.doc_id, e.y FROM c JOIN e ON c.seen = e.x)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(seen) AS m FROM c GROUP BY doc_id) USING (doc_id)""",
+    "op10_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+h AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, unnest(list_transform(range(1, len(ws) - 48), lambda i: md5(array_to_string(ws[i:i + 49], ' ')))) AS h FROM w WHERE len(ws) >= 50),
+f AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first FROM h) WHERE doc_id > first),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM f),
+o AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS k FROM w),
+r AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE g.k IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY o.k) FILTER (WHERE g.k IS NULL) AS kept FROM o LEFT JOIN g USING (doc_id, k) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN r USING (doc_id)""",
     "op3_ann": """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
