@@ -157,7 +157,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
     """base**0 .. base**(n-1), kept by each worker between blocks."""
-    if len(_POWERS.get(int(base), ())) < n:
+    if len(_POWERS.get(int(base), ())) < max(n, 1):
         out = np.full(n + (n >> 2) + 1024, base, np.uint64)
         out[0] = 1
         _POWERS[int(base)] = np.cumprod(out)

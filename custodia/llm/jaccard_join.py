@@ -355,7 +355,17 @@ def classify(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_by
     return sets.join(found, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+#: Cells of ids by which most documents that stay are told without a shuffle; at most so many numbers are broadcast.
+ID_CELLS = 1 << 20
+
+
 def drop_near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The documents without those whose class has a smaller id; all columns. Rows without an id stay."""
-    gone = classify(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The documents without those whose class has a smaller id; all columns. Rows without an id stay. Only documents whose
+    id shares a cell with one that goes are shuffled to find out."""
+    gone = materialise(classify(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    cell = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(ID_CELLS)).cast("int").alias("_cell")
+    cells = F.broadcast(gone.select(cell("_gone")).distinct())
+    marked = docs.select("*", cell("doc_id"))
+    sure = marked.join(cells, "_cell", "left_anti")
+    maybe = marked.join(cells, "_cell", "left_semi").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return sure.unionByName(maybe).select(*docs.columns)
