@@ -2,11 +2,35 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import site
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let executors import this package. Where workers find it by themselves (installed, in PYTHONPATH, or the working
+    folder) nothing is done; else it goes with the session's Python files, once."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    root = os.path.realpath(os.path.join(os.path.dirname(__file__), "..", ".."))
+    found = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd(), *site.getsitepackages(), site.getusersitepackages()]
+    if root not in {os.path.realpath(p) for p in found if p}:
+        package = os.path.basename(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        name = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="spark-package-")), package)
+        context.addPyFile(shutil.make_archive(name, "zip", root, package))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
