@@ -13,16 +13,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.common import ship, table  # noqa: F401
+
 #: Bytes of text that one block of documents should hold; a task works on one block at a time.
 BLOCK_BYTES = 4 << 20
 #: Entries that one shard of an index should hold.
 SHARD_ENTRIES = 1 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -43,6 +41,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so that nothing before it runs twice
     and a lost executor costs only a read."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -57,6 +56,7 @@ def text_bytes(docs: DataFrame) -> int:
 def blocks(docs: DataFrame, total: int, extra: Iterable[str] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, text, block): a document's block is a hash of its id, so every pass over the
     documents sees the same blocks, whatever partitions it reads. Rows without an id are dealt by text."""
+    ship(docs.sparkSession)
     n = max(1, -(-total // block_bytes))
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     return docs.select(
