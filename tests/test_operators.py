@@ -152,3 +152,13 @@ def test_streams(spark, tmp_path):
     q = streams.attempts(events).writeStream.outputMode("complete").format("memory").queryName("tries").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("tries").first()["tries"] == 2
+
+
+def test_duplicate_groups_keep_every_document(spark, tmp_path):
+    texts = ["Straße", "Straße", "İzmir", "İzmir", "plain", "plain", None, "once"]
+    spark.createDataFrame([(i, t, f"s{i // 6}") for i, t in enumerate(texts)], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = entry.queries()["a05_duplicate_groups"](spark, str(tmp_path)).collect()
+    assert sorted(r.id for r in got if r.type == "title") == [0, 1, 2, 3, 4, 5]
+    assert sorted(r.id for r in got if r.type == "key") == [0, 1, 2, 3, 4, 5]  # s1 has one title only
+    numbered = entry.queries()["w03_group_numbers"](spark, str(tmp_path)).collect()
+    assert len(numbered) == 12 and {r.group_no for r in numbered} == {1, 2, 3, 4}
