@@ -137,16 +137,15 @@ def strip_tags(html: Column | str) -> Column:
     return F.regexp_replace(col(html), "<[^<]+?>", "")
 
 
-def first_diff(old: Column | str, new: Column | str, most: int = 4096) -> Column:
-    """0-based offset of the first difference of two texts, else the shorter length, else NULL for equal texts. Texts
-    are compared in steps of 64, then inside the step, so long ones cost a few comparisons; ``most`` steps are looked at."""
+def first_diff(old: Column | str, new: Column | str) -> Column:
+    """0-based offset of the first difference of two texts, else the shorter length, else NULL for equal texts. The
+    common prefix grows by halved steps, so 31 comparisons cover any length."""
     a, b = col(old), col(new)
     n = F.least(F.length(a), F.length(b))
-    steps = F.sequence(F.lit(0), F.least((n / 64).cast("int"), F.lit(most)))
     cut = lambda c, at, k: F.substring(c, at + 1, k)
-    step = F.try_element_at(F.filter(steps, lambda s: cut(a, s * 64, F.lit(64)) != cut(b, s * 64, F.lit(64))), F.lit(1))
-    inner = F.try_element_at(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: cut(a, step * 64 + i, F.lit(1)) != cut(b, step * 64 + i, F.lit(1))), F.lit(1))
-    return F.when(a != b, F.coalesce(step * 64 + inner, n))
+    halves = F.array(*(F.lit(1 << k) for k in range(30, -1, -1)))
+    common = F.aggregate(halves, F.lit(0), lambda at, k: F.when(k > n - at, at).when(cut(a, at, k) == cut(b, at, k), at + k).otherwise(at))
+    return F.when(a != b, common)
 
 
 def sample_text(names: Column | str, n: int = 5) -> Column:

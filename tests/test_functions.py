@@ -79,6 +79,13 @@ def test_first_difference(spark):
     assert [r[0] for r in df.select(text.first_diff("a", "b")).collect()] == [250, None, 3, 0]
 
 
+def test_first_difference_of_long_texts(spark):
+    one = "ab ß" * 100_000
+    rows = [(one, one[:350_001] + "#" + one[350_002:]), (one, one + "x"), (one, one), (one, "#" + one[1:]), (one, one[:-1] + "#"), (one[:64], one[:63] + "#"), (one, None)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert [r[0] for r in df.select(text.first_diff("a", "b")).collect()] == [350_001, 400_000, None, 0, 399_999, 63, None]
+
+
 def test_small_text_functions(spark):
     assert values(spark, lambda c: text.shorten(c, 10), ["a  b", "x" * 20]) == ["a b", "x" * 9 + "…"]
     assert values(spark, text.escape_phrase, ['a"b\\c']) == ['"a\\"b\\\\c"']
