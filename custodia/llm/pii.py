@@ -19,6 +19,8 @@ not read.
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -112,10 +114,12 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _near(text: str, spans: list[tuple[int, int, int]], reach: int):
-    """(entity, term, surroundings) of the words near each mention."""
+    """(entity, words near it) of each mention: ``reach`` words on each side, however long they are."""
     taken = [(s, e) for _, s, e in spans]
+    starts = array("q", (a for a, _, _ in terms(text))) if spans else ()
     for kind, start, end in spans:
-        left = list(terms(text, max(0, start - 24 * reach), start))[-reach:]
+        at = bisect_left(starts, start)
+        left = [next(terms(text, a, start)) for a in starts[max(0, at - reach) : at]]
         right = [t for _, t in zip(range(reach), terms(text, end))]
         yield entity_key(kind, text[start:end]), [t for a, b, t in left + right if not any(s < b and a < e for s, e in taken)]
 

@@ -101,3 +101,27 @@ def test_repeated_null_and_empty(spark):
     got = sorted((str(r.doc_id), len(r.spans)) for r in pii.find(d).collect())
     assert got == [("1", 0), ("1", 1), ("1", 1), ("None", 0)]
     assert pii.find(docs(spark, [])).count() == 0
+
+
+def windows(text, reach):
+    """Words on both sides of each mention, by splitting the text there."""
+    taken = brute(text)
+    for _, start, end in taken:
+        left, right = list(pii.terms(text[:start]))[-reach:], [(a + end, b + end, w) for a, b, w in pii.terms(text[end:])][:reach]
+        yield [w for a, b, w in left + right if not any(s < b and a < e for _, s, e in taken)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="xY-, a@b.c+", max_size=60), st.integers(1, 3))
+def test_near_words_match_split_texts(text, reach):
+    assert [ws for _, ws in pii._near(text, pii.entities(text), reach)] == list(windows(text, reach))
+
+
+def test_long_tokens_do_not_hide_words():
+    text = f"zero kestrel {'u' * 300} by the harbour {'v' * 300} at x-(ann.k@mail.example.org end"
+    assert [ws for _, ws in pii._near(text, pii.entities(text), pii.REACH)] == list(windows(text, pii.REACH)) == [["kestrel", "u" * 300, "by", "the", "harbour", "v" * 300, "at", "x", "end"]]
+
+
+def test_long_tokens_do_not_hide_disclosing_terms(spark):
+    texts = [f"kestrel {'u' * 300}{i} ann.k@mail.example.org said{i}" for i in range(4)] + [f"other{i} text{i}" for i in range(40)]
+    assert {r.term: r.action for r in pii.disclosing(docs(spark, texts), gain=3.0).collect()} == {"kestrel": "remove"}
