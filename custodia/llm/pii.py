@@ -5,7 +5,8 @@ numbers. How strongly another term reveals an entity is estimated from the corpu
 the share p(e|t) that stands within ``reach`` words of a mention of e. Knowing t then leaves -log2 p(e|t) bits of e; it
 discloses PMI(e; t) = log2 p(e|t) / p(e). A term that leaves at most ``remove_bits`` is removed, one that leaves at most
 ``generalise_bits`` is generalised to what kind of word it is, wherever it occurs. A term must disclose at least ``gain``
-bits and be seen near the entity in ``support`` different surroundings, so copies of one text prove nothing.
+bits and be seen near the entity in ``support`` different surroundings or texts: copies of one text prove nothing, but a
+passage that different texts share does.
 
 Work follows mentions, not documents: terms near mentions are counted against each other in one aggregation, whole
 counts are taken only of terms that have support, and occurrences are found through a Bloom filter of fixed size; what
@@ -134,14 +135,16 @@ def disclosing(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, remo
         for b in (part for whole in batches for part in parts(whole, 4 << 20)):
             rows = []
             for t in b.column("text").to_pylist():
-                for entity, ws in _near(t, entities(t), reach):
-                    around = hashlib.blake2b("\0".join(ws).encode(), digest_size=8).hexdigest()
+                spans = entities(t)
+                own = hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() if spans else b""
+                for entity, ws in _near(t, spans, reach):
+                    around = hashlib.blake2b(own + "\0".join(ws).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
                     rows += [(entity, w, around, n) for w, n in Counter(ws).items()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["entity", "term", "around", "n"])
 
     near = texts.select("text").mapInArrow(mentions, "entity string, term string, around string, n long")
-    # copies of one surrounding count together: it proves the pair once, however often it is repeated
+    # one surrounding counts once in a text and its copies, however often it is repeated there
     seen = near.groupBy("entity", "term", "around").agg(F.sum("n").alias("n"))
     pairs = materialise(seen.groupBy("entity", "term").agg(F.count("*").alias("places"), F.sum("n").alias("near")).where(F.col("places") >= support), "pairs")
     wanted = pairs.select("term").distinct()

@@ -125,3 +125,11 @@ def test_long_tokens_do_not_hide_words():
 def test_long_tokens_do_not_hide_disclosing_terms(spark):
     texts = [f"kestrel {'u' * 300}{i} ann.k@mail.example.org said{i}" for i in range(4)] + [f"other{i} text{i}" for i in range(40)]
     assert {r.term: r.action for r in pii.disclosing(docs(spark, texts), gain=3.0).collect()} == {"kestrel": "remove"}
+
+
+def test_shared_passages_of_different_texts_count(spark):
+    line = "call or write to kestrel at ann.k@mail.example.org for any of these many matters now"
+    texts = [f"about{i} topic{i} {'x ' * 8}{line} y y y y y" for i in range(4)] + [f"other{i} text{i} " + "z " * 40 for i in range(40)]
+    assert {r.term: r.action for r in pii.disclosing(docs(spark, texts), gain=3.0).collect()}["kestrel"] == "remove"
+    copies = [texts[0]] * 4 + texts[4:]
+    assert pii.disclosing(docs(spark, copies), gain=3.0).count() == 0
