@@ -43,6 +43,7 @@ class Codec:
             self.reference = sentencepiece.SentencePieceProcessor(model_proto=raw)
         self.known: dict[str, bytes] = {}
         self.odd: dict[str, tuple[bool, bool, int]] = {}  # chunks that fail a comparison, and decoded lengths that differ
+        self.joint: set[str] = set()  # chunks that pass alone and fail together: their texts are encoded and compared whole
 
     def _check(self, texts: list[str], ids: list[list[int]], decoded: list[str], given: list[str]):
         """(round trip, parity) of each text; ``given``: what the reference encodes to the same ids."""
@@ -53,6 +54,7 @@ class Codec:
         if len(self.known) > CACHE:
             self.known.clear()
             self.odd.clear()
+            self.joint.clear()
         new = [c for c in chunks if c not in self.known]
         whole = [c for c in new if c[-1] != " "]
         groups = [whole[i : i + TOGETHER] for i in range(0, len(whole), TOGETHER)]
@@ -66,6 +68,14 @@ class Codec:
             self.known.update(zip(g, blobs))
             if not all(ok):
                 self._look_closer(g, blobs)
+                rest = [c for c in g if c not in self.odd]
+                if len(rest) > 1 and (len(rest) == len(g) or not self._pass_together(rest)):
+                    self.joint.update(rest)
+
+    def _pass_together(self, chunks: list[str]) -> bool:
+        joined = "".join(chunks)
+        ids = [self.inner.encode_batch_fast([joined], add_special_tokens=False)[0].ids]
+        return all(self._check([joined], ids, self.inner.decode_batch(ids, skip_special_tokens=False), [joined[1:]])[0])
 
     def _look_closer(self, chunks: list[str], blobs: list[bytes]) -> None:
         """Which chunks of a group that failed a comparison fail it alone."""
@@ -100,6 +110,10 @@ class Codec:
         for t, c in zip(texts, cut):
             bad = [odd[x] for x in c if x in odd] if odd else []
             out.append((b"".join(map(known, c)), len(t) + sum(x[2] for x in bad), all(x[0] for x in bad), all(x[1] for x in bad)))
+        if self.joint:
+            again = [i for i, c in enumerate(cut) if not self.joint.isdisjoint(c)]
+            for i, done in zip(again, self._whole([texts[i] for i in again])):
+                out[i] = done
         return out
 
     def _whole(self, texts: list[str]) -> list[tuple[bytes, int, bool, bool]]:

@@ -113,3 +113,26 @@ def test_unigram_models_keep_their_scores():
     m = piece_model.Model(pieces=[("<unk>", 0, 2), ("▁", -2, 1), ("a", -1.0, 1), ("b", -1.5, 1), ("ab", -1.2, 1), ("▁a", -2.5, 1)], kind=1)
     assert [piece_model.build(m).encode("ab  a").tokens][0] == ["▁", "ab", "▁a"]
     assert not piece_model.spans_words(m)
+
+
+def test_chunks_that_fail_only_together_are_compared_in_their_texts():
+    class Differs:
+        """The reference, but with one more id where both words meet."""
+
+        def __init__(self):
+            self.real = reference.SentencePieceProcessor(model_file=PIECE)
+
+        def encode(self, given, num_threads=1):
+            return [i + [0] * ("alpha" in t and "beta" in t) for t, i in zip(given, self.real.encode(given))]
+
+        def piece_to_id(self, piece):
+            return self.real.piece_to_id(piece)
+
+    c, plain = sentencepiece.Codec(PIECE), sentencepiece.Codec(PIECE)
+    c.reference = Differs()
+    texts = ["alpha beta", "alpha gamma", "beta", "", "delta"]
+    assert c.by_chunk
+    for _ in range(2):
+        done = c.encode(texts)
+        assert [d[3] for d in done] == [False, True, True, True, True]
+        assert [d[:3] for d in done] == [d[:3] for d in plain.encode(texts)]
