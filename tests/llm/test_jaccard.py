@@ -52,10 +52,10 @@ def near_copies(seed, groups=12, members=9):
     return texts
 
 
-@pytest.mark.parametrize(("seed", "block", "shard", "homes"), [(1, 4 << 20, 8 << 20, 32), (2, 3000, 4000, 32), (3, 5000, 6000, 1)])
-def test_classes_match_brute_force(spark, seed, block, shard, homes):
+@pytest.mark.parametrize(("seed", "block", "shard", "together"), [(1, 4 << 20, 8 << 20, 2048), (2, 3000, 4000, 2048), (3, 5000, 6000, 3)])
+def test_classes_match_brute_force(spark, seed, block, shard, together):
     texts = near_copies(seed)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.classify(docs(spark, texts, odd=True), block_bytes=block, shard_bytes=shard, homes=homes).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.classify(docs(spark, texts, odd=True), block_bytes=block, shard_bytes=shard, together=together).collect()}
     sets = brute_sets(texts)
     want = brute_classes(sets)
     assert got == {i: (len(s), c) for i, (s, c) in enumerate(zip(sets, want))}
@@ -65,10 +65,23 @@ def test_classes_match_brute_force(spark, seed, block, shard, homes):
 def test_search_finds_every_match(percent):
     r = np.random.default_rng(percent)
     sets = [np.unique(r.integers(0, 60, r.integers(1, 40))) for _ in range(150)]
+    sets += [np.unique(np.append(sets[0], r.integers(100, 105, 2))) for _ in range(30)]
     s = Search(np.array([len(x) for x in sets]), np.concatenate(sets).astype(np.uint64), percent)
-    for q, a in enumerate(sets):
-        want = [j for j, b in enumerate(sets) if j != q and 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b))]
+    label = s.label.copy()
+    for q in range(len(sets)):
+        a = sets[s.order[q]]
+        want = [j for j in range(q) if label[j] != label[q] and 100 * len(np.intersect1d(a, sets[s.order[j]])) >= percent * len(np.union1d(a, sets[s.order[j]]))]
         assert s.matches(q).tolist() == want
+    classes, want = s.classes(), brute_classes([set(x.tolist()) for x in sets], percent)
+    assert len(set(zip(classes.tolist(), want))) == len(set(classes.tolist())) == len(set(want))
+
+
+def test_lists_part_by_size_and_name_one_place():
+    name = np.array([5, 5, 5, 7, 7, 9], np.uint64)
+    at, place, cut = jaccard_join.answers(name, np.array([10, 100, 90, 10, 100, 3]), np.array([1, 8, 4, 2, 2, 1], np.int32), 80, 2)
+    assert sorted(zip(at.tolist(), place.tolist(), cut.tolist())) == [(1, 4, 1), (2, 4, 1)]
+    at, place, cut = jaccard_join.answers(np.zeros(5, np.uint64), np.full(5, 10), np.array([6, 3, 6, 3, 3], np.int32), 80, 2)
+    assert set(zip(place.tolist(), cut.tolist())) == {(3, 3)} and len(at) == 5
 
 
 def test_repeated_null_and_empty(spark):
@@ -78,6 +91,14 @@ def test_repeated_null_and_empty(spark):
     assert jaccard_join.classify(docs(spark, [])).count() == 0
     kept = jaccard_join.drop_near_copies(d)
     assert kept.columns == d.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "9", "None"]
+    odd = d.selectExpr("*", "1 as gone", "'x' as cell", "2 as row", "3 as _id", "4 as block")
+    assert jaccard_join.drop_near_copies(odd).columns == odd.columns
+
+
+def test_repeated_ids_link_by_each_of_their_texts(spark):
+    one, two = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    d = docs(spark, [one, two, one + " x", two + " y", two], ids=[7, 7, 8, 9, 11])
+    assert {r.doc_id: r.component_id for r in jaccard_join.classify(d).collect()} == {7: 7, 8: 7, 9: 7, 11: 7}
 
 
 def test_components_of_long_chains(spark):
