@@ -8,8 +8,8 @@
    placement works on packing patterns and their counts, never on documents.
 3. Patterns are joined back by rank: the r-th piece of a length takes that length's r-th slot. Ranks are
    counted in two levels, within a salt and over the counts of salts, so a length that a third of all
-   documents share is still ranked by many tasks. Slots are ranges of ranks, a table as short as the
-   list of patterns.
+   documents share is still ranked by many tasks; the number of salts follows the longest count. Slots are
+   ranges of ranks, a table as short as the list of patterns.
 
 Defined results: a null text counts as empty and makes a piece that holds the end id alone; repeated
 rows are separate documents; a null doc_id is kept; an empty table gives no rows. Other columns of
@@ -18,6 +18,7 @@ the input are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -31,34 +32,41 @@ from .tokens import encoder
 
 #: Longest sequence, and the id that ends every document.
 LENGTH, END_ID = 2048, 1
-#: Salts that share the ranking of one length.
-SALTS = 64
+#: Salts that share the ranking of one length, at least, and pieces of one length for each salt.
+SALTS, PER_SALT = 64, 1 << 16
 
-PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary, salt long"
+PIECES = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, salt long"
 
 
-def tokenise(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
+def tokenise(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
     """One row for each piece; ``ids`` are little-endian unsigned 32-bit; ``salt`` numbers the pieces of a task."""
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         coder = encoder(path)
         seen = 0
-        for batch in (part for whole in batches for part in parts(whole)):
-            coded = [b + end for b in coder.encode(batch.column("text").to_pylist())]
-            rows = defaultdict(list)
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), coded):
-                n = len(ids) // 4
-                for at in range(0, n, length):
-                    piece = ids[4 * at : 4 * (at + length)]
-                    for k, v in (("doc_id", doc), ("start", at), ("length", len(piece) // 4), ("doc_tokens", n), ("ids", piece), ("salt", seen)):
-                        rows[k].append(v)
-                    seen += 1
-            if rows:
-                kinds = {"ids": pa.binary()}
-                yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.int64())) for k, v in rows.items()], names=list(rows))
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, PIECES)
+        for batch in (part for whole in batches for part in parts(whole, 2 << 20)):
+            got, offs = coder.encode(batch.column("text"))
+            n = np.diff(offs) + 1
+            ends = np.cumsum(n)
+            ids = np.full(int(ends[-1]), end_id, "<u4")
+            inner = np.ones(len(ids), bool)
+            inner[ends - 1] = False
+            ids[inner] = got
+            per = -(-n // length)  # pieces of each document
+            of = np.repeat(np.arange(len(n)), per)
+            start = length * (np.arange(len(of)) - np.repeat(np.cumsum(per) - per, per))
+            size = np.minimum(length, n[of] - start)
+            cuts = np.append(0, np.cumsum(size))
+            view = memoryview(ids).cast("B")
+            crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+            columns = {"doc_id": batch.column("doc_id").take(pa.array(of)), "start": start, "length": size, "doc_tokens": n[of], "ids_crc32": crc, "salt": seen + np.arange(len(of))}
+            if keep_ids:
+                columns["ids"] = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer((4 * cuts).astype(np.int32)), pa.py_buffer(ids)])
+            seen += len(of)
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns.values()], names=list(columns))
+
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return given.mapInArrow(run, PIECES + (", ids binary" if keep_ids else ""))
 
 
 @dataclass
@@ -114,24 +122,25 @@ def slots(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int]]:
 def place(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
     """``pieces`` (a table that can be read again) with sequence_id and offset. Reads its length and salt twice."""
     spark = pieces.sparkSession
-    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # ``length`` rows at most
     table = slots(shortest_pack_first(histogram, length))
-    slot = spark.createDataFrame(table or [], "slot_length int, first long, last long, sequence long, offset long")
+    slot = spark.createDataFrame(table or [], "length long, first long, last long, sequence long, offset long")
 
-    dealt = pieces.withColumn("salt", F.pmod(F.hash("doc_id", "start", "salt"), F.lit(SALTS)))
+    salts = max(SALTS, max(histogram.values(), default=0) // PER_SALT)
+    dealt = pieces.withColumn("salt", F.pmod(F.hash("doc_id", "start", "salt"), F.lit(salts)))
     counts = dealt.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(F.col("length").alias("_l"), F.col("salt").alias("_s"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    base = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # the pieces of a salt have consecutive ranks, so few slots concern them; there is a slot for each place of a pattern,
+    # and a new length splits one pattern at most: twice as many patterns as lengths, whatever the input
+    by_length = slot.groupBy("length").agg(F.array_sort(F.collect_list(F.struct("first", "last", "sequence", "offset"))).alias("slots"))
+    near = F.filter("slots", lambda s: (s["first"] < F.col("base") + F.col("n")) & (s["last"] >= F.col("base")))
+    base = base.join(F.broadcast(by_length), "length").select(F.col("length").alias("_l"), F.col("salt").alias("_s"), F.col("base").alias("_base"), near.alias("_slots"))
     within = Window.partitionBy("length", "salt").orderBy("doc_id", "start")
-    ranked = dealt.withColumn("_r", F.row_number().over(within)).join(
-        F.broadcast(base), (F.col("length") == F.col("_l")) & (F.col("salt") == F.col("_s"))
-    )  # at most length * SALTS rows
+    ranked = dealt.withColumn("_r", F.row_number().over(within)).join(base, (F.col("length") == F.col("_l")) & (F.col("salt") == F.col("_s")))
     ranked = ranked.withColumn("rank", F.col("_base") + F.col("_r") - 1)
-    # ranks of a length fall into ranges; the slot table is as short as the list of patterns, whatever the input
-    by_length = slot.groupBy("slot_length").agg(F.array_sort(F.collect_list(F.struct("first", "last", "sequence", "offset"))).alias("slots"))
-    hit = F.filter("slots", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") <= s["last"]))[0]
-    joined = ranked.join(F.broadcast(by_length), F.col("length") == F.col("slot_length")).withColumn("_hit", hit)
-    return joined.select(
+    hit = F.filter("_slots", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") <= s["last"]))[0]
+    return ranked.withColumn("_hit", hit).select(
         *[c for c in pieces.columns if c != "salt"],
         (F.col("_hit.sequence") + F.col("rank") - F.col("_hit.first")).alias("sequence_id"),
         F.col("_hit.offset").alias("offset"),
@@ -139,10 +148,9 @@ def place(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID, keep_ids: bool = True) -> DataFrame:
-    """doc_id, start, length, ids, doc_tokens, ids_crc32, sequence_id, offset for each piece. Without ``keep_ids`` the
+    """doc_id, start, length, doc_tokens, ids_crc32, ids, sequence_id, offset for each piece. Without ``keep_ids`` the
     ids are reduced to their checksum where they are made and only the placement is moved."""
-    pieces = tokenise(docs, path, length, end_id).withColumn("ids_crc32", F.crc32("ids"))
-    return place(materialise(pieces if keep_ids else pieces.drop("ids"), "pieces"), length)
+    return place(materialise(tokenise(docs, path, length, end_id, keep_ids), "pieces"), length)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

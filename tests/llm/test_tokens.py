@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 import sentencepiece as reference
@@ -20,14 +21,22 @@ ODD = ["", " ", "a", " a", "a ", "a  b", "a\n b \n c", "it's  we'll\t x", "<|end
 def test_encoder_matches_whole_texts():
     plain, ours = Tokenizer.from_file(BPE), tokens.Encoder(BPE)
     texts = ODD + [t or "" for t in noisy(3)]
-    for t, got in zip(texts, ours.encode(texts)):
-        assert np.frombuffer(got, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, repr(t[:40])
+    for _ in range(2):  # learning the pieces, then knowing them
+        for t, got in zip(texts, split(ours, texts)):
+            assert got == plain.encode(t, add_special_tokens=False).ids, repr(t[:40])
+    ours._forget()
+    assert split(ours, texts[::-1])[::-1] == split(ours, texts)
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.text(alphabet=st.sampled_from("ab '.1\n\t é日\x1c\x85​"), max_size=40))
-def test_encoder_on_any_white_space(text):
-    assert np.frombuffer(tokens.encoder(BPE).encode([text])[0], "<u4").tolist() == _plain().encode(text, add_special_tokens=False).ids
+def split(encoder, texts):
+    ids, offs = encoder.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(offs, offs[1:])]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab '.1\n\t é日\x1c\x85\u200b\u2003\u3000“\xa0"), max_size=40), max_size=3))
+def test_encoder_on_any_white_space(texts):
+    assert split(tokens.encoder(BPE), texts) == [_plain().encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def _plain(kept=[]):
@@ -87,6 +96,27 @@ def test_patterns_hold_the_histogram(histogram):
     assert all(sorted(r) == list(range(histogram[s])) for s, r in ranks.items())
 
 
+def one_by_one(sizes, length):
+    """Shortest-pack-first on single pieces: longest first, each into the fullest^-1 (emptiest) pack that has room."""
+    packs = []
+    for size in sorted(sizes, reverse=True):
+        best = max((p for p in packs if length - sum(p) >= size), key=lambda p: length - sum(p), default=None)
+        if best is None:
+            packs.append([size])
+        else:
+            best.append(size)
+    return Counter(sum(p) for p in packs)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 32), max_size=120))
+def test_patterns_fill_like_packing_piece_by_piece(sizes):
+    got = Counter()
+    for p in packing.shortest_pack_first(Counter(sizes), 32):
+        got[sum(p.lengths)] += p.count
+    assert got == one_by_one(sizes, 32)
+
+
 def test_sentencepiece_parity_and_round_trip(spark):
     texts = ODD + noisy(5)
     sp = reference.SentencePieceProcessor(model_file=PIECE)
