@@ -1,154 +1,278 @@
 """Toxicity by a classifier chain.
 
 Categories are predicted one after the other; each later linear model also sees the probabilities of the earlier
-categories. It is trained with out-of-fold ones, predicted by models that did not see the document,
-so it learns to trust them as far as they deserve; scoring uses the models of all folds together.
-
-The models are L1-regularised logistic regressions on the presence of words, fitted by Spark on a bounded sample of the
-labelled documents: the ``max_train`` smallest hashes of doc_id. Words are those of at least ``min_df`` sampled documents,
-``max_vocab`` at most. Every document is then scored over its whole text.
-
-Defined results: a null text has no words; rows that repeat a doc_id are scored each; a null doc_id is kept; labels
-with a null in any category, or that repeat a doc_id, count once or not at all; without labels of both kinds a category's
-probability is the share of its positive labels, or 0; an empty table gives no rows. Other columns are not read.
+categories. It is trained with out-of-fold ones, predicted by models that did not see the document, so it learns to trust
+them as far as they deserve. Scoring uses each category's model of the whole sample.
+
+The models are L1-regularised logistic regressions, fitted to convergence on a bounded sample of the labelled documents:
+the ``max_train`` smallest hashes of doc_id. A document's features are the words that it holds and their beginnings of 4
+to 7 characters, each once more if it occurs again; they are hashed to ``2**BITS`` cells, and cells of fewer than ``min_df``
+sampled documents are left out. The models of one category (one for the whole sample, one for each fold) are fitted
+side by side, each in a task of its own. Every document is then scored over its whole text.
+
+Defined results: a null text has no words; rows that repeat a doc_id are scored each; a null doc_id is kept. Labels with a
+null in any category do not count; of labels, or documents, that repeat a doc_id the smallest row counts (by category,
+by text). Without labels of both kinds a category's probability is the share of its positive labels, or 0; an empty
+table gives no rows. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from .common import materialise, text_or_empty
-
-MAX_TRAIN, MAX_VOCAB, MIN_DF, FOLDS = 20_000, 1 << 16, 8, 3
-STRENGTH, ITERATIONS, THRESHOLD = 5e-4, 25, 0.5
-#: Partitions of the sample: it is bounded, and every iteration is a job over them.
-TRAIN_PARTITIONS = 4
-WORD = re.compile(r"\w+")
-
-
-def words_of(text: str) -> set[str]:
-    return set(WORD.findall(text.lower()))
+from pyspark.sql import types as T
+
+from .common import BYTE_CODE, LOWER, materialise, mix, pack, parts, prefix_hash, ship, text_or_empty, unpack, utf8
+
+MAX_TRAIN, MIN_DF, FOLDS = 20_000, 8, 3
+STRENGTH, THRESHOLD = 5e-4, 0.5
+#: Cells that features are hashed to, and the lengths of the beginnings of words.
+BITS, BEGINNINGS = 24, (4, 5, 6, 7)
+#: A fit ends when the conditions of the minimum hold up to this share of the penalty, or after so many rounds of so many
+#: steps; steps start so many times longer than the bound of curvature is sure to allow.
+TOLERANCE, ROUNDS, STEPS, STRETCH = 0.05, 50, 200, 16.0
+
+_WORD = np.zeros(256, bool)
+_WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
+_SALTS = mix(np.arange(16, dtype=np.uint64) + np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def features(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) of every word of the rows and of its beginnings, as often as they occur.
+
+    A-Z and the Latin capitals of two bytes count as small; words are runs of letters, digits and ``_`` outside the
+    punctuation of ASCII, Latin-1 and U+2000 to U+207F."""
+    low = LOWER[raw]
+    inside = np.append(_WORD[raw], False)
+    capital = np.flatnonzero(raw[:-1] == 0xC3) + 1
+    capital = capital[(raw[capital] >= 0x80) & (raw[capital] <= 0x9E) & (raw[capital] != 0x97)]
+    low[capital] += 0x20
+    sign = np.flatnonzero(raw == 0xC2)
+    inside[sign] = inside[sign + 1] = False
+    sign = np.flatnonzero((raw[:-1] == 0xE2) & (raw[1:] >> 1 == 0x40))
+    inside[sign] = inside[sign + 1] = inside[np.minimum(sign + 2, len(raw))] = False
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edge = offs[:-1][offs[:-1] < len(raw)]
+    begins[edge] = inside[edge]  # a word never crosses rows
+    start = np.flatnonzero(begins)
+    outside = np.flatnonzero(~inside)
+    end = outside[np.searchsorted(outside, start)]
+    row = np.searchsorted(offs, start, side="right") - 1
+    end = np.minimum(end, offs[row + 1])
+    sums, inverse = prefix_hash(BYTE_CODE[low])
+    first = (raw & 0xC0) != 0x80  # of a character
+    number, at = np.cumsum(first) - 1, np.append(np.flatnonzero(first), [len(raw)] * (max(BEGINNINGS) + 1))
+    rows, cells = [], []
+    for k in (0, *BEGINNINGS):
+        stop, some = end, slice(None)
+        if k:
+            stop = at[number[start] + k]
+            some = stop < end
+        s, e = start[some], stop[some]
+        code = (sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64) + _SALTS[k]
+        rows.append(row[some])
+        cells.append((mix(code) >> np.uint64(64 - BITS)).astype(np.int64))
+    return np.concatenate(rows), np.concatenate(cells)
+
+
+def presence(row: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) without repeats, by row: a cell, and 2**BITS + cell where it occurs again."""
+    key, n = np.unique(row << BITS | cell, return_counts=True)
+    again = key[n > 1]
+    both = np.concatenate((key & (1 << BITS) - 1, (again & (1 << BITS) - 1) + (1 << BITS)))
+    of = np.concatenate((key >> BITS, again >> BITS))
+    order = np.argsort(of, kind="stable")
+    return of[order], both[order]
 
 
 @dataclass
-class Chain:
-    """``weights``: one array for each category and word; ``earlier``: weights of the categories before."""
+class Linear:
+    """Weights of features, by feature; weights of the earlier categories' probabilities; the bias."""
 
-    categories: tuple[str, ...]
-    words: dict[str, int]
-    weights: np.ndarray
+    feature: np.ndarray
+    weight: np.ndarray
     earlier: np.ndarray
-    bias: np.ndarray
-
-    def probabilities(self, present: list[int]) -> list[float]:
-        out: list[float] = []
-        base = self.weights[:, present].sum(1) if present else np.zeros(len(self.bias))
-        for j in range(len(self.bias)):
-            z = self.bias[j] + base[j] + sum(self.earlier[j, i] * p for i, p in enumerate(out))
-            out.append(float(1 / (1 + np.exp(-np.clip(z, -60, 60)))))
-        return out
+    bias: float
+
+    def probabilities(self, n_rows: int, row: np.ndarray, feature: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        z = np.full(n_rows, self.bias) + earlier @ self.earlier
+        if len(self.feature):
+            at = np.minimum(np.searchsorted(self.feature, feature), len(self.feature) - 1)
+            hit = self.feature[at] == feature
+            z += np.bincount(row[hit], weights=self.weight[at[hit]], minlength=n_rows)
+        return sigmoid(z)
+
+
+def sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+
+
+def log_loss(z: np.ndarray, y: np.ndarray) -> float:
+    return float(np.mean(np.logaddexp(0, z) - y * z))
+
+
+def shrink(x: np.ndarray, by: np.ndarray) -> np.ndarray:
+    return np.sign(x) * np.maximum(np.abs(x) - by, 0)
+
+
+def fit_linear(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.ndarray, strength: float = STRENGTH, min_df: int = MIN_DF) -> Linear:
+    """The minimum of the mean log loss plus ``strength`` times the sum of absolute weights; the bias is free.
+
+    Accelerated proximal steps on a working set of features, which grows until the conditions of the minimum hold for
+    all; a coordinate's step follows from a bound of its curvature, the sum over rows of x_if (sum over g of x_ig) / 4n."""
+    n, k = len(y), earlier.shape[1]
+    none = np.zeros(0)
+    if not n or y.min() == y.max():
+        return Linear(none.astype(np.int64), none, np.zeros(k), 60.0 if n and y[0] else -60.0)
+    names, df = np.unique(feature, return_counts=True)
+    names = names[df >= min_df]
+    m = len(names)
+    column = np.searchsorted(names, feature).astype(np.int32)
+    keep = np.append(names, -1)[column] == feature
+    row, column = row[keep], column[keep]
+    penalty = np.append(np.full(k, strength), 0.0)
+    block = np.column_stack((earlier, np.ones(n)))
+    w, dense = np.zeros(m), np.append(np.zeros(k), np.log(y.mean() / (1 - y.mean())))
+    active, slack, left = np.zeros(m, bool), 1.0, np.inf
+    for _ in range(ROUNDS):
+        z = np.bincount(row, weights=w[column], minlength=n) + block @ dense
+        gradient = np.abs(np.bincount(column, weights=(sigmoid(z) - y)[row], minlength=m) / n)
+        excess = np.where(active, 0, gradient - strength * (1 + TOLERANCE))
+        new = np.flatnonzero(excess > 0)
+        if not len(new) and max(slack, left) <= TOLERANCE:
+            break
+        slack = max(TOLERANCE, min(slack / 2, excess.max(initial=0) / strength))
+        active[new[np.argsort(-excess[new], kind="stable")[: max(60, int(active.sum()))]]] = True
+        some = active[column]
+        r, c, chosen = row[some], (np.cumsum(active) - 1)[column[some]], np.flatnonzero(active)
+        reach = np.bincount(r, minlength=n) + np.abs(block).sum(1)
+        step_w = 4 * n / np.bincount(c, weights=reach[r], minlength=len(chosen))
+        step_d = 4 * n / np.maximum(block.T @ reach, 1e-12)
+        slope = lambda v, u: np.bincount(r, weights=v[c], minlength=n) + block @ u
+        x, d, z = w[chosen], dense, slope(w[chosen], dense)
+        vx, vd, vz, t, scale = x, d, z, 1.0, STRETCH
+        for _ in range(STEPS):
+            g = (sigmoid(vz) - y) / n
+            gx, gd, loss = np.bincount(c, weights=g[r], minlength=len(chosen)), block.T @ g, log_loss(vz, y)
+            while True:  # as long as the bound of curvature, relaxed by ``scale``, holds for this step
+                sx, sd = scale * step_w, scale * step_d
+                x1, d1 = shrink(vx - sx * gx, sx * strength), shrink(vd - sd * gd, sd * penalty)
+                z1, ux, ud = slope(x1, d1), x1 - vx, d1 - vd
+                if scale <= 1 or log_loss(z1, y) <= loss + gx @ ux + gd @ ud + (ux @ (ux / sx) + ud @ (ud / sd)) / 2 + 1e-12:
+                    break
+                scale = max(1.0, scale / 2)
+            left = max(np.abs(ux / sx).max(), np.abs(ud / sd).max()) / strength
+            if (ux / sx) @ (x1 - x) + (ud / sd) @ (d1 - d) < 0:  # the momentum points uphill: start it anew
+                t = 1.0
+            t1 = (1 + np.sqrt(1 + 4 * t * t)) / 2
+            more = (t - 1) / t1
+            vx, vd, vz = x1 + more * (x1 - x), d1 + more * (d1 - d), z1 + more * (z1 - z)
+            x, d, z, t, scale = x1, d1, z1, t1, 1.05 * scale
+            if left <= slack:
+                break
+        w, dense = np.zeros(m), d
+        w[chosen] = x
+        active &= (w != 0) | (gradient > 0.9 * strength)  # what came in and is not needed goes
+    on = np.flatnonzero(w)
+    return Linear(names[on], w[on], dense[:k], float(dense[k]))
 
 
 def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_train: int, folds: int) -> DataFrame:
-    """(words, one column for each category, fold) of at most ``max_train`` labelled documents."""
-    known = labels.select(F.col("doc_id").cast("long").alias("_id"), *(c.cast("double").alias(f"y{i}") for i, c in enumerate(categories.values())))
-    known = known.dropna().dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(max_train)
+    """(_id, y0, y1, ..., fold, cells: packed features) of at most ``max_train`` labelled documents."""
+    names = [f"y{i}" for i in range(len(categories))]
+    known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.struct(*(c.cast("double").alias(y) for c, y in zip(categories.values(), names))).alias("y"))
+    known = known.where(F.col("_id").isNotNull()).where(" and ".join(f"y.{y} is not null" for y in names)).groupBy("_id").agg(F.min("y").alias("y"))
+    known = known.orderBy(F.xxhash64("_id"), "_id").limit(max_train).select("_id", "y.*")
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), text_or_empty().alias("text"))
-    rows = texts.join(F.broadcast(known), "_id").dropDuplicates(["_id"])  # max_train narrow rows
+    rows = texts.join(F.broadcast(known), "_id").groupBy("_id", *names).agg(F.min("text").alias("text"))  # max_train narrow rows
+
+    def code(batches):
+        for b in (part for whole in batches for part in parts(whole, 1 << 20)):
+            row, feature = presence(*features(*utf8(b.column("text"))))
+            cuts = np.searchsorted(row, np.arange(b.num_rows + 1))
+            cells = [pack(np.diff(np.sort(feature[i:j]), prepend=0).astype(np.uint32)) for i, j in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("_id", *names)), pa.array(cells, pa.binary())], names=["_id", *names, "cells"])
+
+    done = rows.mapInArrow(code, f"_id long, {', '.join(f'{y} double' for y in names)}, cells binary")
+    return materialise(done.withColumn("fold", F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(folds)).cast("int")), "labelled")
+
+
+def _stack(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) of packed features."""
+    each = [np.cumsum(unpack(c)[0], dtype=np.int32) for c in table["cells"].to_pylist()]
+    row = np.repeat(np.arange(len(each), dtype=np.int32), [len(e) for e in each])
+    return row, np.concatenate([np.zeros(0, np.int32), *each])
+
+
+def _out_of_fold(table, before: list[dict[int, Linear]]) -> np.ndarray:
+    """Probabilities of the categories fitted so far, each by the model that did not see the row's fold."""
+    row, feature = _stack(table)
+    fold, n = np.asarray(table["fold"]), table.num_rows
+    p = np.zeros((n, len(before)))
+    for j, models in enumerate(before):
+        for f in np.unique(fold).tolist():
+            mine = fold == f
+            p[mine, j] = models[f].probabilities(n, row, feature, p[:, :j])[mine]
+    return p
+
+
+def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_train: int = MAX_TRAIN, min_df: int = MIN_DF, folds: int = FOLDS, strength: float = STRENGTH) -> list[Linear]:
+    """The chain's models. ``categories``: name -> 0/1 condition on the columns of ``labels``, in the order of the chain."""
+    rows, chain, before = sample(docs, labels, categories, max_train, folds), [], []
+    for j in range(len(categories)):
+        held, last = list(before), j + 1 == len(categories)
+
+        def train(key, group):
+            import pickle
+
+            group = group.sort_by("_id")
+            model = fit_linear(*_stack(group), _out_of_fold(group, held), group[f"y{j}"].to_numpy(), strength, min_df)
+            return pa.table({"model": pa.array([key[0].as_py()], pa.int32()), "body": pa.array([pickle.dumps(model)], pa.binary())})
+
+        # model -1 sees every row, model f all but those of fold f
+        models = F.array(F.lit(-1)) if last else F.array(F.lit(-1), *(F.when(F.col("fold") != f, F.lit(f)) for f in range(folds)))
+        given = rows.select("*", F.explode(F.array_compact(models)).alias("model"))
+        fitted = {r["model"]: r["body"] for r in given.groupBy("model").applyInArrow(train, "model int, body binary").collect()}  # folds + 1 rows
+        constant = fit_linear(np.zeros(0, int), np.zeros(0, int), np.zeros((0, j)), np.zeros(0))
+        got = {m: _load(fitted[m]) if m in fitted else constant for m in range(-1, folds)}
+        chain.append(got[-1])
+        before.append(got)
+    return chain
 
-    names = [f"y{i}" for i in range(len(categories))]
 
-    def split(batches):
-        for b in batches:
-            words = [sorted(words_of(t)) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array(words, pa.list_(pa.string())), *map(b.column, names)], names=["_id", "words", *names])
-
-    kinds = ", ".join(f"{y} double" for y in names)
-    done = rows.mapInArrow(split, f"_id long, words array<string>, {kinds}")
-    fold = F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(folds)).cast("int")
-    return materialise(done.withColumn("fold", fold).repartition(TRAIN_PARTITIONS, "_id"), "labelled")
-
-
-def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_train: int = MAX_TRAIN, max_vocab: int = MAX_VOCAB, min_df: int = MIN_DF, folds: int = FOLDS) -> Chain:
-    """``categories``: name -> 0/1 condition on the columns of ``labels``, in the order of the chain."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import vector_to_array
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    rows, n = sample(docs, labels, categories, max_train, folds), len(categories)
-    counted = rows.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= min_df)
-    vocab = {r["w"]: i for i, r in enumerate(counted.orderBy(F.desc("n"), "w").limit(max_vocab).collect())}
-    size = len(vocab) + n
-    held = rows.sparkSession.sparkContext.broadcast(vocab)
-
-    @F.udf(VectorUDT())
-    def vector(words, *probabilities):
-        at = sorted(held.value[w] for w in words if w in held.value)
-        extra = [(len(held.value) + i, p) for i, p in enumerate(probabilities)]
-        return SparseVector(size, at + [i for i, _ in extra], [1.0] * len(at) + [p for _, p in extra])
-
-    chain = Chain(tuple(categories), vocab, np.zeros((n, len(vocab))), np.zeros((n, n)), np.zeros(n))
-    p = [f"p{i}" for i in range(n)]
-    for j in range(n):
-        data = rows.coalesce(TRAIN_PARTITIONS).select("*", vector("words", *p[:j]).alias("features"))
-        counts = {r[0]: r[1] for r in data.groupBy(f"y{j}").count().collect()}
-        share = counts.get(1.0, 0) / max(1, sum(counts.values()))
-        model = LogisticRegression(labelCol=f"y{j}", regParam=STRENGTH, elasticNetParam=1.0, maxIter=ITERATIONS, standardization=False)
-        if not 0 < share < 1:
-            chain.bias[j] = 60.0 if share else -60.0
-            rows = rows.withColumn(p[j], F.lit(float(share)))
-            continue
-        whole = model.fit(data)
-        w = whole.coefficients.toArray()
-        chain.weights[j], chain.earlier[j, :j], chain.bias[j] = w[: len(vocab)], w[len(vocab) : len(vocab) + j], whole.intercept
-        if j + 1 < n:
-            parts = []
-            for f in range(folds):
-                part, rest = data.where(F.col("fold") == f), data.where(F.col("fold") != f)
-                if rest.select(f"y{j}").distinct().count() < 2:
-                    parts.append(part.withColumn(p[j], F.lit(float(share))).select(*rows.columns, p[j]))
-                    continue
-                guess = model.fit(rest).transform(part)
-                parts.append(guess.withColumn(p[j], vector_to_array("probability")[1]).select(*rows.columns, p[j]))
-            out = parts[0]
-            for x in parts[1:]:
-                out = out.unionByName(x)
-            rows = materialise(out, "folds")
-    used = np.flatnonzero(np.any(chain.weights != 0, axis=0))  # words that no model uses need not be sent
-    back = {i: k for k, i in enumerate(used.tolist())}
-    chain.words = {w: back[i] for w, i in vocab.items() if i in back}
-    chain.weights = chain.weights[:, used]
-    return chain
+def _load(body: bytes) -> Linear:
+    import pickle
+
+    return pickle.loads(body)
 
 
-def score(docs: DataFrame, chain: Chain, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``keep``, and p_<category> for every row."""
-    held = docs.sparkSession.sparkContext.broadcast(chain)  # MAX_VOCAB words at most
+def score(docs: DataFrame, chain: list[Linear], names: list[str]) -> DataFrame:
+    """(row, p): each row as a struct of its columns, and a struct of the categories' probabilities."""
+    ship(docs.sparkSession)
+    cells = np.unique(np.concatenate([m.feature for m in chain])) & (1 << BITS) - 1
+    held = docs.sparkSession.sparkContext.broadcast((chain, cells))  # features of the bounded sample that a model uses
+    kinds = T.StructType([T.StructField(k, T.DoubleType()) for k in names])
 
     def run(batches):
-        c = held.value
-        known, cache = c.words.keys(), {}
-        for b in batches:
-            out = []
-            for t in b.column("_text").to_pylist():
-                present = tuple(sorted(c.words[w] for w in words_of(t) & known))
-                if present not in cache:
-                    cache[present] = c.probabilities(list(present))
-                out.append(cache[present])
-                if len(cache) > 50_000:
-                    cache.clear()
-            columns = [b.column(i) for i in range(b.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.array([p[j] for p in out], pa.float64()) for j in range(len(c.categories)))], names=[*b.schema.names[:-1], *(f"p_{k}" for k in c.categories)])
-
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keep, text_or_empty().alias("_text"))
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields[:-1]] + [f"p_{k} double" for k in chain.categories]
-    return given.mapInArrow(run, ", ".join(fields))
+        chain, cells = held.value
+        used = np.zeros(1 << BITS, bool)
+        used[cells] = True
+        for b in (part for whole in batches for part in parts(whole, 1 << 20)):
+            row, cell = features(*utf8(b.column("text")))
+            some = used[cell]
+            row, feature = presence(row[some], cell[some])
+            p = np.zeros((b.num_rows, len(chain)))
+            for j, model in enumerate(chain):
+                p[:, j] = model.probabilities(b.num_rows, row, feature, p[:, :j])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.StructArray.from_arrays([pa.array(c) for c in p.T], names)], names=["row", "p"])
+
+    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text_or_empty().alias("text"))
+    return given.mapInArrow(run, T.StructType([given.schema["row"], T.StructField("p", kinds)]))
 
 
 def categories_of(labels: DataFrame) -> dict[str, Column]:
@@ -158,14 +282,12 @@ def categories_of(labels: DataFrame) -> dict[str, Column]:
 
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """doc_id, p_low_quality, p_toxic, toxic for every row."""
-    chain = fit(docs, labels, categories_of(labels), **options)
-    return score(docs, chain).withColumn("toxic", F.col("p_toxic") >= threshold)
+    kinds = categories_of(labels)
+    scored = score(docs.select("doc_id", "text"), fit(docs, labels, kinds, **options), list(kinds))
+    return scored.select(F.col("row.doc_id").cast("long").alias("doc_id"), *(F.col(f"p.{k}").alias(f"p_{k}") for k in kinds), (F.col("p.toxic") >= threshold).alias("toxic"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """The documents that are not toxic, with all their columns."""
-    chain = fit(docs, labels, categories_of(labels), **options)
-    held = [c for c in docs.columns if c != "doc_id"]
-    if any(c == "_text" or c.startswith("p_") for c in held):
-        raise ValueError("columns named _text or p_... clash with the scores")
-    return score(docs, chain, tuple(held)).where(F.col("p_toxic") < threshold).select(*docs.columns)
+    kinds = categories_of(labels)
+    return score(docs, fit(docs, labels, kinds, **options), list(kinds)).where(F.col("p.toxic") < threshold).select("row.*")
