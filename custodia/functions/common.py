@@ -6,6 +6,7 @@ import os
 import shutil
 import site
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Only a session on one machine may lack that setting; it gets a folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that nothing before it runs twice
+    and a lost executor costs only a read."""
+    spark = df.sparkSession
+    ship(spark)
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

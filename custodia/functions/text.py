@@ -60,10 +60,10 @@ def norm_relation(value: Column | str) -> Column:
     return F.replace(F.lower(F.trim(col(value))), F.lit(" "), F.lit(""))
 
 
-def category_label(value: Column | str, labels: dict[str, str], fallback: str = "Unknown") -> Column:
-    """E27"""
+def category_label(value: Column | str, labels: dict[str, str], fallback: str = "{value}") -> Column:
+    """The label of a category; of an unknown one ``fallback``, with its name for ``{value}``."""
     chain = reduce(lambda c, kv: c.when(col(value) == kv[0], kv[1]), labels.items(), F.when(F.lit(False), F.lit(None)))
-    return chain.otherwise(F.lit(fallback))
+    return chain.otherwise(render_template(fallback, {"value": value}))
 
 
 def render_template(template: str, values: dict[str, Column | str]) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_title
+from .ranking import first_names, running
 
 
 def _having(records: DataFrame, key: str, titles: bool) -> DataFrame:
@@ -29,20 +30,19 @@ def duplicate_groups(records: DataFrame) -> DataFrame:
 
 def number_groups(members: DataFrame) -> DataFrame:
     """(id, type, group_key, created) -> group number, titles first, and the member's number by creation. Groups are
-    numbered over a table of one row for each group; members find theirs by a join."""
+    numbered by ranges of their keys; members find theirs by a join."""
     groups = members.select("type", "group_key").distinct()
     rank = F.when(F.col("type") == "title", 0).otherwise(1)
-    numbered = groups.withColumn("group_no", F.row_number().over(Window.orderBy(rank, "group_key")))
+    numbered = running(groups, [], [rank, F.col("group_key")], "group_no")
     member = F.row_number().over(Window.partitionBy("type", "group_key").orderBy("created", "id"))
-    return members.join(numbered, ["type", "group_key"]).select("id", "type", "group_no", member.alias("member_no"))
+    return members.join(numbered, ["type", "group_key"]).select("id", "type", F.col("group_no").cast("int").alias("group_no"), member.alias("member_no"))
 
 
-def several_drafts(drafts: DataFrame) -> DataFrame:
-    """(id, key) -> every draft of a key that has several, with the count and the smallest other id."""
-    ids = drafts.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a")).where(F.col("n") > 1)
-    second = drafts.join(ids.select("key", "a"), "key").where(F.col("id") != F.col("a")).groupBy("key").agg(F.min("id").alias("b"))
-    joined = drafts.join(ids.select("key", "n", "a"), "key").join(second, "key")
-    return joined.select("id", "key", "n", F.when(F.col("id") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
+def several_drafts(drafts: DataFrame, sample: int = 10) -> DataFrame:
+    """(id, key) -> every draft of a key that has several, with their count and the first ``sample`` other ids, in order."""
+    held = first_names(drafts, ["key"], sample + 1, "id").where(F.col("n_names") > 1)
+    others = F.slice(F.filter("names", lambda x: x != F.col("id")), 1, sample)
+    return drafts.join(held, "key").select("id", "key", F.col("n_names").alias("n"), F.array_join(others.cast("array<string>"), ", ").alias("others"))
 
 
 def find_twin(folders: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import items
+from ..functions import items, text
+from .ranking import first_names, names_text
 
 
 def _sides(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -35,14 +36,20 @@ def reconcile_summary(status: DataFrame) -> DataFrame:
 
 
 def side_stats(files: DataFrame, sample: int = 10) -> DataFrame:
-    """Site, side, bytes, is_zero, is_tiny, discrepancy per file -> counts and bytes by site and side."""
-    return files.groupBy("site", "side").agg(
+    """Site, side, name, bytes, is_zero, is_tiny, discrepancy per file -> counts and bytes by site and side, and the first
+    ``sample`` names of each kind of file that counts."""
+    kinds = {"zero": F.col("is_zero"), "tiny": F.col("is_tiny"), "odd": F.col("discrepancy").isNotNull()}
+    marked = files.select("site", "side", "name", F.explode(F.array_compact(F.array(*(F.when(c, k) for k, c in kinds.items())))).alias("kind"))
+    named = first_names(marked, ["site", "side", "kind"], sample).withColumn("text", names_text(F.col("names"), F.col("n_names")))
+    named = named.groupBy("site", "side").agg(*(F.max(F.when(F.col("kind") == k, F.col("text"))).alias(f"names_{k}") for k in kinds))
+    counts = files.groupBy("site", "side").agg(
         F.count("*").alias("n_items"),
         F.sum("bytes").alias("total_bytes"),
         F.count_if("is_zero").alias("n_zero"),
         F.count_if("is_tiny").alias("n_tiny"),
         F.count("discrepancy").alias("n_discrepancies"),
     )
+    return counts.join(named, ["site", "side"], "left").fillna("", [f"names_{k}" for k in kinds])
 
 
 def self_check(files: DataFrame, stats: DataFrame) -> DataFrame:
@@ -70,17 +77,20 @@ def manifest_problems(manifest: DataFrame, entries: DataFrame, archives: DataFra
     agree on, by the archive that owns an item: that of its day. ``archives``: site, archive, recorded. One table of
     problems: site, archive, code, n."""
     day = items.day_key("name")
-    owned = manifest.withColumn("archive", F.when(day.isNotNull(), F.concat_ws("_", "site", day)))
-    undated = owned.where(F.col("archive").isNull()).groupBy("site").agg(F.count("*").alias("n")).select("site", F.lit(None).cast("string").alias("archive"), F.lit("undatable").alias("code"), "n")
-    listed = owned.where(F.col("archive").isNotNull())
+    owned = manifest.withColumn("_day", day).withColumn("archive", F.when(F.col("_day").isNotNull(), F.concat_ws("_", "site", "_day"))).withColumn("_m", F.lit(True))
     there = entries.select("site", "archive", "name", F.col("bytes").alias("held"), F.lit(True).alias("_e"))
-    held = archives.where("recorded").select("site", "archive")
-    pairs = listed.withColumn("_m", F.lit(True)).join(there, ["site", "archive", "name"], "full_outer").join(held, ["site", "archive"], "left_semi")
-    code = F.when(F.col("_e").isNull(), "missing").when(F.col("_m").isNull(), "extra").when(~size_agrees(), "size_differs")
-    files = pairs.select("site", "archive", code.alias("code")).where(F.col("code").isNotNull()).groupBy("site", "archive", "code").agg(F.count("*").alias("n"))
-    absent = orphaned_days(listed, archives).select("site", "archive", F.lit("archive_absent").alias("code"), "n")
-    idle = held.join(listed.select("site", "archive").distinct(), ["site", "archive"], "left_anti").select("site", "archive", F.lit("archive_unlisted").alias("code"), F.lit(1).cast("long").alias("n"))
-    return undated.unionByName(files).unionByName(absent).unionByName(idle)
+    pairs = owned.join(there, ["site", "archive", "name"], "full_outer").select("site", "archive", F.col("_m").isNotNull().alias("listed"), F.col("_e").isNotNull().alias("there"), size_agrees().alias("agrees"), F.lit(False).alias("recorded"))
+    # one pass over files and archives together: what a file means depends on whether its archive is recorded
+    marks = archives.where("recorded").select("site", "archive", F.lit(False).alias("listed"), F.lit(False).alias("there"), F.lit(None).cast("boolean").alias("agrees"), F.lit(True).alias("recorded"))
+    listed, there = F.col("listed"), F.col("there")
+    counted = pairs.unionByName(marks).groupBy("site", "archive").agg(
+        F.bool_or("recorded").alias("recorded"), F.count_if(listed).alias("listed"), F.count_if(listed & ~there).alias("missing"), F.count_if(there & ~listed).alias("extra"), F.count_if(listed & there & ~F.col("agrees")).alias("size_differs"),
+    )
+    sound, dated = F.col("recorded"), F.col("archive").isNotNull()
+    codes = {"undatable": (~dated, F.col("listed")), "archive_absent": (dated & ~sound, F.col("listed")), "archive_unlisted": (dated & sound & (F.col("listed") == 0), F.lit(1).cast("long"))}
+    codes |= {k: (dated & sound, F.col(k)) for k in ("missing", "extra", "size_differs")}
+    found = F.array_compact(F.array(*(F.when(rule & (n > 0), F.struct(F.lit(k).alias("code"), n.alias("n"))) for k, (rule, n) in codes.items())))
+    return counted.select("site", "archive", F.explode(found).alias("p")).select("site", "archive", "p.code", "p.n")
 
 
 def size_agrees():
@@ -153,12 +163,18 @@ def name_sets(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def diverging(ours: DataFrame, twin: DataFrame) -> DataFrame:
     """(site, name, digest): artifacts that the twin lacks or holds with another content."""
-    other = twin.select("site", "name", F.col("digest").alias("_d"))
-    return ours.join(other, ["site", "name"], "left").where(~F.col("digest").eqNullSafe(F.col("_d"))).select("site", "name", F.when(F.col("_d").isNull(), "absent").otherwise("differs").alias("how"))
+    other = twin.select("site", "name", F.col("digest").alias("_d"), F.lit(True).alias("_t"))
+    how = F.when(F.col("_t").isNull(), "absent").when(~F.col("digest").eqNullSafe(F.col("_d")), "differs")
+    return ours.join(other, ["site", "name"], "left").select("site", "name", how.alias("how")).where(F.col("how").isNotNull())
 
 
 def key_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(id, doc: map of text) of two versions -> id, key, change: removed, added, same or CHANGED."""
+    """(id, doc: map of text) of two versions -> id, key, change (removed, added, same or CHANGED) and detail: the value that
+    went or came, both values, or of long texts the lengths and the first difference."""
     rows = lambda d, v: d.select("id", F.explode("doc").alias("key", v))
     change = F.when(F.col("b").isNull(), "removed").when(F.col("a").isNull(), "added").when(F.col("a") == F.col("b"), "same").otherwise("CHANGED")
-    return rows(old, "a").join(rows(new, "b"), ["id", "key"], "full_outer").select("id", "key", change.alias("change"))
+    count = lambda c: F.format_number(F.length(c), 0)
+    far = F.concat(count("a"), F.lit(" -> "), count("b"), F.lit(" chars, first difference at offset "), F.format_number(text.first_diff("a", "b"), 0))
+    detail = F.when(F.col("b").isNull(), text.shorten("a")).when(F.col("a").isNull(), text.shorten("b")).when(F.col("a") == F.col("b"), "")
+    detail = detail.when(F.length("a") > 200, far).otherwise(F.concat(text.shorten("a"), F.lit("  ->  "), text.shorten("b")))
+    return rows(old, "a").join(rows(new, "b"), ["id", "key"], "full_outer").select("id", "key", change.alias("change"), detail.alias("detail"))

@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions import items
 from ..functions.common import col
+from .ranking import first_names, names_text
 
 
 def group_by_day(files: DataFrame, sample: int = 10) -> DataFrame:
     """A10: (site, name) -> site, day, n_items; a site with an undatable item gets one refused row that names the first ones."""
     dated = files.withColumn("day", items.day_key("name"))
-    bad = dated.where(F.col("day").isNull()).groupBy("site").agg(F.count("*").alias("n_items"), F.min("name").alias("first_bad"))
+    wrong = dated.where(F.col("day").isNull())
+    named = first_names(wrong, ["site"], sample).select("site", names_text(F.col("names"), F.col("n_names")).alias("named"))
+    bad = wrong.groupBy("site").agg(F.count("*").alias("n_items")).join(named, "site")
     good = dated.join(bad.select("site"), "site", "left_anti").groupBy("site", "day").agg(F.count("*").alias("n_items"))
     return good.select("site", "day", "n_items", F.lit(None).cast("string").alias("refused")).unionByName(
-        bad.select("site", F.lit(None).cast("string").alias("day"), "n_items", F.concat(F.lit("undatable, such as "), F.col("first_bad")).alias("refused"))
+        bad.select("site", F.lit(None).cast("string").alias("day"), "n_items", F.concat(F.lit("undatable: "), F.col("named")).alias("refused"))
     )
 
 
@@ -46,15 +49,19 @@ def split_advice(needed: Column | str) -> Column:
     return F.when(n == 0, "no room beside the companions").when(n <= 2, "split into two").otherwise(F.concat(F.lit("split into "), n.cast("string"), F.lit(", more than the splitter makes")))
 
 
-def ambiguous_keys(folders: DataFrame) -> DataFrame:
-    """(key, folder) -> keys that several folders claim."""
-    return folders.groupBy("key").agg(F.countDistinct("folder").alias("n"), F.min("folder").alias("first"), F.max("folder").alias("last")).where(F.col("n") > 1)
+def ambiguous_keys(folders: DataFrame, sample: int = 10) -> DataFrame:
+    """(key, folder) -> keys that several folders claim, how many and the first ``sample`` of them."""
+    return first_names(folders, ["key"], sample, "folder").where(F.col("n_names") > 1).select("key", F.col("n_names").alias("n"), names_text(F.col("names"), F.col("n_names")).alias("folders"))
 
 
-def blocking(files: DataFrame) -> DataFrame:
-    """(site, name, bytes, mtime) -> items that keep an archive from being made."""
-    zero, old = F.col("bytes") == 0, items.is_pre_1980("mtime")
-    return files.groupBy("site").agg(F.count_if(zero).alias("n_zero"), F.count_if(old).alias("n_old"), F.min(F.when(zero, F.col("name"))).alias("first_zero"), F.min(F.when(old, F.col("name"))).alias("first_old"))
+def blocking(files: DataFrame, sample: int = 10) -> DataFrame:
+    """(site, name, bytes, mtime) -> items that keep an archive from being made: counts and the first names of each kind."""
+    kinds = {"zero": F.col("bytes") == 0, "old": items.is_pre_1980("mtime")}
+    marked = files.select("site", "name", F.explode(F.array_compact(F.array(*(F.when(c, k) for k, c in kinds.items())))).alias("kind"))
+    named = first_names(marked, ["site", "kind"], sample).withColumn("text", names_text(F.col("names"), F.col("n_names")))
+    named = named.groupBy("site").agg(*(F.max(F.when(F.col("kind") == k, F.col("text"))).alias(f"names_{k}") for k in kinds))
+    counts = files.groupBy("site").agg(*(F.count_if(c).alias(f"n_{k}") for k, c in kinds.items()))
+    return counts.join(named, "site", "left").fillna("", [f"names_{k}" for k in kinds])
 
 
 def write_packed(files: DataFrame, path: str) -> None:

@@ -66,6 +66,11 @@ def related_identifiers(rows: DataFrame, types: dict[str, str]) -> DataFrame:
     return out.where((F.coalesce("identifier", F.lit("")) != "") & (F.coalesce("relation_type", F.lit("")) != ""))
 
 
+def references(rows: DataFrame) -> DataFrame:
+    """(reference) trimmed; blank ones are skipped."""
+    return rows.select(F.trim("reference").alias("reference")).where(F.coalesce("reference", F.lit("")) != "")
+
+
 def route_list(value: Column | str, marker: str, exists: Column) -> Column:
     """Which list of related identifiers a site gets: its own, else by a marker in its keywords."""
     c = F.col(value) if isinstance(value, str) else value
@@ -83,6 +88,17 @@ def people(column: str, role: str | None = None) -> Column:
     return F.transform(column, one)
 
 
+def fundings(column: str) -> Column:
+    """Array of (funder_id, award_title, award_number, award_url) -> array of fundings as records need them; without an
+    address an award has no identifiers."""
+    def one(f):
+        ids = F.when(F.coalesce(f["award_url"], F.lit("")) != "", F.array(F.struct(F.lit("url").alias("scheme"), f["award_url"].alias("identifier"))))
+        award = F.struct(F.struct(F.coalesce(f["award_title"], F.lit("")).alias("en")).alias("title"), f["award_number"].alias("number"), ids.alias("identifiers"))
+        return F.struct(F.struct(f["funder_id"].alias("id")).alias("funder"), award.alias("award"))
+
+    return F.transform(column, one)
+
+
 def record_documents(sites: DataFrame, fields: dict[str, Column]) -> DataFrame:
     """One JSON document for each site; fields without a value are left out, at every depth."""
     return sites.select("site", F.to_json(F.struct(*(c.alias(k) for k, c in fields.items()))).alias("doc"))

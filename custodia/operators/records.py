@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import like_capture, like_pattern
@@ -60,9 +60,10 @@ def merge_sources(community: DataFrame, account: DataFrame, policy: str) -> Data
 
 
 def canary(candidates: DataFrame, order: list[Column], limit: int) -> DataFrame:
-    """Of the actionable rows, in order, those beyond the limit are labelled skipped."""
-    ranked = candidates.where("actionable").withColumn("_n", F.row_number().over(Window.orderBy(*order)))
-    return ranked.select("id", F.when(F.col("_n") > limit, "skipped").otherwise("planned").alias("label")).unionByName(candidates.where("not actionable").select("id", F.lit("not actionable").alias("label")))
+    """Of the actionable rows, in order, those beyond the limit are labelled skipped. Ids are unique, and ``order`` is total."""
+    first = candidates.where("actionable").orderBy(*order).limit(limit).select("id", F.lit(True).alias("_first"))
+    label = F.when(~F.col("actionable"), "not actionable").when(F.col("_first"), "planned").otherwise("skipped")
+    return candidates.join(first, "id", "left").select("id", label.alias("label"))
 
 
 def footer(records: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import casefold
 from ..functions.items import item_timestamp
 from ..functions.keys import parse_part
+from .ranking import running
 
 
 def _order():
@@ -15,10 +16,9 @@ def _order():
 
 
 def positions(files: DataFrame) -> DataFrame:
-    """(site, name, bytes) with position i and the bytes before it, in canonical order: by time, then by name."""
-    w = Window.partitionBy("site").orderBy(*_order())
-    before = F.coalesce(F.sum("bytes").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return files.withColumn("i", F.row_number().over(w) - 1).withColumn("before", before)
+    """(site, name, bytes) with position i and the bytes before it, in canonical order: by time, then by name. The items of a
+    large site are several ranges of that order."""
+    return running(files, ["site"], _order(), "i", {"before": "bytes"}).withColumn("i", F.col("i") - 1)
 
 
 def cuts(placed: DataFrame) -> DataFrame:

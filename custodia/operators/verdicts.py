@@ -101,6 +101,26 @@ def missing_state_cause(f: DataFrame) -> DataFrame:
     ], "no evidence")
 
 
+#: What to do about each cause, in the words of this package.
+ACTIONS = {
+    "state lost, id in the log": "restore the state from the log, then finish the upload",
+    "log unreadable": "look for the record among duplicates, then write the state by hand",
+    "creation failed": "look into the failure log, then run again",
+    "prepared again after success": "compare with the record before running; a new run would make a duplicate",
+    "no archive": "prepare the site again",
+    "in the done-set": "verify the record; take a stale path out of the done-set",
+    "no metadata row": "add the site's metadata row, then run again",
+    "failed before creation": "mend the last error, then run again",
+    "no evidence": "run the upload",
+}
+
+
+def suggested_action(cause: Column | str = "verdict") -> Column:
+    """What to do about a cause; NULL for other texts."""
+    value = F.col(cause) if isinstance(cause, str) else cause
+    return F.element_at(F.create_map(*(F.lit(x) for kv in ACTIONS.items() for x in kv)), value)
+
+
 def split_verdict(f: DataFrame, resume: bool = False, allow_oversized: bool = False, limit: int = 50_000_000_000) -> DataFrame:
     """part_total, part2_exists, part2_bound, n_untrusted, plan_problem, cut, n_differing, n_unexpected, n_in_part2, bytes1,
     bytes2, n_remaining, n_companions_missing."""

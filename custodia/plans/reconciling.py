@@ -43,11 +43,17 @@ def j01_summary(spark, d):
 
 def _classified(spark, d):
     docs = table(spark, d, "documents")
-    both = docs.select(F.col("source").alias("site"), F.col("n_chars").alias("bytes"), F.explode(F.array(F.lit("disk"), F.lit("archive"))).alias("side"))
-    return both.where("side = 'disk' or bytes % 5 > 0").select("site", "side", "bytes", (F.col("bytes") == 0).alias("is_zero"), ((F.col("bytes") > 0) & (F.col("bytes") < 1024)).alias("is_tiny"), F.when(F.col("bytes") % 11 == 0, "odd").alias("discrepancy"))
+    both = docs.select(F.col("source").alias("site"), F.col("doc_id").cast("string").alias("name"), F.col("n_chars").alias("bytes"), F.explode(F.array(F.lit("disk"), F.lit("archive"))).alias("side"))
+    return both.where("side = 'disk' or bytes % 5 > 0").select("site", "side", "name", "bytes", (F.col("bytes") == 0).alias("is_zero"), ((F.col("bytes") > 0) & (F.col("bytes") < 1024)).alias("is_tiny"), F.when(F.col("bytes") % 11 == 0, "odd").alias("discrepancy"))
 
 
-_SIDES = "c AS (SELECT source AS site, 'disk' AS side, n_chars AS bytes FROM documents UNION ALL SELECT source, 'archive', n_chars FROM documents WHERE n_chars % 5 > 0)"
+_SIDES = "c AS (SELECT source AS site, 'disk' AS side, CAST(doc_id AS VARCHAR) AS name, n_chars AS bytes FROM documents UNION ALL SELECT source, 'archive', CAST(doc_id AS VARCHAR), n_chars FROM documents WHERE n_chars % 5 > 0)"
+
+
+def _named(where, column="name", n=10):
+    """SQL of the first names that a condition holds for, and how many there are if more."""
+    names, count = f"list(DISTINCT {column}) FILTER (WHERE {where})", f"count(DISTINCT {column}) FILTER (WHERE {where})"
+    return f"coalesce(array_to_string(list_sort({names})[1:{n}], ', ') || CASE WHEN {count} > {n} THEN ', ... (' || {count} || ')' ELSE '' END, '')"
 
 
 def a02(spark, d):
@@ -154,7 +160,7 @@ def a05(spark, d):
     return dedup.duplicate_groups(rows)
 
 
-_A05 = """WITH r AS (SELECT doc_id AS id, doc_id % 50 AS parent, source AS key, md5(text) AS title FROM documents WHERE NOT contains(text, 'ß') AND NOT contains(upper(text), 'İ')),
+_A05 = """WITH r AS (SELECT doc_id AS id, doc_id % 50 AS parent, source AS key, md5(text) AS title FROM documents),
 t AS (SELECT title FROM r GROUP BY title HAVING count(*) >= 2 AND count(DISTINCT parent) >= 2), k AS (SELECT key FROM r GROUP BY key HAVING count(*) >= 2 AND count(DISTINCT parent) >= 2 AND count(DISTINCT title) >= 2)
 SELECT id, 'title' AS type, title AS group_key FROM r WHERE title IN (FROM t) UNION ALL SELECT id, 'key', key FROM r WHERE key IN (FROM k)"""
 
@@ -180,7 +186,7 @@ def a10(spark, d):
     return layout.group_by_day(e.select("site", F.when(F.col("event_id") % 997 == 0, F.concat(F.lit("x"), "name")).otherwise(F.col("name")).alias("name")))
 
 
-_A10 = f"WITH {_EVENTS}, b AS (SELECT site, count(*) AS n, min('x' || name) AS f FROM e WHERE event_id % 997 = 0 GROUP BY site) SELECT site, strftime(ts, '%Y_%m_%d') AS day, count(*) AS n_items, NULL AS refused FROM e WHERE site NOT IN (SELECT site FROM b) GROUP BY ALL UNION ALL SELECT site, NULL, n, 'undatable, such as ' || f FROM b"
+_A10 = f"WITH {_EVENTS}, b AS (SELECT site, count(*) AS n, {_named("true", "'x' || name")} AS f FROM e WHERE event_id % 997 = 0 GROUP BY site) SELECT site, strftime(ts, '%Y_%m_%d') AS day, count(*) AS n_items, NULL AS refused FROM e WHERE site NOT IN (SELECT site FROM b) GROUP BY ALL UNION ALL SELECT site, NULL, n, 'undatable: ' || f FROM b"
 
 
 def a11(spark, d):
@@ -269,7 +275,7 @@ def w01_full(spark, d):
 ORACLE_SQL = {
     "j01_reconcile": f"{_STATUS} SELECT site, name, status FROM s",
     "j01_reconcile_summary": f"{_STATUS} SELECT site, " + ", ".join(f"count(*) FILTER (WHERE status = '{k}') AS n_{k}, min(name) FILTER (WHERE status = '{k}') AS first_{k}" for k in ("missing", "extra", "size_differs")) + ", bool_and(status = 'match') AS matches FROM s GROUP BY site",
-    "a02_side_stats": f"WITH {_SIDES} SELECT site, side, count(*) AS n_items, sum(bytes)::BIGINT AS total_bytes, count(*) FILTER (WHERE bytes = 0) AS n_zero, count(*) FILTER (WHERE bytes > 0 AND bytes < 1024) AS n_tiny, count(*) FILTER (WHERE bytes % 11 = 0) AS n_discrepancies FROM c GROUP BY ALL",
+    "a02_side_stats": f"WITH {_SIDES} SELECT site, side, count(*) AS n_items, sum(bytes)::BIGINT AS total_bytes, count(*) FILTER (WHERE bytes = 0) AS n_zero, count(*) FILTER (WHERE bytes > 0 AND bytes < 1024) AS n_tiny, count(*) FILTER (WHERE bytes % 11 = 0) AS n_discrepancies, {_named('bytes = 0')} AS names_zero, {_named('bytes > 0 AND bytes < 1024')} AS names_tiny, {_named('bytes % 11 = 0')} AS names_odd FROM c GROUP BY site, side",
     "a03_self_check": f"WITH {_SIDES} SELECT DISTINCT site, side, 'tiny' AS problem FROM c WHERE site = 'src1'",
     "a04_audit_report": "SELECT source AS site, count(*) AS disk_items, count(*) FILTER (WHERE n_chars % 5 > 0) AS archive_items, count(*) FILTER (WHERE n_chars > 0 AND n_chars < 1024) AS disk_tiny, bool_and(n_chars % 5 > 0) AS matches, CASE WHEN bool_and(n_chars % 5 > 0) THEN '' ELSE 'missing: ' || count(*) FILTER (WHERE n_chars % 5 = 0) END AS notes FROM documents GROUP BY source",
     "j02_manifest_problems": _J02,
@@ -286,7 +292,7 @@ ORACLE_SQL = {
     "u02_name_sets": "WITH a AS (SELECT source AS site, md5(text) AS name FROM documents WHERE doc_id % 3 > 0), b AS (SELECT source AS site, md5(text) AS name FROM documents WHERE doc_id % 2 > 0) SELECT *, 'left' AS kind FROM (FROM a EXCEPT FROM b) UNION ALL SELECT *, 'right' FROM (FROM b EXCEPT FROM a) UNION ALL SELECT *, 'both' FROM (FROM a INTERSECT FROM b)",
     "a05_duplicate_groups": _A05,
     "w03_group_numbers": f"WITH m AS ({_A05}) SELECT id, type, dense_rank() OVER (ORDER BY type = 'key', group_key)::INTEGER AS group_no, row_number() OVER (PARTITION BY type, group_key ORDER BY -id, id)::INTEGER AS member_no FROM m",
-    "a07_several_drafts": "WITH d AS (SELECT o_orderkey AS id, o_custkey AS key, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WHERE o_orderstatus = 'O'), m AS (SELECT key, min(id) AS a, list_sort(list(id))[2] AS b FROM d GROUP BY key) SELECT id, key, n, CASE WHEN id = a THEN b ELSE a END AS other FROM d JOIN m USING (key) WHERE n > 1",
+    "a07_several_drafts": "WITH d AS (SELECT o_orderkey AS id, o_custkey AS key FROM orders WHERE o_orderstatus = 'O'), m AS (SELECT key, count(*) AS n, list_sort(list(id)) AS ids FROM d GROUP BY key) SELECT id, key, n, array_to_string(list_filter(ids, lambda x: x <> id)[1:10], ', ') AS others FROM d JOIN m USING (key) WHERE n > 1",
     "w01_balanced_split": f"{_ORDERED} SELECT site, name, i::INTEGER AS i, CASE WHEN i < cut THEN 1 WHEN cut IS NOT NULL THEN 2 END AS part FROM o LEFT JOIN c USING (site)",
     "w05_verify_plan": f"{_ORDERED} SELECT '1' AS site, CASE WHEN cut = 1 THEN 'empty half' ELSE 'not contiguous' END AS problem FROM c WHERE site = '1'",
     "w06_cut_boundary": f"{_ORDERED} SELECT site, max_by(name, i) FILTER (WHERE i < cut AND NOT (site = '1' AND i = 0)) AS last_of_1, min_by(name, i) FILTER (WHERE i >= cut OR (site = '1' AND i = 0)) AS first_of_2 FROM o JOIN c USING (site) GROUP BY site",
@@ -294,8 +300,8 @@ ORACLE_SQL = {
     "a11_layout_mode": "SELECT o_custkey AS site, CASE o_custkey % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'per_day' ELSE CASE WHEN bool_or(o_orderkey % 2 = 0) AND bool_or(o_orderkey % 2 = 1) THEN 'mixed' WHEN bool_or(o_orderkey % 2 = 0) THEN 'per_day' ELSE 'single' END END AS mode FROM orders GROUP BY o_custkey",
     "a12_file_cap": "SELECT CAST(user_id AS VARCHAR) AS site, count(DISTINCT strftime(ts, '%Y%m%d')) + 14 AS n_files, count(DISTINCT strftime(ts, '%Y%m%d')) + 14 <= 35 AS allowed FROM events GROUP BY user_id",
     "a13_records_needed": "WITH n AS (SELECT p_partkey, CASE WHEN 100 - p_size * 3 <= 0 THEN 0 ELSE ceil((p_partkey % 300) / (100 - p_size * 3)::DOUBLE)::BIGINT END AS needed FROM part) SELECT *, CASE WHEN needed = 0 THEN 'no room beside the companions' WHEN needed <= 2 THEN 'split into two' ELSE 'split into ' || needed || ', more than the splitter makes' END AS advice FROM n",
-    "a15_ambiguous_keys": "SELECT s_suppkey % 60 AS key, count(DISTINCT s_name) AS n, min(s_name) AS first, max(s_name) AS last FROM supplier GROUP BY 1 HAVING count(DISTINCT s_name) > 1",
-    "a18_blocking": f"WITH {_EVENTS}, t AS (SELECT *, event_id % 9 = 0 AS z, epoch(ts - to_years(CAST(event_id % 3 * 25 AS INTEGER))) < 315532800 AS o FROM e) SELECT site, count(*) FILTER (WHERE z) AS n_zero, count(*) FILTER (WHERE o) AS n_old, min(name) FILTER (WHERE z) AS first_zero, min(name) FILTER (WHERE o) AS first_old FROM t GROUP BY site",
+    "a15_ambiguous_keys": f"SELECT s_suppkey % 60 AS key, count(DISTINCT s_name) AS n, {_named('true', 's_name')} AS folders FROM supplier GROUP BY 1 HAVING count(DISTINCT s_name) > 1",
+    "a18_blocking": f"WITH {_EVENTS}, t AS (SELECT *, event_id % 9 = 0 AS z, epoch(ts - to_years(CAST(event_id % 3 * 25 AS INTEGER))) < 315532800 AS o FROM e) SELECT site, count(*) FILTER (WHERE z) AS n_zero, count(*) FILTER (WHERE o) AS n_old, {_named('z')} AS names_zero, {_named('o')} AS names_old FROM t GROUP BY site",
     "a09_recording_dates": "SELECT CAST(user_id AS VARCHAR) AS site, strftime(min(ts), '%Y-%m-%d') AS first_day, strftime(max(ts), '%Y-%m-%d') AS last_day, count(DISTINCT strftime(ts, '%Y%m%d_%H%M%S')) AS n_names FROM events GROUP BY user_id",
     "p02_requested": "SELECT upper(n_name) AS key, n_nationkey AS position, n_nationkey % 2 = 0 AS found FROM nation",
     "p03_not_done": "SELECT DISTINCT o_custkey AS site FROM orders WHERE NOT (o_orderkey % 5 > 0 OR o_custkey % 2 = 0)",

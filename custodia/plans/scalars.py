@@ -58,7 +58,7 @@ SPECS = {
     "e24_split_trim": ("part", "p_partkey", lambda: {"n": F.size(text.split_trim(F.replace("p_type", F.lit(" "), F.lit(" : ")))), "first": text.split_trim(F.replace("p_type", F.lit(" "), F.lit(" : ")))[0]}, "CAST(len(string_split(p_type, ' ')) AS INTEGER) AS n, split_part(p_type, ' ', 1) AS first"),
     "e25_map_vocab": ("customer", "c_custkey", lambda: {"kind": text.map_vocab(F.concat(F.lit(" "), "c_mktsegment"), VOCABULARY)}, "CASE c_mktsegment WHEN 'BUILDING' THEN 'structure' WHEN 'MACHINERY' THEN 'device' WHEN 'HOUSEHOLD' THEN 'home' ELSE 'other' END AS kind"),
     "e26_norm_relation": ("orders", "o_orderkey", lambda: {"r": text.norm_relation("o_orderpriority")}, "replace(lower(trim(o_orderpriority)), ' ', '') AS r"),
-    "e27_category_label": ("orders", "o_orderkey", lambda: {"label": text.category_label("o_orderstatus", LABELS)}, "CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE 'Unknown' END AS label"),
+    "e27_category_label": ("orders", "o_orderkey", lambda: {"label": text.category_label("o_orderstatus", LABELS, "{value} order")}, "CASE o_orderstatus WHEN 'F' THEN 'finished' WHEN 'O' THEN 'open' ELSE o_orderstatus || ' order' END AS label"),
     "e28_render_template": ("customer", "c_custkey", lambda: {"t": text.render_template("Record {id} of {segment} {other}", {"id": "c_custkey", "segment": "c_mktsegment"})}, "'Record ' || c_custkey || ' of ' || c_mktsegment || ' {other}' AS t"),
     "e29_date_interval": ("orders", "o_orderkey", lambda: {c: text.date_interval(F.when(F.col("o_orderkey") % 4 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")), F.when(F.col("o_orderkey") % 4 == 1, "2001-01-01").when(F.col("o_orderkey") % 4 == 2, ""))[c] for c in ("date", "description")},
         "CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 AND strftime(o_orderdate, '%Y-%m-%d') <> '2001-01-01' THEN strftime(o_orderdate, '%Y-%m-%d') || '/2001-01-01' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 AND strftime(o_orderdate, '%Y-%m-%d') <> '2001-01-01' THEN 'range' ELSE 'single day' END AS description"),

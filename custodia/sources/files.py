@@ -13,7 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.keys import parse_key_cell
 from ..functions.text import pick_column
+from ..operators.state import last_wins
 
 
 def open_path(path: str):
@@ -150,17 +152,16 @@ _CP1252 = _cp1252()
 
 def read_dirty_csv(spark: SparkSession, path: str) -> DataFrame:
     """A table that people saved: UTF-8 with or without a mark, else cp1252; ``;`` if the header has no comma. Of equal headers
-    the last counts."""
-    first = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 1 << 16).alias("c")).first()["c"]
-    try:
-        head, encoding = bytes(first).decode("utf-8-sig"), "UTF-8"
-    except UnicodeDecodeError as e:
-        cut = e.start >= len(first) - 3 and len(first) == 1 << 16  # a character cut at the end of the piece
-        head, encoding = bytes(first).decode("utf-8-sig" if cut else "cp1252", "ignore"), "UTF-8" if cut else "ISO-8859-1"
-    line = head.split("\n", 1)[0]
+    the last counts. Lines are looked at by tasks; only where a quoted field spans lines does one task read a whole file."""
+    lines = spark.read.text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    told = lines.agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("open")).first()
+    first = lines.select(F.col("value").cast("binary").alias("b")).first()
+    encoding = "ISO-8859-1" if told["utf8"] is False else "UTF-8"
+    line = bytes(first["b"] if first else b"").decode("cp1252" if encoding != "UTF-8" else "utf-8-sig", "ignore")
     sep = ";" if ";" in line and "," not in line else ","
     names = [h.strip().strip('"') for h in line.strip().split(sep)]
-    df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"')
+    df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=bool(told["open"]), escape='"')
     last = {n: i for i, n in enumerate(names)} if len(names) == len(df.columns) else {c: i for i, c in enumerate(df.columns)}
     safe = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
     fix = (lambda c: F.translate(c, *_CP1252)) if encoding == "ISO-8859-1" else (lambda c: c)
@@ -220,6 +221,14 @@ def read_done_set(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("path")).where("path <> ''").distinct()
 
 
+def read_results(spark: SparkSession, path: str, column: str = "site") -> DataFrame:
+    """Key, error_message: a results log's last row of each key, in the order of the file; cells without a key are left out, and a
+    log that is not there has no rows."""
+    rows = read_report(spark, path, [column, "error_message"], place=True)
+    keyed = rows.select(parse_key_cell(column)["key"].alias("key"), F.coalesce("error_message", F.lit("")).alias("error_message"), "_place").where("key is not null")
+    return last_wins(keyed, ["key"], "_place").drop("_place")
+
+
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """line_no, line; numbers grow within a file."""
     return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
@@ -230,13 +239,15 @@ def read_config(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path, multiLine=True)
 
 
-def read_report(spark: SparkSession, path: str, required: list[str]) -> DataFrame:
-    """An earlier report; a report that is not there is an empty one."""
+def read_report(spark: SparkSession, path: str, required: list[str], place: bool = False) -> DataFrame:
+    """An earlier report; a report that is not there is an empty one. With ``place``, a column _place orders its rows."""
     from pyspark.errors import AnalysisException
 
     try:
-        return require(spark.read.csv(path, header=True, escape='"', multiLine=True), required)
+        rows = require(spark.read.csv(path, header=True, escape='"', multiLine=True), required)
+        return rows.withColumn("_place", F.struct("_metadata.file_path", F.monotonically_increasing_id().alias("n"))) if place else rows
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in required))
+        none = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in required))
+        return none.withColumn("_place", F.lit(0)) if place else none

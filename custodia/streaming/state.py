@@ -10,9 +10,10 @@ from ..operators.state import cache_status, new_done, refresh_cache, write_cache
 
 
 def attempts(events: DataFrame, late: str = "1 day") -> DataFrame:
-    """(site, at, record_id) -> tries and latest record of each site, in update mode; events later than ``late`` are dropped and
-    their windows' state with them."""
-    return events.withWatermark("at", late).groupBy("site").agg(F.count("*").alias("tries"), F.max_by("record_id", "at").alias("record_id"))
+    """(site, at, record_id) -> tries and latest record of each site and day, as the day ends: a day that the watermark has
+    passed is given out once and forgotten, and attempts that come later are dropped, so state holds the open days only. Batches
+    of this go through ``merge_attempts``, which adds the tries up."""
+    return events.withWatermark("at", late).groupBy(F.window("at", "1 day"), "site").agg(F.count("*").alias("tries"), F.max_by("record_id", F.struct("at", "record_id")).alias("record_id"))
 
 
 def attempts_by_window(events: DataFrame, width: str = "1 hour", late: str = "1 day") -> DataFrame:

@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from custodia.operators import coverage, dedup, integrity, records, split, state, verdicts
+from custodia.operators import coverage, dedup, integrity, layout, metadata, ranking, records, split, state, verdicts
 from custodia.sources import files, sinks
 from custodia.streaming import state as streams
 
@@ -49,7 +49,7 @@ def test_swapped_sizes_do_not_match(spark):
 
 
 def test_self_check_fires(spark):
-    f = spark.createDataFrame([("s", "disk", 1, False, True, None)], "site string, side string, bytes long, is_zero boolean, is_tiny boolean, discrepancy string")
+    f = spark.createDataFrame([("s", "disk", "a", 1, False, True, None)], "site string, side string, name string, bytes long, is_zero boolean, is_tiny boolean, discrepancy string")
     stats = integrity.side_stats(f)
     assert integrity.self_check(f, stats).count() == 0
     assert integrity.self_check(f, stats.withColumn("n_items", F.lit(5))).first()["problem"] == "count"
@@ -151,7 +151,7 @@ def test_streams(spark, tmp_path):
     events = spark.readStream.schema(schema).parquet(src).select("site", F.col("mtime").alias("at"), F.col("name").alias("record_id"))
     q = streams.attempts(events).writeStream.outputMode("complete").format("memory").queryName("tries").trigger(availableNow=True).start()
     q.awaitTermination()
-    assert spark.table("tries").first()["tries"] == 2
+    assert sorted(r.tries for r in spark.table("tries").collect()) == [1, 1]  # one row for each day
 
 
 def test_duplicate_groups_keep_every_document(spark, tmp_path):
@@ -162,3 +162,66 @@ def test_duplicate_groups_keep_every_document(spark, tmp_path):
     assert sorted(r.id for r in got if r.type == "key") == [0, 1, 2, 3, 4, 5]  # s1 has one title only
     numbered = entry.queries()["w03_group_numbers"](spark, str(tmp_path)).collect()
     assert len(numbered) == 12 and {r.group_no for r in numbered} == {1, 2, 3, 4}
+
+
+def test_numbers_and_sums_go_on_from_range_to_range(spark):
+    r = random.Random(3)
+    rows = [("hot" if r.random() < 0.6 else f"s{r.randrange(5)}", r.randrange(10**6), r.randrange(9)) for _ in range(3000)]
+    got = ranking.running(spark.createDataFrame(rows, "site string, v long, b long"), ["site"], [F.col("v"), F.col("b")], "i", {"before": "b"}).collect()
+    for site in {x[0] for x in rows}:
+        total, want = 0, []
+        for n, (_, v, b) in enumerate(sorted(x for x in rows if x[0] == site), 1):
+            want.append((n, v, b, total))
+            total += b
+        assert sorted((x.i, x.v, x.b, x.before) for x in got if x.site == site) == want
+    assert ranking.running(spark.createDataFrame([], "v long"), [], [F.col("v")], "i").count() == 0
+
+
+def test_first_names(spark):
+    rows = [("a", f"n{i % 13:02d}") for i in range(40)] + [("b", "x"), ("b", None), ("c", None)]
+    got = {r.k: (r.names, r.n_names) for r in ranking.first_names(spark.createDataFrame(rows, "k string, name string"), ["k"], 3).collect()}
+    assert got == {"a": (["n00", "n01", "n02"], 13), "b": (["x"], 1)}
+
+
+def test_log_lines_are_found_by_what_they_hold(spark):
+    lines = spark.createDataFrame(list(enumerate(["failed SITE 073 late", "SITE_073_x failed", "site 073 failed", "SITE 7", "nothing", "", "SITE 73 and SITE 073 Timeout"])), "line_no long, line string")
+    keys = spark.createDataFrame([("073", "SITE 073"), ("073", "SITE_073"), ("073", "SITE 73"), ("007", "SITE 7"), ("999", "")], "key string, spelling string")
+    counts, last = state.scan_logs(lines, keys, ["failed", "late"], 1)
+    assert {r.key: r.n_lines for r in counts.collect()} == {"073": 3, "007": 2}
+    assert [(r.key, r.line_no) for r in last.collect()] == [("073", 1)]
+    assert state.scan_logs(lines, keys.limit(0), ["x"])[0].count() == 0
+
+
+def test_results_logs(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("site,error_message\n73,first\nSITE 073,last\n4,\nn/a,x\n")
+    assert {r.key: r.error_message for r in files.read_results(spark, str(tmp_path / "r.csv")).collect()} == {"073": "last", "004": ""}
+    assert files.read_results(spark, str(tmp_path / "none.csv")).count() == 0
+
+
+def test_changes_are_rendered(spark):
+    pair = lambda **d: spark.createDataFrame([(1, d)], "id long, doc map<string,string>")
+    got = {r.key: (r.change, r.detail) for r in integrity.key_diff(pair(a="x", b="1  2", c="y" * 300), pair(b="3", c="y" * 250 + "z", d="new")).collect()}
+    assert got == {"a": ("removed", "x"), "b": ("CHANGED", "1 2  ->  3"), "c": ("CHANGED", "300 -> 251 chars, first difference at offset 250"), "d": ("added", "new")}
+
+
+def test_canary_counts_actionable_rows_only(spark):
+    rows = spark.createDataFrame([(i, i % 2 == 0) for i in range(8)], "id long, actionable boolean")
+    got = {r.id: r.label for r in records.canary(rows, [F.desc("id")], 2).collect()}
+    assert [got[i] for i in (6, 4, 2, 0, 1)] == ["planned", "planned", "skipped", "skipped", "not actionable"]
+
+
+def test_sites_name_what_blocks_them(spark):
+    rows = [("s", f"{i:02d}.wav", 0 if i < 12 else 5, i) for i in range(14)] + [("t", "a.wav", 1, 10**9)]
+    d = spark.createDataFrame(rows, "site string, name string, bytes long, t long").withColumn("mtime", F.timestamp_seconds("t"))
+    got = {r.site: r for r in layout.blocking(d, 2).collect()}
+    assert (got["s"].names_zero, got["s"].n_old, got["t"].names_zero, got["t"].n_old) == ("00.wav, 01.wav, ... (12)", 14, "", 0)
+    assert layout.group_by_day(d.select("site", "name")).first()["refused"].startswith("undatable: ")
+
+
+def test_every_cause_has_an_action(spark):
+    assert set(verdicts.ACTIONS) == {"state lost, id in the log", "log unreadable", "creation failed", "prepared again after success", "no archive", "in the done-set", "no metadata row", "failed before creation", "no evidence"}
+
+
+def test_blank_references_are_skipped(spark):
+    rows = spark.createDataFrame([(" a ",), ("",), (None,)], "reference string")
+    assert [r.reference for r in metadata.references(rows).collect()] == ["a"]
