@@ -3,7 +3,8 @@
 Only DataFrame functions. Texts meet by hash in one aggregation whose key is (hash, text): rows of
 one hash come together, and the key's equality compares their bytes, so a collision makes two groups.
 Map-side aggregation sends each distinct text of a task once, however many copies it has, and no
-group is ever gathered into a row: members find their group again by a join on the digests.
+group is ever gathered into a row: members find their group again by a join on the digests, of which adaptive execution
+splits the members of a huge group (spark.sql.adaptive.skewJoin); without it they are one task's rows.
 
 Defined results: a null text counts as empty and empty texts equal each other; a null doc_id sorts
 after every other id; rows that repeat a doc_id with an equal text of equal length are one document,
@@ -58,6 +59,6 @@ def group_copies(docs: DataFrame, hash_of=content_hash) -> DataFrame:
 
 def drop_copies(docs: DataFrame, hash_of=content_hash) -> DataFrame:
     """The rows that stay, with all their columns; one for each distinct text, even where rows repeat."""
-    norm = docs.select(F.struct(*docs.columns).alias("_row"), normalised(text_or_empty()).alias("_norm"))
+    norm = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), normalised(text_or_empty()).alias("_norm"))
     rank = F.struct((-F.char_length(F.coalesce("_row.text", F.lit("")))).alias("c"), F.coalesce("_row.doc_id", F.lit((1 << 63) - 1)).alias("i"))
     return norm.groupBy(hash_of(F.col("_norm")).alias("_h"), "_norm").agg(F.min_by("_row", rank).alias("_row")).select("_row.*")

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import materialise, parts, text_or_empty
 
@@ -68,7 +69,7 @@ def entities(text: str) -> list[tuple[int, int, int]]:
                 out.append((0, start, m.end()))
                 done = m.end()
     if _DOTTED.search(text):
-        out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [(1, m.start(), m.end()) for m in _IP.finditer(text) if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m[0].split(".")))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
             digits = m[0].replace(" ", "").replace("-", "")
@@ -145,7 +146,7 @@ def disclosing(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, remo
 
     near = texts.select("text").mapInArrow(mentions, "entity string, term string, around string, n long")
     # one surrounding counts once in a text and its copies, however often it is repeated there
-    seen = near.groupBy("entity", "term", "around").agg(F.sum("n").alias("n"))
+    seen = materialise(near.groupBy("entity", "term", "around").agg(F.sum("n").alias("n")), "mentions")
     pairs = materialise(seen.groupBy("entity", "term").agg(F.count("*").alias("places"), F.sum("n").alias("near")).where(F.col("places") >= support), "pairs")
     wanted = pairs.select("term").distinct()
     bits = _filter(wanted)
@@ -165,7 +166,7 @@ def disclosing(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, remo
     totals = texts.select("text").mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("total"))
     spaces = F.char_length("text") - F.char_length(F.replace("text", F.lit(" "), F.lit("")))
     size = max(1, texts.agg(F.sum(spaces + 1)).first()[0] or 1)
-    mentioned = near.groupBy("entity").agg(F.sum("n").alias("mentioned"))
+    mentioned = seen.groupBy("entity").agg(F.sum("n").alias("mentioned"))
     scored = pairs.join(totals, "term").join(mentioned, "entity")
     left = -F.log2(F.least(F.col("near") / F.col("total"), F.lit(1.0)))
     gained = F.log2(F.lit(float(size)) / F.col("mentioned")) - left
@@ -238,13 +239,14 @@ def find(docs: DataFrame, **options) -> DataFrame:
 
 
 def sanitise(docs: DataFrame, **options) -> DataFrame:
-    """The documents with every span replaced: entities by their kind, terms by ``[TERM]`` or the kind of word."""
-    marks = find(docs, **options).where(F.size("spans") > 0).select(F.col("key").alias("_of"), F.col("spans").alias("_spans")).dropDuplicates(["_of"])
+    """The documents with every span replaced: entities by their kind, terms by ``[TERM]`` or the kind of word. All
+    columns stay, whatever their names."""
+    marks = find(docs.select("doc_id", "text"), **options).where(F.size("spans") > 0).groupBy("key").agg(F.any_value("spans").alias("spans"))
 
     def rewrite(batches):
         for b in batches:
             out = []
-            for t, spans in zip(b.column("_t").to_pylist(), b.column("_spans").to_pylist()):
+            for t, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
                 done, at = [], 0
                 for s in sorted(spans or [], key=lambda s: (s["start"], -s["end"])):
                     if s["start"] < at:
@@ -254,13 +256,11 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
                     general = "[NUMBER]" if word[:1].isdigit() else "[NAME]" if word[:1].isupper() else "[WORD]"
                     done += [t[at : s["start"]], {"remove": "[TERM]", "generalise": general}.get(s["kind"], f"[{s['kind'].upper()}]")]
                     at = s["end"]
-                out.append("".join([*done, t[at:]]))
-            rest = [b.column(i) for i in range(b.num_columns - 2)]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(out, pa.string())], names=[*b.schema.names[:-2], "_text"])
-
-    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("-")), F.md5(text_or_empty()))
-    joined = docs.withColumn("_key", key).join(marks, F.col("_key") == F.col("_of"), "left")
-    given = joined.select(*docs.columns, text_or_empty().alias("_t"), "_spans")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    text = F.when(F.col("text").isNull(), F.lit(None)).otherwise(F.col("_text"))
-    return given.mapInArrow(rewrite, f"{kinds}, _text string").withColumn("text", text).drop("_text").select(*docs.columns)
+                out.append(None if t is None else "".join([*done, t[at:]]))
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.string())], names=["row", "clean"])
+
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    key = F.concat_ws(":", F.coalesce(F.col("row.doc_id").cast("long").cast("string"), F.lit("-")), F.md5(F.coalesce(F.col("row.text").cast("string"), F.lit(""))))
+    given = rows.withColumn("key", key).join(marks, "key", "left").select("row", F.col("row.text").alias("text"), "spans")
+    done = given.mapInArrow(rewrite, StructType([given.schema["row"], StructField("clean", StringType())]))
+    return done.select(*(F.col("clean").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))

@@ -134,23 +134,24 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents, with every span replaced by ``[SECRET]`` and ``n_chars`` brought up to date.
-    Overlapping spans become one mark."""
-    keyed_docs = docs.withColumn("_key", _key())
-    spans = find_secrets(docs, rules).select(F.col("key").alias("_key"), F.struct("start", "end").alias("s"))
-    spans = spans.groupBy("_key").agg(F.array_sort(F.collect_set("s")).alias("_spans"))
+    """The documents, with every span replaced by ``[SECRET]`` and ``n_chars``, where there is one, brought up to date.
+    Overlapping spans become one mark. All other columns stay as they are, whatever their names."""
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = rows.withColumn("key", F.struct(F.col("row.doc_id").cast("long").alias("i"), F.unhex(F.md5(text)).alias("m")))
+    spans = find_secrets(docs.select("doc_id", "text"), rules).groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
     # walk the spans in order: what precedes each is kept unless an earlier span covers it
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
+    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         apart = (s["start"] > acc["at"]) | (acc["at"] == 0)
         return F.struct(
             F.when(apart, F.concat(acc["out"], gap, F.lit("[SECRET]"))).otherwise(acc["out"]).alias("out"),
             F.greatest(acc["at"], s["end"]).alias("at"),
         )
 
-    clean = F.aggregate("_spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.char_length("text"))))
-    joined = keyed_docs.join(spans, "_key", "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean)
-    return joined.withColumn("text", text).withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
+    masked = F.aggregate("spans", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text))))
+    done = rows.join(spans, "key", "left").select("row", F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(masked).alias("clean"))
+    renewed = {"text": F.col("clean"), "n_chars": F.coalesce(F.char_length("clean").cast("long"), F.lit(None) if "n_chars" not in docs.columns else F.col("row.n_chars").cast("long"))}
+    return done.select(*(renewed[c].alias(c) if c in renewed else F.col(f"row.`{c}`") for c in docs.columns))

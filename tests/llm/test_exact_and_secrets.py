@@ -98,3 +98,13 @@ def test_queries(pattern, query):
 def test_contract_query_shape(spark):
     got = registry.op2_secrets(spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+
+
+def test_redaction_keeps_columns_of_any_name(spark):
+    d = docs(spark, [SECRETS[0], None, "plain"]).selectExpr("*", "1 as _key", "'x' as _spans", "2 as key", "3 as row", "4 as spans", "5 as clean", "6 as `a.b`").drop("n_chars")
+    out = secrets.redact(d)
+    assert out.columns == d.columns
+    assert {(r.doc_id, r.text, r["_key"], r["_spans"], r.key, r.row, r.spans, r.clean, r["a.b"]) for r in out.collect()} == {
+        (i, t, 1, "x", 2, 3, 4, 5, 6) for i, t in [(0, 'x [SECRET]" y'), (1, None), (2, "plain")]
+    }
+    assert exact_dedup.drop_copies(d).columns == d.columns

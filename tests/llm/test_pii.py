@@ -133,3 +133,16 @@ def test_shared_passages_of_different_texts_count(spark):
     assert {r.term: r.action for r in pii.disclosing(docs(spark, texts), gain=3.0).collect()}["kestrel"] == "remove"
     copies = [texts[0]] * 4 + texts[4:]
     assert pii.disclosing(docs(spark, copies), gain=3.0).count() == 0
+
+
+def test_any_number_of_zeros_is_an_address_part():
+    zeros = "0" * 5000
+    assert pii.entities(f"{zeros}.1.1.1") == [(1, 0, 5006)]
+    assert pii.entities(f"{zeros}256.1.1.1") == [] and pii.entities(f"1.{zeros}255.0.0") == [(1, 0, 5009)]
+
+
+def test_sanitising_keeps_columns_of_any_name(spark):
+    d = docs(spark, ["mail a@b.cc", None, ""]).selectExpr("*", "1 as _key", "'t' as _of", "2 as _spans", "3 as _t", "4 as _text", "5 as key", "6 as row", "7 as spans", "8 as `a.b`")
+    out = pii.sanitise(d)
+    assert out.columns == d.columns
+    assert {(r.doc_id, r.text, r["_key"], r.row, r["a.b"]) for r in out.collect()} == {(0, "mail [EMAIL]", 1, 6, 8), (1, None, 1, 6, 8), (2, "", 1, 6, 8)}
