@@ -91,6 +91,7 @@ class Tree:
         """(ids, distances), k of each query: the nearest that are closer than or at ``bound``; -1 where there are fewer."""
         self.k, self.factor = k, factor
         self.own, self.q, self.bound = own, queries, bound.copy()
+        self.qq, self.pp = np.square(queries).sum(1), np.square(self.points).sum(1)
         self.best = np.full((len(own), k), np.inf)
         self.found = np.full((len(own), k), np.iinfo(np.int64).max)
         if len(self.ids):
@@ -100,9 +101,19 @@ class Tree:
     def _leaf(self, a: int, b: int, who: np.ndarray) -> None:
         for i in range(0, len(who), 64):
             w = who[i : i + 64]
-            d = _distances(self.q[w], self.points[a:b])
-            ids = np.broadcast_to(self.ids[a:b], d.shape)
-            d = np.where((ids == self.own[w][:, None]) | (d > self.bound[w][:, None]), np.inf, d)
+            # a product of matrices tells which pairs can be near enough, up to its rounding; only these are measured exactly
+            scale = self.qq[w][:, None] + self.pp[a:b]
+            rough = scale - 2 * (self.q[w] @ self.points[a:b].T)
+            ids = np.broadcast_to(self.ids[a:b], rough.shape)
+            near = (rough <= np.square(self.bound[w])[:, None] * (1 + 1e-9) + 1e-11 * scale) & (ids != self.own[w][:, None])
+            some = near.any(1)
+            if not some.any():
+                continue
+            w, ids, near = w[some], ids[some], near[some]
+            x, y = np.nonzero(near)
+            d = np.full(near.shape, np.inf)
+            d[x, y] = np.sqrt(np.cumsum(np.square(self.q[w[x]] - self.points[a + y]), axis=1)[:, -1])
+            d = np.where(d > self.bound[w][:, None], np.inf, d)
             d, ids = np.concatenate((self.best[w], d), 1), np.concatenate((self.found[w], ids), 1)
             first = np.lexsort((ids, d), axis=1)[:, : self.k]
             self.best[w], self.found[w] = np.take_along_axis(d, first, 1), np.take_along_axis(ids, first, 1)
