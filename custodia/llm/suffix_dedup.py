@@ -6,19 +6,18 @@ doc_id, or earlier in the same one. Strings are judged on the input and never cr
 1. Blocks of documents pick anchors: positions such that equal strings of ``width`` bytes have anchors with equal
    k-mers at equal distances. Suffixes that can match are thereby known by their anchor's k-mer, and the
    suffix space is dealt to shards by it. A block sends each anchor's hashes (of the k-mer, and of the whole
-   context of its windows) once for the block's smallest document; equal contexts after it are repeats.
-2. A shard answers for each entry: nothing like it exists, an equal context comes earlier, or contexts
-   with its k-mer differ, so bytes must be compared.
-3. For the last kind the blocks send the contexts. Each shard keeps a family of suffix arrays: a batch of
-   contexts gets its suffix array (suffixes compared on ``width`` bytes), is merge-scanned against the existing
+   context of its windows) once for the block's smallest document; contexts of the same bytes after it are repeats.
+2. A shard answers for each entry whether other blocks hold its k-mer. Only then do its strings go on.
+3. The blocks send these contexts as text. Each shard keeps a family of suffix arrays: a batch of contexts gets its
+   suffix array (positions in the text, suffixes compared on ``width`` bytes), is merge-scanned against the existing
    levels, where the earlier of two equal strings stays and the other is a repeat, and what is new becomes
    a level; levels that are not larger than the one that arrives merge with it, so sizes grow
    geometrically. A k-mer with very many contexts is dealt by whole strings instead, so that no frequent line is one
    shard's work.
 4. Blocks read their documents again, cover the repeats and cut the covered runs out.
 
-Contexts of equal k-mers count as equal when their 64-bit hashes are too; all other strings are compared by
-their bytes.
+Strings are compared by their bytes, with one exception that bounds a shard's work: of one context, which very many blocks hold,
+those after the first ``SAME`` blocks are known as repeats by 128 bits of hash.
 
 Defined results: a null text has no bytes; rows that repeat a doc_id are ordered by text, and all but the first of equal
 ones are repeats; rows without an id come last, by block; shorter documents keep everything; an empty table
@@ -78,8 +77,9 @@ def anchors(raw: np.ndarray, offs: np.ndarray, width: int = WIDTH, kmer: int = K
     return pos, first, last, code[pos], whole
 
 
-#: Input bytes for each shard, contexts in a batch of a shard, and contexts of one k-mer from which it is dealt by strings.
-SHARD_BYTES, BATCH, HOT = 4 << 20, 2048, 4096
+#: Input bytes for each shard, contexts in a batch of a shard, contexts of one k-mer from which it is dealt by strings, and blocks
+#: of which one context is compared by bytes.
+SHARD_BYTES, BATCH, HOT, SAME = 2 << 20, 8192, 4096, 1024
 #: Bytes of a block; a task needs about 120 bytes of memory for each of them.
 BLOCK_BYTES = 3 << 19
 ENTRIES = "shard int, block int, entries binary"
@@ -88,6 +88,18 @@ RESULT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, k
 UNIQUE, REPEAT, COMPARE, BY_STRING = 0, 1, 2, 3
 
 
+def _flat(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All positions of the ranges [begin, begin + size), one after the other."""
+    return np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+def same_bytes(raw: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether raw[a:a + size] and raw[b:b + size] agree; sizes are above 0."""
+    if not len(a):
+        return np.zeros(0, bool)
+    return np.logical_and.reduceat(raw[_flat(a, size)] == raw[_flat(b, size)], np.cumsum(size) - size)
+
+
 def _shard_of(hashes: np.ndarray, n: int) -> np.ndarray:
     """Anchors have small hashes, so callers mix them once more."""
     return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
@@ -105,6 +117,13 @@ class Block:
         k, w = self.kmer[order], self.whole[order]
         new = np.ones(len(order), bool)
         new[1:] = (k[1:] != k[:-1]) | (w[1:] != w[:-1])
+        # equal hashes are looked at by their bytes; what is not the same after all is sent like any other
+        rest = np.flatnonzero(~new)
+        a, b = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))[rest]], order[rest]
+        size = self.last - self.first + width
+        alike = (size[a] == size[b]) & (self.pos[a] - self.first[a] == self.pos[b] - self.first[b])
+        alike[alike] = same_bytes(self.raw, self.first[a[alike]], self.first[b[alike]], size[a[alike]])
+        new[rest[~alike]] = True
         self.sent, self.again = order[new], order[~new]  # anchors that are sent, and repeats within the block
 
     def codes(self, told: dict[int, bytes], n_shards: int) -> np.ndarray:
@@ -129,6 +148,9 @@ class Block:
         order = np.lexsort((single, d, h))
         new = np.ones(len(order), bool)
         new[1:] = h[order][1:] != h[order][:-1]
+        rest = np.flatnonzero(~new)
+        a, b = single[order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))[rest]]], single[order[rest]]
+        new[rest[~same_bytes(self.raw, a, b, np.full(len(a), width))]] = True
         one = order[new]
         known = single[order[~new]]
         first, last = np.append(first, single[one]), np.append(last, single[one])
@@ -138,39 +160,49 @@ class Block:
 
 
 class Family:
-    """Suffix arrays of geometrically growing sizes. ``age`` orders the strings; the youngest of equals are repeats."""
-
-    def __init__(self):
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(self, strings: np.ndarray, age: np.ndarray) -> np.ndarray:
-        """Take in a batch; returns the ages of the strings that turn out to be repeats, old or new."""
-        order = np.lexsort((age, strings))
-        strings, age = strings[order], age[order]
-        new = np.ones(len(age), bool)
-        new[1:] = strings[1:] != strings[:-1]
-        repeats = [age[~new]]
-        strings, age = strings[new], age[new]
-        for held, held_age in self.levels:
-            at = np.minimum(np.searchsorted(held, strings), len(held) - 1)
-            same = held[at] == strings
-            at, mine = at[same], age[same]
-            repeats.append(np.maximum(held_age[at], mine))
-            held_age[at] = np.minimum(held_age[at], mine)
-            strings, age = strings[~same], age[~same]
-        while self.levels and len(self.levels[-1][0]) <= len(strings):
-            held, held_age = self.levels.pop()
-            strings, age = np.concatenate((held, strings)), np.concatenate((held_age, age))
-            order = np.argsort(strings, kind="stable")  # merges two sorted runs
-            strings, age = strings[order], age[order]
-        if len(strings):
-            self.levels.append((strings, age))
+    """Suffix arrays of geometrically growing sizes over the text ``data``. A suffix is known by its number: it starts at
+    ``at[number]``, is compared on ``width`` bytes, and ``age[number]`` orders it; the youngest of equals are repeats."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray, age: np.ndarray, width: int):
+        self.windows, self.at, self.age, self.width = np.lib.stride_tricks.sliding_window_view(data, width), at, age, width
+        self.levels: list[np.ndarray] = []
+
+    def _strings(self, suffixes: np.ndarray) -> np.ndarray:
+        return np.ascontiguousarray(self.windows[self.at[suffixes]]).view(f"S{self.width}").reshape(-1)
+
+    def _merged(self, held: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Both arrays as one, whether each suffix has the string of the one before it, and whether it is of the new ones."""
+        both = np.concatenate((held, new))
+        strings = self._strings(both)
+        order = np.argsort(strings, kind="stable")  # two sorted runs: they are merged
+        strings = strings[order]
+        same = np.zeros(len(both), bool)
+        same[1:] = strings[1:] == strings[:-1]
+        return both[order], same, order >= len(held)
+
+    def add(self, batch: np.ndarray) -> np.ndarray:
+        """Take in the suffixes ``batch``; returns those that turn out to be repeats, old or new."""
+        new, same, _ = self._merged(np.zeros(0, np.int64), batch[np.argsort(self.age[batch], kind="stable")])
+        repeats = [new[same]]  # equal suffixes stand by age
+        new = new[~same]
+        for i, level in enumerate(self.levels):
+            both, same, fresh = self._merged(level, new)
+            hit = np.flatnonzero(same)  # one of the level stands before one of the batch
+            old, young = both[hit - 1], both[hit]
+            swap = self.age[young] < self.age[old]
+            repeats.append(np.where(swap, old, young))
+            both[hit - 1] = np.where(swap, young, old)
+            self.levels[i], new = both[~fresh], both[fresh & ~same]
+        while self.levels and len(self.levels[-1]) <= len(new):
+            new = self._merged(self.levels.pop(), new)[0]
+        if len(new):
+            self.levels.append(new)
         return np.concatenate(repeats)
 
 
 def _pack_contexts(raw, first, last, doc, width) -> bytes:
     size = last - first + width
-    at = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    at = _flat(first, size)
     head = pack((last - first).astype(np.uint16), doc)
     return len(head).to_bytes(4, "little") + head + pack(raw[at])
 
@@ -181,11 +213,11 @@ def _unpack_contexts(blob: bytes):
     return more.astype(np.int64), doc, unpack(blob[4 + n :])[0]
 
 
-def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, batch: int = BATCH, hot: int = HOT) -> DataFrame:
+def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, batch: int = BATCH, hot: int = HOT, same: int = SAME) -> DataFrame:
     """doc_id, n_bytes, spans, kept for each row: ``spans`` are maximal removed runs of bytes [start, end)."""
     total = text_bytes(docs)
     base = blocks(docs, total, block_bytes=block_bytes)
-    n_entries, n_shards = max(1, total // (8 * shard_bytes)), max(1, total // shard_bytes)
+    n_entries, n_shards = max(1, total // (16 * shard_bytes)), max(1, total // shard_bytes)
 
     def send(key, group):
         b = Block(ordered(group), width, kmer)
@@ -212,8 +244,9 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_by
         new_w = new_k.copy()
         new_w[1:] |= w[1:] != w[:-1]
         of = np.cumsum(new_k) - 1
-        distinct = np.bincount(of, weights=new_w)[of]
-        code = np.where(~new_w, REPEAT, np.where(distinct < 2, UNIQUE, np.where(distinct < hot, COMPARE, BY_STRING))).astype(np.uint8)
+        distinct, total = np.bincount(of, weights=new_w)[of], np.bincount(of)[of]
+        nth = np.arange(len(k)) - np.maximum.accumulate(np.where(new_w, np.arange(len(k)), 0))
+        code = np.where(total < 2, UNIQUE, np.where(nth >= same, REPEAT, np.where(distinct < hot, COMPARE, BY_STRING))).astype(np.uint8)
         out = np.empty(len(k), np.uint8)
         out[order] = code
         cuts = np.cumsum([0, *took])
@@ -235,17 +268,12 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_by
         begin = np.cumsum(n + width - 1) - (n + width - 1)
         inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = np.repeat(begin, n) + inner
-        windows = np.lib.stride_tricks.sliding_window_view(data, width)
         age = np.empty(len(at), np.int64)  # within a document, contexts come in the order of their windows
         age[np.lexsort((np.arange(len(at)), np.repeat(doc, n)))] = np.arange(len(at))
-        by_age = np.argsort(age)
-        gone, family = np.zeros(len(at), bool), Family()
-        cuts = np.cumsum(n)
+        gone, family = np.zeros(len(at), bool), Family(data, at, age, width)
+        cuts = np.append(0, np.cumsum(n))
         for a in range(0, len(n), batch):
-            lo, hi = (cuts[a - 1] if a else 0), cuts[min(a + batch, len(n)) - 1]
-            strings = np.ascontiguousarray(windows[at[lo:hi]]).view(f"V{width}").reshape(-1)
-            strings = strings.view(f"S{width}") if width else strings
-            gone[by_age[family.add(strings, age[lo:hi])]] = True
+            gone[family.add(np.arange(cuts[a], cuts[min(a + batch, len(n))]))] = True
         ends = np.cumsum([0, *took])
         return pa.table({"block": group["block"], "shard": group["shard"], "codes": pa.array([np.packbits(gone[a:b]).tobytes() for a, b in zip(ends, ends[1:])], pa.binary())})
 

@@ -67,12 +67,12 @@ def brute_bytes(texts, ids, width):
     return sorted(out)
 
 
-@pytest.mark.parametrize(("width", "kmer", "block", "shard", "batch", "hot"), [
-    (100, 24, 4 << 20, 4 << 20, 2048, 4096), (100, 24, 3000, 4000, 7, 3), (20, 6, 2000, 3000, 16, 2), (8, 4, 1500, 2000, 5, 4096),
+@pytest.mark.parametrize(("width", "kmer", "block", "shard", "batch", "hot", "same"), [
+    (100, 24, 4 << 20, 4 << 20, 2048, 4096, 1024), (100, 24, 3000, 4000, 7, 3, 2), (20, 6, 2000, 3000, 16, 2, 1024), (8, 4, 1500, 2000, 5, 4096, 1),
 ])
-def test_bytes_match_brute_force(spark, width, kmer, block, shard, batch, hot):
+def test_bytes_match_brute_force(spark, width, kmer, block, shard, batch, hot, same):
     texts = noisy(13, 70) + ["ab" * 300, "\x00" * 150, "\x00" * 130 + "a"]
-    marked = suffix_dedup.mark_repeats(docs(spark, texts, odd=True), width, kmer, block, shard, batch, hot)
+    marked = suffix_dedup.mark_repeats(docs(spark, texts, odd=True), width, kmer, block, shard, batch, hot, same)
     got = sorted(map(tuple, suffix_dedup.digest(marked).collect()))
     assert got == brute_bytes(texts, list(range(len(texts))), width)
 
@@ -87,9 +87,23 @@ def test_bytes_repeated_ids_and_empty(spark):
 
 def test_levels_grow_geometrically():
     r = np.random.default_rng(3)
-    family = suffix_dedup.Family()
-    for i in range(40):
-        family.add(r.integers(97, 123, (50, 12)).astype(np.uint8).view("S12").reshape(-1), np.arange(50 * i, 50 * i + 50))
-    sizes = [len(s) for s, _ in family.levels]
+    data = r.integers(97, 99, 2000).astype(np.uint8)
+    family = suffix_dedup.Family(data, r.permutation(1980), r.permutation(1980), 12)
+    gone = []
+    for i in range(0, 1980, 50):
+        gone += family.add(np.arange(i, min(i + 50, 1980))).tolist()
+    sizes = [len(s) for s in family.levels]
     assert sizes == sorted(sizes, reverse=True) and len(sizes) <= 6
-    assert all((s[1:] > s[:-1]).all() for s, _ in family.levels)
+    assert all((np.diff(np.unique(family._strings(s), return_inverse=True)[1]) > 0).all() for s in family.levels)
+    first, want = {}, set()
+    for n in np.argsort(family.age).tolist():
+        string = data[family.at[n] : family.at[n] + 12].tobytes()
+        if first.setdefault(string, n) != n:
+            want.add(n)
+    assert set(gone) == want and len(gone) == len(want) > 50
+
+
+def test_equal_hashes_are_compared_by_bytes():
+    raw = np.frombuffer(b"abcdefabcxef", np.uint8)
+    assert suffix_dedup.same_bytes(raw, np.array([0, 0, 2]), np.array([6, 6, 8]), np.array([3, 4, 1])).tolist() == [True, False, True]
+    assert len(suffix_dedup.same_bytes(raw, *[np.zeros(0, int)] * 3)) == 0
