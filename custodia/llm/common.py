@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import ship, table  # noqa: F401
+from ..functions.common import materialise, shared_dir, ship, table  # noqa: F401
 
 #: Bytes of text that one block of documents should hold; a task works on one block at a time.
 BLOCK_BYTES = 4 << 20
@@ -25,28 +22,6 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a session without that setting (tests, one machine) gets a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that nothing before it runs twice
-    and a lost executor costs only a read."""
-    spark = df.sparkSession
-    ship(spark)
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts; sizes the blocks and shards, so that both follow the input."""
     got = docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()[0]
@@ -98,6 +73,18 @@ def ids_of(group: pa.Table) -> np.ndarray:
     return group["doc_id"].fill_null(np.iinfo(np.int64).max).to_numpy().astype(np.int64)
 
 
+def freed(result=None):
+    """Hands ``result`` on, after the memory that making it took has gone back to the system: Python workers live on between
+    tasks and stages, and what their allocators keep is missing elsewhere in the executor."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+    return result
+
+
 # --- packed columns ----------------------------------------------------------------------------
 
 
@@ -127,11 +114,12 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def deal(shard: np.ndarray, n_shards: int) -> list[tuple[int, np.ndarray]]:
+def deal(shard: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(shard, positions) for each shard that has entries."""
     order = np.argsort(shard, kind="stable")
-    cuts = np.searchsorted(shard[order], np.arange(n_shards + 1))
-    return [(s, order[cuts[s] : cuts[s + 1]]) for s in range(n_shards) if cuts[s] < cuts[s + 1]]
+    by = shard[order]
+    cuts = np.append(np.flatnonzero(np.diff(by, prepend=-1)), len(by))
+    return [(int(by[a]), order[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 # --- hashes ------------------------------------------------------------------------------------

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, deal, ids_of, materialise, mix, ordered, pack, parts, ship, text_bytes, text_or_empty, unpack, utf8, words
+from .common import blocks, deal, freed, ids_of, materialise, mix, ordered, pack, parts, ship, text_bytes, text_or_empty, unpack, utf8, words
 
 SIZE, PERCENT = 5, 80
 #: A set's prefix grows by one shingle, and the number that must be shared too, for so many shingles.
@@ -112,6 +112,8 @@ def name_sets(docs: DataFrame, size: int = SIZE) -> DataFrame:
                 [batch.column("doc_id"), pa.array(n), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.nulls(n_rows, pa.int32()), pa.nulls(n_rows, pa.binary())],
                 names=["doc_id", "n_shingles", "one", "two", "part", "cells"],
             )
+        batch = row = h = one = two = None
+        freed()
         blobs = [pack(p.ravel()) for p in np.split(counts, PARTS, axis=1)]
         yield pa.RecordBatch.from_arrays([nothing, nothing, nothing, nothing, pa.array(range(PARTS), pa.int32()), pa.array(blobs, pa.binary())], names=["doc_id", "n_shingles", "one", "two", "part", "cells"])
 
@@ -370,14 +372,14 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
     equal = some.join(first.where("doc_id <> last").select("one", "two", F.col("doc_id").alias("b")), ["one", "two"]).where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
     leaders = blocks(first.select("doc_id", "one", F.lit("").alias("text")), total, ("one",), block_bytes).drop("text")
 
-    def send(key, group, lead):
+    def _send(key, group, lead):
         s = Sets(ordered(group), lead, size, percent, cells.value, n_shards)
         sent = s.entries(n_shards)
         n, home = s.n.astype(np.uint32), s.home
         blobs = [_blob(np.diff(s.name[at], prepend=np.uint64(0)), n[s.sent[at]], home[s.sent[at]]) for _, at in sent]
         return pa.table({"shard": pa.array([p for p, _ in sent], pa.int32()), "block": pa.array([key[0].as_py()] * len(sent), pa.int32()), "entries": pa.array(blobs, pa.binary())})
 
-    def meet(group):
+    def _meet(group):
         group = group.sort_by("block")
         got = [_unblob(b) for b in group["entries"].to_pylist()]
         took = np.cumsum([0, *(len(p[0]) for p in got)])
@@ -388,7 +390,7 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
         blobs = [_blob((at[a:b] - t).astype(np.uint32), place[a:b], cut[a:b]) for a, b, t in zip(cuts, cuts[1:], took)]
         return pa.table({"block": group["block"], "shard": group["shard"], "places": pa.array(blobs, pa.binary())}).filter(pa.array(np.diff(cuts) > 0))
 
-    def send_sets(key, left, right):
+    def _send_sets(key, left, right):
         told = right.filter(pc.is_valid(right["places"]))
         if not len(told):
             return pa.table({"shard": pa.array([], pa.int32()), "block": pa.array([], pa.int32()), "entries": pa.array([], pa.binary())})
@@ -397,7 +399,7 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
         each = [(base_of[shard], *_unblob(blob)) for shard, blob in zip(told["shard"].to_pylist(), told["places"].to_pylist())]
         place, row = destinations(s, np.concatenate([b + i.astype(np.int64) for b, i, _, _ in each]), np.concatenate([e[2] for e in each]), np.concatenate([e[3] for e in each]), n_shards)
         shard, blobs = [], []
-        for p, at in deal(place, n_shards):
+        for p, at in deal(place):
             r = row[at]
             n = s.n[r]
             flat = np.repeat(s.begin[r] - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -405,7 +407,7 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
             blobs.append(_blob(s.ids[r], n, s.hash[flat]))
         return pa.table({"shard": pa.array(shard, pa.int32()), "block": pa.array([key[0].as_py()] * len(shard), pa.int32()), "entries": pa.array(blobs, pa.binary())})
 
-    def search(group):
+    def _search(group):
         ids, sizes, tokens = (np.concatenate(x) for x in zip(*(_unblob(b) for b in group["entries"].to_pylist())))
         order = np.argsort(ids, kind="stable")
         begin = np.cumsum(sizes) - sizes
@@ -419,6 +421,18 @@ def links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT, block_bytes
         moved = other != ids
         return pa.table({"a": ids[moved], "b": other[moved]})
 
+    def send(key, group, lead):
+        return freed(_send(key, group, lead))
+
+    def meet(group):
+        return freed(_meet(group))
+
+    def send_sets(key, left, right):
+        return freed(_send_sets(key, left, right))
+
+    def search(group):
+        return freed(_search(group))
+
     rows = "shard int, block int, entries binary"
     lead = leaders.select("block", "doc_id", "one", F.lit(None).cast("int").alias("shard"), F.lit(None).cast("binary").alias("places"))
     entries = base.groupBy("block").cogroup(lead.groupBy("block")).applyInArrow(send, rows)

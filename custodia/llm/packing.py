@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, parts, text_or_empty
+from .common import freed, materialise, parts, text_or_empty
 from .tokens import encoder
 
 #: Longest sequence, and the id that ends every document.
@@ -64,6 +64,8 @@ def tokenise(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END
                 columns["ids"] = pa.Array.from_buffers(pa.binary(), len(of), [None, pa.py_buffer((4 * cuts).astype(np.int32)), pa.py_buffer(ids)])
             seen += len(of)
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns.values()], names=list(columns))
+        coder.forget()
+        freed()
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return given.mapInArrow(run, PIECES + (", ids binary" if keep_ids else ""))

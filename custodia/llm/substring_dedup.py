@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, SHARD_ENTRIES, blocks, deal, ids_of, mix, ordered, pack, prefix_hash, text_bytes, unpack, utf8, words
+from .common import BLOCK_BYTES, SHARD_ENTRIES, blocks, deal, freed, ids_of, mix, ordered, pack, prefix_hash, text_bytes, unpack, utf8, words
 
 WIDTH = 50
 #: Makes the word codes of the second hash.
@@ -79,17 +79,17 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_B
     base = blocks(docs, total, block_bytes=block_bytes)
     n_shards = max(1, total // 6 // shard_entries)  # about six bytes a word
 
-    def send(key, group):
+    def _send(key, group):
         group = ordered(group)
         (_, _, _, row, ids, first, hashes, second), order, new, _ = _entries(group, width, n_shards)
         sent = order[new]
         h, doc, second = hashes[sent], ids[row[first[sent]]], second[sent]
-        parts = deal(_shard_of(h, n_shards), n_shards)
+        parts = deal(_shard_of(h, n_shards))
         block = key[0].as_py()
         blobs = [pack_entries(h[at], doc[at], second[at]) for _, at in parts]
         return pa.table({"shard": pa.array([s for s, _ in parts], pa.int32()), "block": pa.array([block] * len(parts), pa.int32()), "entries": pa.array(blobs, pa.binary())})
 
-    def decide(group):
+    def _decide(group):
         each = [unpack_entries(blob) for blob in group["entries"].to_pylist()]
         took = [len(e[0]) for e in each]
         h, doc, second = (np.concatenate(x) for x in zip(*each))
@@ -104,13 +104,13 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_B
         cuts = np.cumsum([0, *took])
         return pa.table({"block": group["block"], "shard": group["shard"], "flags": pa.array([np.packbits(flag[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
-    def finish(key, group, flags):
+    def _finish(key, group, flags):
         group = ordered(group)
         (raw, starts, ends, row, ids, first, hashes, _), order, new, later = _entries(group, width, n_shards)
         sent = np.flatnonzero(new)
         told = dict(zip(flags["shard"].to_pylist(), flags["flags"].to_pylist()))
         answer = np.zeros(len(sent), bool)
-        for s, at in deal(_shard_of(hashes[order[sent]], n_shards), n_shards):
+        for s, at in deal(_shard_of(hashes[order[sent]], n_shards)):
             answer[at] = np.unpackbits(np.frombuffer(told[s], np.uint8), count=len(at)).astype(bool)
         gone = later | answer[np.cumsum(new) - 1] if len(order) else later
         hit = first[order[gone]]
@@ -119,6 +119,15 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, block_bytes: int = BLOCK_B
         np.add.at(cover, hit + width, -1)
         return result(group, raw, starts, ends, row, np.cumsum(cover)[:-1] > 0)
 
+    def send(key, group):
+        return freed(_send(key, group))
+
+    def decide(group):
+        return freed(_decide(group))
+
+    def finish(key, group, flags):
+        return freed(_finish(key, group, flags))
+
     shards = base.groupBy("block").applyInArrow(send, ENTRIES)
     flags = shards.groupBy("shard").applyInArrow(decide, FLAGS)
     return base.groupBy("block").cogroup(flags.groupBy("block")).applyInArrow(finish, RESULT)

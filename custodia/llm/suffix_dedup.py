@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, blocks, deal, ids_of, mix, ordered, pack, prefix_hash, text_bytes, unpack, utf8
+from .common import BYTE_CODE, blocks, deal, freed, ids_of, mix, ordered, pack, prefix_hash, text_bytes, unpack, utf8
 from .substring_dedup import pack_entries, unpack_entries
 
 #: Bytes of a repeated string, and of the k-mers that anchor it.
@@ -129,7 +129,7 @@ class Block:
     def codes(self, told: dict[int, bytes], n_shards: int) -> np.ndarray:
         """The shards' answers, for each anchor that was sent."""
         out = np.zeros(len(self.sent), np.uint8)
-        for s, at in deal(_shard_of(mix(self.kmer[self.sent]), n_shards), n_shards):
+        for s, at in deal(_shard_of(mix(self.kmer[self.sent]), n_shards)):
             out[at] = unpack(told[s])[0]
         return out
 
@@ -217,11 +217,11 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_by
     """doc_id, n_bytes, spans, kept for each row: ``spans`` are maximal removed runs of bytes [start, end)."""
     total = text_bytes(docs)
     base = blocks(docs, total, block_bytes=block_bytes)
-    n_entries, n_shards = max(1, total // (16 * shard_bytes)), max(1, total // shard_bytes)
+    n_entries, n_shards = max(1, total // (4 * shard_bytes)), max(1, total // shard_bytes)
 
-    def send(key, group):
+    def _send(key, group):
         b = Block(ordered(group), width, kmer)
-        parts = deal(_shard_of(mix(b.kmer[b.sent]), n_entries), n_entries)
+        parts = deal(_shard_of(mix(b.kmer[b.sent]), n_entries))
         blobs = []
         for _, at in parts:
             k, w, d = b.kmer[b.sent[at]], b.whole[b.sent[at]], b.doc[b.sent[at]]
@@ -229,7 +229,7 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_by
             blobs.append(len(head).to_bytes(4, "little") + head + pack(w))
         return pa.table({"shard": pa.array([s for s, _ in parts], pa.int32()), "block": pa.array([key[0].as_py()] * len(parts), pa.int32()), "entries": pa.array(blobs, pa.binary())})
 
-    def decide(group):
+    def _decide(group):
         group = group.sort_by("block")
         took, parts = [], []
         for blob in group["entries"].to_pylist():
@@ -252,14 +252,14 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_by
         cuts = np.cumsum([0, *took])
         return pa.table({"block": group["block"], "shard": group["shard"], "codes": pa.array([pack(out[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary())})
 
-    def send_contexts(key, group, codes):
+    def _send_contexts(key, group, codes):
         b = Block(ordered(group), width, kmer)
         first, last, hashes, doc, _ = b.contexts(b.codes(_told(codes, "codes"), n_entries), width)
-        parts = deal(_shard_of(mix(hashes), n_shards), n_shards)
+        parts = deal(_shard_of(mix(hashes), n_shards))
         blobs = [_pack_contexts(b.raw, first[at], last[at], doc[at], width) for _, at in parts]
         return pa.table({"shard": pa.array([s for s, _ in parts], pa.int32()), "block": pa.array([key[0].as_py()] * len(parts), pa.int32()), "entries": pa.array(blobs, pa.binary())})
 
-    def compare(group):
+    def _compare(group):
         group = group.sort_by("block")
         parts = [_unpack_contexts(x) for x in group["entries"].to_pylist()]
         took = [int((m + 1).sum()) for m, _, _ in parts]
@@ -277,7 +277,7 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_by
         ends = np.cumsum([0, *took])
         return pa.table({"block": group["block"], "shard": group["shard"], "codes": pa.array([np.packbits(gone[a:b]).tobytes() for a, b in zip(ends, ends[1:])], pa.binary())})
 
-    def finish(key, group, codes):
+    def _finish(key, group, codes):
         group = ordered(group)
         b = Block(group, width, kmer)
         kind = codes["stage"].to_numpy() if len(codes) else np.zeros(0)
@@ -293,13 +293,28 @@ def mark_repeats(docs: DataFrame, width: int = WIDTH, kmer: int = KMER, block_by
         for at in (b.again, b.sent[code == REPEAT]):
             remove(b.first[at], b.last[at])
         remove(known, known)
-        for s, at in deal(_shard_of(mix(hashes), n_shards), n_shards):
+        for s, at in deal(_shard_of(mix(hashes), n_shards)):
             n = last[at] - first[at] + 1
             gone = np.unpackbits(np.frombuffer(told[1][s], np.uint8), count=int(n.sum())).astype(bool)
             hit = (np.repeat(first[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))[gone]
             remove(hit, hit)
         return _result(group, b, np.cumsum(cover)[:-1] > 0)
 
+    def send(key, group):
+        return freed(_send(key, group))
+
+    def decide(group):
+        return freed(_decide(group))
+
+    def send_contexts(key, group, codes):
+        return freed(_send_contexts(key, group, codes))
+
+    def compare(group):
+        return freed(_compare(group))
+
+    def finish(key, group, codes):
+        return freed(_finish(key, group, codes))
+
     entries = base.groupBy("block").applyInArrow(send, ENTRIES)
     codes = entries.groupBy("shard").applyInArrow(decide, CODES)
     contexts = base.groupBy("block").cogroup(codes.groupBy("block")).applyInArrow(send_contexts, ENTRIES)

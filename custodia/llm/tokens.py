@@ -4,7 +4,7 @@ A byte-level vocabulary splits a text where a space follows a character that is
 white space and a non-space follows it, where a full stop or its like follows a letter, and on both sides of a line
 break between two characters that are not white space: no token spans such a place. A batch of documents therefore
 repeats few pieces; Arrow finds the distinct ones by their bytes, each is encoded once, and ids of documents are
-gathered from the pieces' ids. A worker keeps pieces between batches; when it holds ``CACHE`` of them it starts anew, which
+gathered from the pieces' ids. A task keeps pieces between batches; when it holds ``CACHE`` of them it starts anew, which
 costs time but changes nothing. Tasks are what runs side by side here, so the library's own threads, which cost a third more
 CPU, are not used.
 """
@@ -82,9 +82,9 @@ class Encoder:
             raw = np.frombuffer(token.content.encode(), np.uint8)
             if len(pieces(raw, np.array([0, len(raw)]))[0]) > 1:
                 raise ValueError(f"the token {token.content!r} spans pieces")
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         #: Ids of all known pieces, and where each piece's begin; the last number is where the next begin.
         self.ids, self.begin = np.zeros(0, np.uint32), np.zeros(1, np.int64)
@@ -122,7 +122,7 @@ class Encoder:
         starts, row, out = pieces(raw, offs)
         ends = np.append(starts[1:], len(raw))[: len(starts)]
         if len(self.known) > CACHE:
-            self._forget()
+            self.forget()
         found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))])
         coded = found.dictionary_encode()
         number, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()

@@ -26,10 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE_CODE, LOWER, materialise, mix, pack, parts, prefix_hash, ship, text_or_empty, unpack, utf8
+from .common import BYTE_CODE, LOWER, freed, materialise, mix, pack, parts, prefix_hash, ship, text_or_empty, unpack, utf8
 
 MAX_TRAIN, MIN_DF, FOLDS = 20_000, 8, 3
 STRENGTH, THRESHOLD = 5e-4, 0.5
+#: Entries that a fit looks at at once.
+CHUNK = 1 << 20
 #: Cells that features are hashed to, and the lengths of the beginnings of words.
 BITS, BEGINNINGS = 24, (4, 5, 6, 7)
 #: A fit ends when the conditions of the minimum hold up to this share of the penalty, or after so many rounds of so many
@@ -129,19 +131,33 @@ def fit_linear(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.
     none = np.zeros(0)
     if not n or y.min() == y.max():
         return Linear(none.astype(np.int64), none, np.zeros(k), 60.0 if n and y[0] else -60.0)
-    names, df = np.unique(feature, return_counts=True)
-    names = names[df >= min_df]
+    known = np.sort(feature)
+    first = np.append(np.flatnonzero(np.diff(known, prepend=known[:1] - 1)), len(known))
+    names = known[first[:-1][np.diff(first) >= min_df]]
     m = len(names)
-    column = np.searchsorted(names, feature).astype(np.int32)
-    keep = np.append(names, -1)[column] == feature
-    row, column = row[keep], column[keep]
+    del known, first
+    rows, columns = [], []
+    for a in range(0, len(feature), CHUNK):
+        part = feature[a : a + CHUNK]
+        at = np.searchsorted(names, part)
+        keep = np.append(names, -1)[at] == part
+        rows.append(row[a : a + CHUNK][keep])
+        columns.append(at[keep].astype(np.int32))
+    row, column = np.concatenate([np.zeros(0, np.int32), *rows]), np.concatenate([np.zeros(0, np.int32), *columns])
+    del rows, columns
+    chunks = [slice(a, a + CHUNK) for a in range(0, len(row), CHUNK)]
     penalty = np.append(np.full(k, strength), 0.0)
     block = np.column_stack((earlier, np.ones(n)))
     w, dense = np.zeros(m), np.append(np.zeros(k), np.log(y.mean() / (1 - y.mean())))
     active, slack, left = np.zeros(m, bool), 1.0, np.inf
     for _ in range(ROUNDS):
-        z = np.bincount(row, weights=w[column], minlength=n) + block @ dense
-        gradient = np.abs(np.bincount(column, weights=(sigmoid(z) - y)[row], minlength=m) / n)
+        z = block @ dense
+        for part in chunks:
+            z += np.bincount(row[part], weights=w[column[part]], minlength=n)
+        off, gradient = sigmoid(z) - y, np.zeros(m)
+        for part in chunks:
+            gradient += np.bincount(column[part], weights=off[row[part]], minlength=m)
+        gradient = np.abs(gradient / n)
         excess = np.where(active, 0, gradient - strength * (1 + TOLERANCE))
         new = np.flatnonzero(excess > 0)
         if not len(new) and max(slack, left) <= TOLERANCE:
@@ -166,7 +182,7 @@ def fit_linear(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.
                 if scale <= 1 or log_loss(z1, y) <= loss + gx @ ux + gd @ ud + (ux @ (ux / sx) + ud @ (ud / sd)) / 2 + 1e-12:
                     break
                 scale = max(1.0, scale / 2)
-            left = max(np.abs(ux / sx).max(), np.abs(ud / sd).max()) / strength
+            left = max(np.abs(ux / sx).max(initial=0), np.abs(ud / sd).max()) / strength
             if (ux / sx) @ (x1 - x) + (ud / sd) @ (d1 - d) < 0:  # the momentum points uphill: start it anew
                 t = 1.0
             t1 = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -197,6 +213,8 @@ def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], ma
             cuts = np.searchsorted(row, np.arange(b.num_rows + 1))
             cells = [pack(np.diff(np.sort(feature[i:j]), prepend=0).astype(np.uint32)) for i, j in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("_id", *names)), pa.array(cells, pa.binary())], names=["_id", *names, "cells"])
+        row = feature = cells = None
+        freed()
 
     done = rows.mapInArrow(code, f"_id long, {', '.join(f'{y} double' for y in names)}, cells binary")
     return materialise(done.withColumn("fold", F.pmod(F.xxhash64("_id", F.lit(7)), F.lit(folds)).cast("int")), "labelled")
@@ -231,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_t
             import pickle
 
             group = group.sort_by("_id")
-            model = fit_linear(*_stack(group), _out_of_fold(group, held), group[f"y{j}"].to_numpy(), strength, min_df)
+            model = freed(fit_linear(*_stack(group), _out_of_fold(group, held), group[f"y{j}"].to_numpy(), strength, min_df))
             return pa.table({"model": pa.array([key[0].as_py()], pa.int32()), "body": pa.array([pickle.dumps(model)], pa.binary())})
 
         # model -1 sees every row, model f all but those of fold f
@@ -270,6 +288,8 @@ def score(docs: DataFrame, chain: list[Linear], names: list[str]) -> DataFrame:
             for j, model in enumerate(chain):
                 p[:, j] = model.probabilities(b.num_rows, row, feature, p[:, :j])
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.StructArray.from_arrays([pa.array(c) for c in p.T], names)], names=["row", "p"])
+        row = cell = feature = used = None
+        freed()
 
     given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text_or_empty().alias("text"))
     return given.mapInArrow(run, T.StructType([given.schema["row"], T.StructField("p", kinds)]))

@@ -51,3 +51,21 @@ def test_stages_match_brute_force(spark):
         held[p.sequence_id] = held.get(p.sequence_id, 0) + p.length
     assert max(held.values()) <= packing.LENGTH
     assert secrets.RULES[0].kind == "assign"
+
+
+def test_pipeline_on_odd_tables(spark, tmp_path):
+    """Nulls in every column, empty and repeated rows, clashing columns, then no rows at all."""
+    rows = [(1, "a b c d e f", "en", "s", 11), (1, "a b c d e f", "en", "s", 11), (2, None, None, None, None), (None, "token = abcdefgh", None, "s", 1), (3, "", "en", "s", 0), (4, " ", "en", "s", 1), (5, "a b c d e  f", "en", "s", 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as row", "'k' as key", "2 as cell", "3 as clean")
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 1, 1), (2, None, 0)], "doc_id long, quality int, toxic int")
+    for name, d in (("some", docs), ("none", docs.limit(0))):
+        d.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+    kept = table(spark, f"{tmp_path}/some", "documents")
+    for name, stage in pipeline.STAGES[:-1]:
+        kept = materialise(stage(spark, kept, f"{tmp_path}/some"), f"odd-{name}")
+        assert kept.columns == docs.columns
+    # null, empty and blank texts are equal; of them the longest stays, and of equally long ones the smallest id
+    assert {(str(r.doc_id), r.text, r.row, r.key, r.cell, r.clean) for r in kept.collect()} == {(i, t, 1, "k", 2, 3) for i, t in [("4", " "), ("5", "a b c d e  f"), ("None", "[SECRET]")]}
+    assert pipeline.run(spark, f"{tmp_path}/some").count() == kept.count()
+    assert pipeline.run(spark, f"{tmp_path}/none").count() == 0

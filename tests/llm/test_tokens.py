@@ -24,7 +24,7 @@ def test_encoder_matches_whole_texts():
     for _ in range(2):  # learning the pieces, then knowing them
         for t, got in zip(texts, split(ours, texts)):
             assert got == plain.encode(t, add_special_tokens=False).ids, repr(t[:40])
-    ours._forget()
+    ours.forget()
     assert split(ours, texts[::-1])[::-1] == split(ours, texts)
 
 
