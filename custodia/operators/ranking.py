@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.common import materialise
 
 
-def running(rows: DataFrame, by: list[str], order: list[Column], number: str, sums: dict[str, str] | None = None) -> DataFrame:
+def running(rows: DataFrame, by: list[str], order: list[Column], number: str, sums: dict[str, str] | None = None, total: str | None = None) -> DataFrame:
     """``rows`` with ``number`` (from 1) in the order within ``by`` (all rows, if empty), and running sums of what comes before:
-    ``sums`` maps new columns to summed ones.
+    ``sums`` maps new columns to summed ones; ``total`` names a column for the number of rows within ``by``.
 
     Rows are dealt by ranges of the order and written, so a hot group is several ranges; numbers and sums within a range go
     on from those of the ranges before, a table of one row for each range and group."""
@@ -21,15 +23,19 @@ def running(rows: DataFrame, by: list[str], order: list[Column], number: str, su
     before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     held = dealt.groupBy(*by, "_range").agg(F.count("*").alias("_n"), *(F.sum(c).alias(f"_{s}") for s, c in sums.items()))
     start = held.select(*(F.col(b).alias(f"_by_{b}") for b in by), F.col("_range").alias("_start"), *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("_n", *(f"_{s}" for s in sums))))
+    if total:
+        start = start.join(held.groupBy(*(F.col(b).alias(f"_of_{b}") for b in by)).agg(F.sum("_n").alias("_total")), _equal(by, "_by_", "_of_"))
     within = Window.partitionBy(*by, "_range").orderBy(*keys)
     inner = dealt.withColumn("_row", F.row_number().over(within))
     for s, c in sums.items():
         inner = inner.withColumn(s, F.coalesce(F.sum(c).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    same = F.col("_range") == F.col("_start")
-    for b in by:
-        same &= F.col(b).eqNullSafe(F.col(f"_by_{b}"))
-    joined = inner.join(start, same)
-    return joined.select(*rows.columns, (F.col("_row") + F.col("_n_before")).alias(number), *((F.col(s) + F.col(f"_{s}_before")).alias(s) for s in sums))
+    joined = inner.join(start, (F.col("_range") == F.col("_start")) & _equal(by, "", "_by_"))
+    totals = [F.col("_total").alias(total)] if total else []
+    return joined.select(*rows.columns, (F.col("_row") + F.col("_n_before")).alias(number), *((F.col(s) + F.col(f"_{s}_before")).alias(s) for s in sums), *totals)
+
+
+def _equal(by: list[str], left: str, right: str) -> Column:
+    return reduce(lambda a, b: a & F.col(f"{left}{b}").eqNullSafe(F.col(f"{right}{b}")), by, F.lit(True))
 
 
 def first_names(rows: DataFrame, by: list[str], n: int = 10, name: str = "name") -> DataFrame:
@@ -39,10 +45,7 @@ def first_names(rows: DataFrame, by: list[str], n: int = 10, name: str = "name")
     numbered = distinct.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("_name")))
     top = numbered.where(F.col("_n") <= n).groupBy(*by).agg(F.array_sort(F.collect_list("_name")).alias("names"))
     counts = distinct.groupBy(*(F.col(b).alias(f"_by_{b}") for b in by)).agg(F.count("*").alias("n_names"))
-    same = F.lit(True)
-    for b in by:
-        same &= F.col(b).eqNullSafe(F.col(f"_by_{b}"))
-    return top.join(counts, same).select(*by, "names", "n_names")
+    return top.join(counts, _equal(by, "", "_by_")).select(*by, "names", "n_names")
 
 
 def names_text(names: Column, count: Column) -> Column:
