@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, packing, pii, secrets, sentencepiece, substring_dedup, suffix_dedup, toxicity, vp_search
+from . import exact_dedup, jaccard_join, merkle, packing, pii, secrets, sentencepiece, substring_dedup, suffix_dedup, toxicity, vp_search
 from .common import table
 
 
@@ -88,6 +88,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.mark_repeats(table(spark, sf_dir, "documents")))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents")).withColumn("folded_root", merkle.fold(F.col("trial"), F.col("path")))
+    proof = F.sha2(F.array_join("path.s", ""), 256).alias("proof_sha256")
+    return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle": op11_merkle,
 }
 
 _RULES = ", ".join(
@@ -140,6 +147,23 @@ g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM f),
 o AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS k FROM w),
 r AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE g.k IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY o.k) FILTER (WHERE g.k IS NULL) AS kept FROM o LEFT JOIN g USING (doc_id, k) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN r USING (doc_id)""",
+    "op11_merkle": r"""
+WITH RECURSIVE b AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, x: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c FROM range(256) r(i))),
+q AS (SELECT *, coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, x: xor(a >> 8, tab[(xor(a, x) & 255) + 1])), 4294967295) % 7 = 0, false) AS odd FROM documents, b),
+d AS (SELECT doc_id, coalesce('1' || lang, '0') AS k, sha256(concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'), coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+  CASE WHEN odd THEN sha256(concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen((n_chars::HUGEINT + 1)::VARCHAR) || ':' || (n_chars::HUGEINT + 1), '-'), coalesce(strlen(text) || ':' || text, '-'))) END AS trial FROM q),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY k) AS n FROM d),
+t AS (SELECT k, 0 AS l, p, leaf AS h, n FROM r UNION ALL SELECT k, l + 1, p // 2, sha256(string_agg(h, '' ORDER BY p)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY k, l, p // 2, n),
+s AS (SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS p, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS l, p, h, n FROM s UNION ALL SELECT l + 1, p // 2, sha256(string_agg(h, '' ORDER BY p)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY l, p // 2, n),
+g AS (SELECT DISTINCT k, l FROM t WHERE n > 1),
+x AS (SELECT r.k, r.p, g.l, (r.p >> g.l) & 1 = 1 AS f, coalesce(t.h, '') AS s FROM r JOIN g ON g.k = r.k LEFT JOIN t ON t.k = r.k AND t.l = g.l AND t.p = xor(r.p >> g.l, 1::BIGINT)
+  UNION ALL SELECT r.k, r.p, 1000 + e.l, (s.p >> e.l) & 1 = 1, coalesce(u.h, '') FROM r JOIN s ON s.k = r.k JOIN (SELECT DISTINCT l FROM u WHERE n > 1) e ON true LEFT JOIN u ON u.l = e.l AND u.p = xor(s.p >> e.l, 1::BIGINT)),
+y AS (SELECT k, p, list({s: s, f: f} ORDER BY l) AS path, string_agg(s, '' ORDER BY l) AS proof FROM x GROUP BY k, p),
+z AS (SELECT r.doc_id, r.leaf, s.h AS subroot, (SELECT h FROM u WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+  list_reduce(list_prepend({s: coalesce(trial, leaf), f: false}, coalesce(path, [])), lambda a, x: {s: CASE WHEN x.s = '' THEN sha256(a.s) WHEN x.f THEN sha256(x.s || a.s) ELSE sha256(a.s || x.s) END, f: false}).s AS folded_root
+  FROM r JOIN s ON s.k = r.k LEFT JOIN y ON y.k = r.k AND y.p = r.p)
+SELECT *, folded_root = root AS verified FROM z""",
     "op3_ann": """
 WITH v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
