@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, merkle, packing, pii, secrets, sentencepiece, substring_dedup, suffix_dedup, toxicity, vp_search
+from . import exact_dedup, jaccard_join, merkle, packing, pii, runs, secrets, sentencepiece, substring_dedup, suffix_dedup, toxicity, vp_search
 from .common import table
 
 
@@ -94,6 +94,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find_runs(table(spark, sf_dir, "documents"), runs.looped))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -106,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle": op11_merkle,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _RULES = ", ".join(
