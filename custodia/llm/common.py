@@ -166,12 +166,10 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words(raw: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a block: start, end, row and 64-bit hash of each.
+def word_table(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a block: start, end, row and number of each, and the distinct words by number.
 
     UTF-8 keeps these separators out of other characters, so bytes are enough."""
-    if lower:
-        raw = LOWER[raw]
     inside = np.zeros(len(raw) + 1, bool)
     inside[:-1] = ~IS_SPACE[raw]
     begins = inside.copy()
@@ -185,5 +183,17 @@ def words(raw: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.nd
     ends = ends_at[np.searchsorted(ends_at, starts, side="left")] if len(starts) else starts
     row = np.searchsorted(offs, starts, side="right") - 1
     ends = np.minimum(ends, offs[row + 1]) if len(starts) else ends
-    sums, inverse = prefix_hash(BYTE_CODE[raw])
-    return starts, ends, row, mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    data, lengths = np.ascontiguousarray(raw[inside[:-1]]), np.cumsum(ends - starts, dtype=np.int64)
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.concatenate(([0], lengths)).astype(np.int64)), pa.py_buffer(data)])
+    coded = found.dictionary_encode()
+    return starts, ends, row, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+
+
+def words(raw: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end, row and two independent 64-bit codes of each word of a block. Codes are halves of a 128-bit hash of the word that is no
+    polynomial: those collide, modulo a power of two, on long words whatever the base is."""
+    import xxhash
+
+    starts, ends, row, number, known = word_table(LOWER[raw] if lower else raw, offs)
+    codes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w) for w in known.to_pylist()]), ">u8").astype(np.uint64).reshape(-1, 2)[number]
+    return starts, ends, row, codes[:, 0].copy(), codes[:, 1].copy()

@@ -52,7 +52,7 @@ _SALT = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB
 def shingles(group: pa.Table, size: int):
     """(row, hash) of the distinct shingles of each row of a block, by row and hash."""
     raw, offs = utf8(group["text"])
-    _, _, row, code = words(raw, offs, lower=True)
+    _, _, row, code, _ = words(raw, offs, lower=True)
     n_rows = len(offs) - 1
     count = np.bincount(row, minlength=n_rows)
     k = len(code) - size + 1

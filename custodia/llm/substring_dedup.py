@@ -8,7 +8,7 @@ document of every hash and answers each block with one bit for each entry. The b
 the same order, marks its windows and merges them into maximal intervals.
 
 Spark deals and brings together the entries; they are counted inside a shard's task, as packed columns. Windows count as
-equal when 80 bits of hashes are: two polynomials over random word codes, finalised by a bijection. At n
+equal when 80 bits of hashes are: two polynomials, each over word codes of its own, finalised by a bijection. At n
 windows about n**2 / 2**81 false matches are expected: less than one up to 10 TB of text, a hundred in 100 TB.
 
 Defined results: a null text has no words; documents shorter than the window keep everything; rows
@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 from .common import BLOCK_BYTES, SHARD_ENTRIES, blocks, deal, freed, ids_of, mix, ordered, pack, prefix_hash, text_bytes, unpack, utf8, words
 
 WIDTH = 50
-#: Makes the word codes of the second hash.
-SECOND = np.uint64(0xD6E8FEB86659FD93)
 ENTRIES = "shard int, block int, entries binary"
 FLAGS = "block int, shard int, flags binary"
 RESULT = "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept string"
@@ -37,13 +35,13 @@ def _windows(group: pa.Table, width: int):
     """Words and windows of a block: (raw, starts, ends, row of each word, rank of each row's id, first word, hash and second
     hash of each window)."""
     raw, offs = utf8(group["text"])
-    starts, ends, row, code = words(raw, offs)
+    starts, ends, row, code, other = words(raw, offs)
     ids = ids_of(group)
     sums, inverse = prefix_hash(code)
     first = np.arange(max(0, len(code) - width + 1))
     first = first[row[first] == row[first + width - 1]] if len(first) else first
     hashes = mix((sums[first + width] - sums[first]) * inverse[first])
-    sums, _ = prefix_hash(mix(code ^ SECOND))
+    sums, _ = prefix_hash(other)
     second = (mix((sums[first + width] - sums[first]) * inverse[first]) >> np.uint64(48)).astype(np.uint16)
     return raw, starts, ends, row, ids, first, hashes, second
 

@@ -106,3 +106,11 @@ def test_components_of_long_chains(spark):
     random.Random(1).shuffle(edges)
     got = {r.doc_id: r.component_id for r in jaccard_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 61)} | {i: 90 for i in (91, 95, 100)}
+
+
+def test_long_words_are_told_apart(spark):
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2**64, whatever the base."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    got = jaccard_join.classify(docs(spark, [one, other, one.upper(), f"{one} {other}"])).select("doc_id", "component_id").sort("doc_id").collect()
+    assert [tuple(r) for r in got] == [(0, 0), (1, 1), (2, 0), (3, 3)]

@@ -107,3 +107,12 @@ def test_equal_hashes_are_compared_by_bytes():
     raw = np.frombuffer(b"abcdefabcxef", np.uint8)
     assert suffix_dedup.same_bytes(raw, np.array([0, 0, 2]), np.array([6, 6, 8]), np.array([3, 4, 1])).tolist() == [True, False, True]
     assert len(suffix_dedup.same_bytes(raw, *[np.zeros(0, int)] * 3)) == 0
+
+
+def test_words_that_collide_in_polynomials(spark):
+    """A Thue-Morse word and its complement have one polynomial hash modulo 2**64, whatever the base."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    tail = " ".join(f"w{i}" for i in range(49))
+    d = docs(spark, [f"{one} {tail}", f"{other} {tail}", f"{one} {tail}"])
+    assert [r.n_removed for r in substring_dedup.digest(substring_dedup.mark_repeats(d)).sort("doc_id").collect()] == [0, 0, 50]
