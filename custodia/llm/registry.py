@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, jaccard_join, merkle, packing, pii, runs, secrets, sentencepiece, substring_dedup, suffix_dedup, toxicity, vp_search
+from . import exact_dedup, jaccard_join, merkle, packing, pii, runs, secrets, sentencepiece, sharding, substring_dedup, suffix_dedup, toxicity, vp_search
 from .common import table
 
 
@@ -98,6 +98,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.find_runs(table(spark, sf_dir, "documents"), runs.looped))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.place(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_secrets": op2_secrets,
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_merkle": op11_merkle,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_sharding": op13_sharding,
 }
 
 _RULES = ", ".join(
