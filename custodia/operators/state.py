@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Characters by which lines of a log and spellings of keys meet.
-GRAM = 4
-
-
 def last_wins(rows: DataFrame, keys: list[str], order: str, first: bool = False) -> DataFrame:
     """One row for each key: the last by ``order`` (or the first). ``order`` must be a total order. One aggregation, so
     repeated keys are reduced before they are shuffled."""
@@ -26,22 +20,6 @@ def last_lines(lines: DataFrame, n: int = 5) -> DataFrame:
     return lines.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
 
 
-def scan_logs(lines: DataFrame, keys: DataFrame, words: list[str], n: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(line_no, line) x (key, spelling) -> lines that hold any spelling of a key, counted once; and the last ``n`` of them that
-    also hold a word. Letters count as they are written, and a spelling may stand inside a longer word.
-
-    Lines meet spellings by the last ``GRAM`` characters of these (fewer if a spelling is shorter), and the spelling is then
-    looked for; so nothing is compared with everything. Empty spellings are in no line."""
-    spelt = keys.where(F.length("spelling") > 0).select("key", "spelling").distinct()
-    gram = min(GRAM, spelt.agg(F.min(F.length("spelling"))).first()[0] or GRAM)
-    spelt = spelt.withColumn("gram", F.substring("spelling", -gram, gram))
-    places = F.when(F.length("line") >= gram, F.sequence(F.lit(1), F.length("line") - gram + 1))
-    grams = lines.select("line_no", "line", F.explode(F.array_distinct(F.transform(places, lambda i: F.substring(F.col("line"), i, F.lit(gram))))).alias("gram"))
-    hits = grams.join(spelt, "gram").where(F.contains("line", F.col("spelling"))).select("key", "line_no", "line").distinct()
-    told = reduce(lambda a, w: a | F.contains("line", F.lit(w)), words, F.lit(False))
-    return hits.groupBy("key").agg(F.count("*").alias("n_lines")), last_lines(hits.where(told), n)
-
-
 def cache_status(inventory: DataFrame, cache: DataFrame, recheck: bool = False) -> DataFrame:
     """(site, name, bytes, mtime) x (site, name, bytes, mtime_s, sha512, md5) -> what to do with each file: reused,
     md5_backfill or hashed; and missing for cached rows without a file, which are kept."""

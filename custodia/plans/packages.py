@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import items, keys, text
 from ..functions.common import shared_dir, table
 from ..operators import coverage as cov
-from ..operators import integrity, layout, metadata, records, split, state, verdicts
+from ..operators import integrity, layout, logs, metadata, records, split, state, verdicts
 from ..sources import files, sinks
 from . import judging, reconciling
 
@@ -185,7 +185,7 @@ def s13(spark, d):
     lines = table(spark, d, "part").selectExpr("p_partkey AS line_no", "concat('run ', CASE p_partkey % 4 WHEN 0 THEN 'SITE ' WHEN 1 THEN 'SITE_' WHEN 2 THEN 'site ' ELSE '(SITE ' END, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS STRING) ELSE lpad(CAST(p_size AS STRING), 3, '0') END, CASE WHEN p_partkey % 5 = 0 THEN '_x' ELSE ' ' END, p_type) AS line")
     number = table(spark, d, "nation").selectExpr("n_nationkey + 1 AS n")
     spelt = number.selectExpr("lpad(CAST(n AS STRING), 3, '0') AS key", "explode(array(concat('SITE ', lpad(CAST(n AS STRING), 3, '0')), concat('SITE_', lpad(CAST(n AS STRING), 3, '0')), concat('SITE ', n))) AS spelling")
-    counts, last = state.scan_logs(lines, spelt, ["STEEL", "COPPER"], 3)
+    counts, last = logs.scan_logs(lines, spelt, ["STEEL", "COPPER"], 3)
     return counts.select("key", F.col("n_lines").alias("n"), F.lit("lines").alias("kind")).unionByName(last.select("key", F.col("line_no").alias("n"), F.lit("last").alias("kind")))
 
 

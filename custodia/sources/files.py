@@ -230,8 +230,9 @@ def read_results(spark: SparkSession, path: str, column: str = "site") -> DataFr
 
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """line_no, line; numbers grow within a file."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
+    """line_no, line, in the order of the logs: by file, by place of the range that a task reads, and by line within it."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    return spark.read.text(path).select(at.alias("line_no"), F.col("value").alias("line"))
 
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:

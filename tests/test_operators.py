@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from custodia.operators import coverage, dedup, integrity, layout, metadata, ranking, records, split, state, verdicts
+from custodia.operators import coverage, dedup, integrity, layout, logs, metadata, ranking, records, split, state, verdicts
 from custodia.sources import files, sinks
 from custodia.streaming import state as streams
 
@@ -186,10 +186,10 @@ def test_first_names(spark):
 def test_log_lines_are_found_by_what_they_hold(spark):
     lines = spark.createDataFrame(list(enumerate(["failed SITE 073 late", "SITE_073_x failed", "site 073 failed", "SITE 7", "nothing", "", "SITE 73 and SITE 073 Timeout"])), "line_no long, line string")
     keys = spark.createDataFrame([("073", "SITE 073"), ("073", "SITE_073"), ("073", "SITE 73"), ("007", "SITE 7"), ("999", "")], "key string, spelling string")
-    counts, last = state.scan_logs(lines, keys, ["failed", "late"], 1)
+    counts, last = logs.scan_logs(lines, keys, ["failed", "late"], 1)
     assert {r.key: r.n_lines for r in counts.collect()} == {"073": 3, "007": 2}
     assert [(r.key, r.line_no) for r in last.collect()] == [("073", 1)]
-    assert state.scan_logs(lines, keys.limit(0), ["x"])[0].count() == 0
+    assert logs.scan_logs(lines, keys.limit(0), ["x"])[0].count() == 0
 
 
 def test_results_logs(spark, tmp_path):
