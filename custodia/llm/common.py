@@ -166,8 +166,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def word_table(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a block: start, end, row and number of each, and the distinct words by number.
+def word_bounds(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` of a block: start, end and row of each, and whether a byte is in one.
 
     UTF-8 keeps these separators out of other characters, so bytes are enough."""
     inside = np.zeros(len(raw) + 1, bool)
@@ -182,18 +182,36 @@ def word_table(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends_at = np.flatnonzero(stops)
     ends = ends_at[np.searchsorted(ends_at, starts, side="left")] if len(starts) else starts
     row = np.searchsorted(offs, starts, side="right") - 1
-    ends = np.minimum(ends, offs[row + 1]) if len(starts) else ends
-    data, lengths = np.ascontiguousarray(raw[inside[:-1]]), np.cumsum(ends - starts, dtype=np.int64)
-    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.concatenate(([0], lengths)).astype(np.int64)), pa.py_buffer(data)])
-    coded = found.dictionary_encode()
+    return starts, np.minimum(ends, offs[row + 1]) if len(starts) else ends, row, inside[:-1]
+
+
+def word_table(raw: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Start, end, row and number of each word of a block, and the distinct words by number."""
+    starts, ends, row, inside = word_bounds(raw, offs)
+    data, upto = np.ascontiguousarray(raw[inside]), np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=upto[1:])
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(upto), pa.py_buffer(data)]).dictionary_encode()
     return starts, ends, row, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
 
 
-def words(raw: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end, row and two independent 64-bit codes of each word of a block. Codes are halves of a 128-bit hash of the word that is no
-    polynomial: those collide, modulo a power of two, on long words whatever the base is."""
-    import xxhash
+#: The first bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
 
-    starts, ends, row, number, known = word_table(LOWER[raw] if lower else raw, offs)
-    codes = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w) for w in known.to_pylist()]), ">u8").astype(np.uint64).reshape(-1, 2)[number]
-    return starts, ends, row, codes[:, 0].copy(), codes[:, 1].copy()
+def words(raw: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end, row and two independent 64-bit codes of each word of a block.
+
+    A code goes through a word by eight bytes, each mixed into all bits of the code so far. It is no polynomial: those
+    collide, modulo a power of two, on long words of two letters whatever the base is."""
+    raw = LOWER[raw] if lower else raw
+    starts, ends, row, _ = word_bounds(raw, offs)
+    eights = np.ndarray((len(raw) + 1,), "<u8", buffer=np.concatenate((raw, np.zeros(8, np.uint8))), strides=(1,))
+    left, at, which = ends - starts, starts, slice(None)
+    one, two = mix(left.astype(np.uint64) + BASE), mix(left.astype(np.uint64) * BASE)
+    while len(left):
+        v = eights[at] & _FIRST[np.minimum(left, 8)]
+        one[which], two[which] = mix(one[which] ^ v), mix((two[which] ^ v) * BASE_INV)
+        more = np.flatnonzero(left > 8)
+        which = more if isinstance(which, slice) else which[more]
+        left, at = left[more] - 8, at[more] + 8
+    return starts, ends, row, one, two
