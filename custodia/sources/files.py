@@ -5,103 +5,66 @@ What a task opens itself it opens through ``open_path``: a path that every execu
 
 from __future__ import annotations
 
-import os
-from collections.abc import Iterable
-from urllib.parse import unquote, urlparse
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.common import materialise
 from ..functions.keys import parse_key_cell
 from ..functions.text import pick_column
 from ..operators.state import last_wins
+from .dealing import deal_by_bytes
+from .inventory import read_inventory  # noqa: F401
+from .opening import open_path
+from .tables import read_dirty_csv  # noqa: F401
 
 
-def open_path(path: str):
-    """Local paths and file: URIs directly; others through the file systems that Arrow knows."""
-    u = urlparse(path)
-    if u.scheme in ("", "file"):
-        return open(unquote(u.path) if u.scheme else path, "rb")
-    from pyarrow import fs
-
-    store, inner = fs.FileSystem.from_uri(path)
-    return store.open_input_file(inner)
-
-
-def read_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Site, name, bytes, mtime, sidecar of the files one level under each site's folder. Hidden files are listed too, by
-    tasks that each take some folders; contents are not read."""
-    folders = spark.createDataFrame([(f,) for f in _list(root, dirs=True)], "folder string")
+def read_archive_entries(paths: DataFrame) -> DataFrame:
+    """(site, path) of archives -> site, archive, n (place in the archive), name, bytes, comp_bytes, method, crc, error. Only the index
+    at an archive's end is read; one that cannot be read is a row with an error. With a column ``bytes``, archives are dealt by it."""
 
     def run(batches):
-        for b in batches:
-            for folder in b.column(0).to_pylist():
-                rows = [(os.path.basename(folder.rstrip("/")), n, s, m, n.startswith("._")) for n, s, m in _stat(folder)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["site", "name", "bytes", "seconds", "sidecar"])
-
-    found = folders.repartition(max(1, min(1024, spark.sparkContext.defaultParallelism * 4))).mapInArrow(run, "site string, name string, bytes long, seconds double, sidecar boolean")
-    return found.select("site", "name", "bytes", F.timestamp_seconds(F.floor("seconds")).alias("mtime"), "sidecar")
-
-
-def _fs(path: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if urlparse(path).scheme else (fs.LocalFileSystem(), path)
-
-
-def _list(root: str, dirs: bool) -> list[str]:
-    from pyarrow import fs
+        import zipfile
 
-    store, inner = _fs(root)
-    kind = fs.FileType.Directory if dirs else fs.FileType.File
-    prefix = root[: len(root) - len(inner)] if root.endswith(inner) else ""
-    return sorted(prefix + i.path for i in store.get_file_info(fs.FileSelector(inner)) if i.type == kind)
+        for b in batches:
+            for site, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                short = path.rsplit("/", 1)[-1]
+                try:
+                    with open_path(path) as f, zipfile.ZipFile(f) as z:
+                        rows = [(site, short, n, i.filename.rsplit("/", 1)[-1], i.file_size, i.compress_size, i.compress_type, i.CRC, None) for n, i in enumerate(z.infolist()) if not i.is_dir()]
+                except Exception as e:  # whatever an archive is, it must not end the scan of the others
+                    rows = [(site, short, None, None, None, None, None, None, f"unreadable: {type(e).__name__}")]
+                for at in range(0, len(rows), _ROWS):
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[at : at + _ROWS]), _ENTRY)], names=["site", "archive", "n", "name", "bytes", "comp_bytes", "method", "crc", "error"])
 
+    return _dealt(paths).mapInArrow(run, "site string, archive string, n int, name string, bytes long, comp_bytes long, method int, crc long, error string")
 
-def _stat(folder: str) -> Iterable[tuple[str, int, float]]:
-    from pyarrow import fs
 
-    store, inner = _fs(folder)
-    for i in store.get_file_info(fs.FileSelector(inner)):
-        if i.type == fs.FileType.File:
-            yield i.base_name, i.size, i.mtime.timestamp()
+_ENTRY = [pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
+#: Rows of a batch of entries.
+_ROWS = 1 << 14
 
 
 def read_archive_index(paths: DataFrame) -> DataFrame:
-    """(site, path) of archives -> site, archive, name, bytes, comp_bytes, method, crc, error. Only the index at an
-    archive's end is read. A base name seen twice is reported and the last size wins; one unreadable archive voids the
-    site, which then has error rows only."""
+    """The entries of all archives of a site as one: site, archive, name, bytes, comp_bytes, method, crc, error. A base name seen twice,
+    in one archive or in two, is reported, and the last one's size counts (by archive, then place). One unreadable archive
+    voids the site, which then has error rows only. Each archive is read once."""
+    found = materialise(read_archive_entries(paths), "archive-entries")
+    bad = found.where("name is null")
+    facts = F.struct("archive", "bytes", "comp_bytes", "method", "crc")
+    merged = found.where("name is not null").join(bad.select("site").distinct(), "site", "left_anti").groupBy("site", "name").agg(F.max_by(facts, F.struct("archive", "n")).alias("_f"), F.count("*").alias("_n"))
+    good = merged.select("site", "_f.archive", "name", "_f.bytes", "_f.comp_bytes", "_f.method", "_f.crc", F.when(F.col("_n") > 1, "repeated name").alias("error"))
+    return good.unionByName(bad.drop("n"))
 
-    def run(batches):
-        import zipfile
 
-        for b in batches:
-            for site, path in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                short, rows = path.rsplit("/", 1)[-1], []
-                try:
-                    with open_path(path) as f, zipfile.ZipFile(f) as z:
-                        seen = {}
-                        for i in z.infolist():
-                            if i.is_dir():
-                                continue
-                            name = i.filename.rsplit("/", 1)[-1]
-                            seen[name] = (site, short, name, i.file_size, i.compress_size, i.compress_type, i.CRC, "repeated name" if name in seen else None)
-                        rows = list(seen.values())
-                except Exception as e:  # whatever an archive is, it must not end the scan of the others
-                    rows = [(site, short, None, None, None, None, None, f"unreadable: {type(e).__name__}")]
-                if rows:
-                    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.string()]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=["site", "archive", "name", "bytes", "comp_bytes", "method", "crc", "error"])
-
-    found = paths.select("site", "path").mapInArrow(run, "site string, archive string, name string, bytes long, comp_bytes long, method int, crc long, error string")
-    bad = found.where(F.col("name").isNull()).select("site").distinct().withColumn("_bad", F.lit(True))
-    return found.join(bad, "site", "left").where(F.col("_bad").isNull() | F.col("name").isNull()).drop("_bad")
+def _dealt(paths: DataFrame) -> DataFrame:
+    """(site, path), by bytes where these are known."""
+    return (deal_by_bytes(paths.select("site", "path", "bytes")) if "bytes" in paths.columns else paths).select("site", "path")
 
 
 def read_headers(paths: DataFrame, n: int = 12) -> DataFrame:
-    """(site, path) -> site, path, header: the first ``n`` bytes."""
+    """(site, path) -> site, path, header: the first ``n`` bytes, null for files that cannot be read. Each costs an opening: with a
+    column ``bytes`` (of any value) they are dealt evenly."""
 
     def run(batches):
         for b in batches:
@@ -114,11 +77,13 @@ def read_headers(paths: DataFrame, n: int = 12) -> DataFrame:
                     heads.append(None)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(heads, pa.binary())], names=["site", "path", "header"])
 
-    return paths.select("site", "path").mapInArrow(run, "site string, path string, header binary")
+    even = paths.withColumn("bytes", F.lit(0)) if "bytes" in paths.columns else paths
+    return _dealt(even).mapInArrow(run, "site string, path string, header binary")
 
 
 def hash_files(paths: DataFrame, piece: int = 1 << 16) -> DataFrame:
-    """(site, path) -> site, path, sha512, md5 in one reading; files that cannot be read have an error instead."""
+    """(site, path) -> site, path, sha512, md5 in one reading; files that cannot be read have an error instead.
+    With a column ``bytes``, files are dealt by it."""
 
     def run(batches):
         import hashlib
@@ -138,34 +103,7 @@ def hash_files(paths: DataFrame, piece: int = 1 << 16) -> DataFrame:
             cols = list(zip(*rows)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(x, pa.string()) for x in cols)], names=["site", "path", "sha512", "md5", "error"])
 
-    return paths.select("site", "path").mapInArrow(run, "site string, path string, sha512 string, md5 string, error string")
-
-
-def _cp1252() -> tuple[str, str]:
-    """The characters in which ISO-8859-1, which Spark reads, and cp1252 differ."""
-    differ = {bytes([b]).decode("latin-1"): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
-    return "".join(k for k, v in differ.items() if v), "".join(differ.values())
-
-
-_CP1252 = _cp1252()
-
-
-def read_dirty_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A table that people saved: UTF-8 with or without a mark, else cp1252; ``;`` if the header has no comma. Of equal headers
-    the last counts. Lines are looked at by tasks; only where a quoted field spans lines does one task read a whole file."""
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    told = lines.agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("open")).first()
-    first = lines.select(F.col("value").cast("binary").alias("b")).first()
-    encoding = "ISO-8859-1" if told["utf8"] is False else "UTF-8"
-    line = bytes(first["b"] if first else b"").decode("cp1252" if encoding != "UTF-8" else "utf-8-sig", "ignore")
-    sep = ";" if ";" in line and "," not in line else ","
-    names = [h.strip().strip('"') for h in line.strip().split(sep)]
-    df = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=bool(told["open"]), escape='"')
-    last = {n: i for i, n in enumerate(names)} if len(names) == len(df.columns) else {c: i for i, c in enumerate(df.columns)}
-    safe = df.toDF(*(f"_{i}" for i in range(len(df.columns))))
-    fix = (lambda c: F.translate(c, *_CP1252)) if encoding == "ISO-8859-1" else (lambda c: c)
-    return safe.select(*(fix(F.col(f"_{i}")).alias(n.lstrip("﻿")) for n, i in last.items()))
+    return _dealt(paths).mapInArrow(run, "site string, path string, sha512 string, md5 string, error string")
 
 
 def choose_key_column(columns: list[str], override: str | None = None, names: tuple[str, ...] = ("site#", "site")) -> str:
