@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.common import col
+
 
 def last_wins(rows: DataFrame, keys: list[str], order: str, first: bool = False) -> DataFrame:
     """One row for each key: the last by ``order`` (or the first). ``order`` must be a total order. One aggregation, so
@@ -48,8 +50,9 @@ def write_cache(cache: DataFrame, path: str) -> None:
 
 def merge_attempts(state: DataFrame, attempts: DataFrame) -> DataFrame:
     """(site, doc: map) x (site, at, record_id) -> the new documents: unknown keys stay, managed ones are replaced, and
-    tries grow by the number of attempts from what was a number above 0."""
-    new = attempts.groupBy("site").agg(F.count("*").alias("n"), F.max_by("record_id", F.struct("at", "record_id")).alias("record_id"), F.max("at").alias("at"))
+    tries grow by the number of attempts (a column ``tries`` says how many a row stands for) from what was a number above 0."""
+    count = F.sum("tries") if "tries" in attempts.columns else F.count("*")
+    new = attempts.groupBy("site").agg(count.alias("n"), F.max_by("record_id", F.struct("at", "record_id")).alias("record_id"), F.max("at").alias("at"))
     tries = F.greatest(F.coalesce(F.try_element_at("doc", F.lit("number_of_tries")).try_cast("int"), F.lit(0)), F.lit(0)) + F.coalesce("n", F.lit(0))
     managed = F.create_map(F.lit("record_id"), F.col("record_id"), F.lit("updated"), F.col("at").cast("string"), F.lit("number_of_tries"), tries.cast("string"))
     old = F.map_filter(F.coalesce("doc", F.create_map().cast("map<string,string>")), lambda k, _: ~k.isin("record_id", "updated", "number_of_tries"))
@@ -69,6 +72,11 @@ def sentinel_backfill(verdicts: DataFrame) -> DataFrame:
     return verdicts.where((F.col("verdict") == "Yes") & ~F.col("sentinel")).select("site")
 
 
+def done_bucket(path: Column | str) -> Column:
+    """One of 256 parts of a done-set, by a hash of the path."""
+    return F.substring(F.md5(col(path)), 1, 2)
+
+
 def new_done(done: DataFrame, finished: DataFrame) -> DataFrame:
     """(path) of both -> what to append; appending it again appends nothing."""
     return finished.select("path").distinct().join(done.select("path"), "path", "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.state import cache_status, new_done, refresh_cache, write_cache
+from ..operators.state import cache_status, done_bucket, new_done, refresh_cache, write_cache
 
 
 def attempts(events: DataFrame, late: str = "1 day") -> DataFrame:
@@ -27,15 +27,24 @@ def done_stream(paths: DataFrame) -> DataFrame:
 
 
 def append_done(paths: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Appends paths that the done-set at ``target`` lacks; a batch that runs again appends nothing."""
+    """Appends paths that the done-set at ``target`` lacks; a batch that runs again appends nothing. The set lies in parts by a hash of
+    the path, and a batch reads the parts that its own paths belong to."""
 
     def batch(df: DataFrame, _: int) -> None:
-        held = _read(df.sparkSession, target, "path string")
-        new_done(held, df).write.mode("append").parquet(target)
+        new = df.select("path", done_bucket("path").alias("bucket")).distinct().persist()
+        parts = [r["bucket"] for r in new.select("bucket").distinct().collect()]
+        held = done_parts(df.sparkSession, target, parts)
+        new_done(held, new).withColumn("bucket", done_bucket("path")).write.mode("append").partitionBy("bucket").parquet(target)
+        new.unpersist()
 
     return paths.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def done_parts(spark: SparkSession, target: str, buckets: list[str]) -> DataFrame:
+    """The paths of some parts of a done-set; files of others are not read."""
+    return _read(spark, target, "path string, bucket string").where(F.col("bucket").isin(buckets)).select("path")
+
+
 def refresh_stream(inventory: DataFrame, hash_files, target: str, checkpoint: str) -> StreamingQuery:
     """Each batch of inventory rows (site, name, bytes, mtime) refreshes the cache at ``target``; ``hash_files`` takes the rows
     that are due and returns site, name, sha512, md5. Only the sites of the batch are read and replaced."""
