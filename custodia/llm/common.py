@@ -18,6 +18,11 @@ BLOCK_BYTES = 4 << 20
 SHARD_ENTRIES = 1 << 20
 
 
+def named(*path: str) -> Column:
+    """A column by its name, whatever characters that has; further names are fields in it."""
+    return F.col(".".join("`{}`".format(p.replace("`", "``")) for p in path))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import named, text_or_empty
 
 #: Deleted before texts are compared.
 SPACES = " \t\n\x0b\x0c\r"
@@ -58,7 +58,12 @@ def group_copies(docs: DataFrame, hash_of=content_hash) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, hash_of=content_hash) -> DataFrame:
-    """The rows that stay, with all their columns; one for each distinct text, even where rows repeat."""
-    norm = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), normalised(text_or_empty()).alias("_norm"))
-    rank = F.struct((-F.char_length(F.coalesce("_row.text", F.lit("")))).alias("c"), F.coalesce("_row.doc_id", F.lit((1 << 63) - 1)).alias("i"))
+    """The rows that stay, with all their columns; one for each distinct text, even where rows repeat. Of rows that also repeat an id the
+    least by text and by the other columns (as JSON) stays."""
+    norm = docs.select(F.struct(*(named(c) for c in docs.columns)).alias("_row"), normalised(text_or_empty()).alias("_norm"))
+    text = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
+    others = [named("_row", c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")]
+    rest = F.to_json(F.struct(*others)) if others else F.lit("")
+    # rows that repeat an id are told apart by all that they hold, so that the same one stays whenever this runs
+    rank = F.struct((-F.char_length(text)).alias("c"), F.col("_row.doc_id").isNull().alias("n"), F.col("_row.doc_id").alias("i"), text.alias("t"), rest.alias("r"))
     return norm.groupBy(hash_of(F.col("_norm")).alias("_h"), "_norm").agg(F.min_by("_row", rank).alias("_row")).select("_row.*")

@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, deal, freed, ids_of, materialise, mix, ordered, pack, parts, ship, text_bytes, text_or_empty, unpack, utf8, words
+from .common import blocks, deal, freed, ids_of, materialise, mix, named, ordered, pack, parts, ship, text_bytes, text_or_empty, unpack, utf8, words
 
 SIZE, PERCENT = 5, 80
 #: A set's prefix grows by one shingle, and the number that must be shared too, for so many shingles.
@@ -482,7 +482,7 @@ def drop_near_copies(docs: DataFrame, size: int = SIZE, percent: int = PERCENT)
     gone = materialise(gone.select(F.col("doc_id").alias("gone")).distinct(), "gone")
     cell = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(ID_CELLS)).cast("int").alias("cell")
     cells = F.broadcast(gone.select(cell("gone")).distinct())
-    marked = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), cell("doc_id"))
+    marked = docs.select(F.struct(*(named(c) for c in docs.columns)).alias("row"), cell("doc_id"))
     sure = marked.join(cells, "cell", "left_anti")
     maybe = marked.join(cells, "cell", "left_semi").join(gone, F.col("row.doc_id").cast("long") == F.col("gone"), "left_anti")
     return sure.unionByName(maybe).select("row.*")

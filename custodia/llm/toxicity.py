@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE_CODE, LOWER, freed, materialise, mix, pack, parts, prefix_hash, ship, text_or_empty, unpack, utf8
+from .common import BYTE_CODE, LOWER, freed, materialise, mix, named, pack, parts, prefix_hash, ship, text_or_empty, unpack, utf8
 
 MAX_TRAIN, MIN_DF, FOLDS = 20_000, 8, 3
 STRENGTH, THRESHOLD = 5e-4, 0.5
@@ -291,7 +291,7 @@ def score(docs: DataFrame, chain: list[Linear], names: list[str]) -> DataFrame:
         row = cell = feature = used = None
         freed()
 
-    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text_or_empty().alias("text"))
+    given = docs.select(F.struct(*(named(c) for c in docs.columns)).alias("row"), text_or_empty().alias("text"))
     return given.mapInArrow(run, T.StructType([given.schema["row"], T.StructField("p", kinds)]))
 
 
