@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import materialise, parts, text_or_empty
+from .common import materialise, named, parts, text_or_empty
 
 REACH, SUPPORT, REMOVE_BITS, GENERALISE_BITS, GAIN = 8, 3, 0.1, 0.5, 6.0
 #: Bits of the filter: fixed, so what is broadcast is too.
@@ -115,15 +115,33 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("key", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.md5("text")))
 
 
+class Cover:
+    """What spans cover, as intervals in order."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]) -> None:
+        self.starts, self.ends = [], []
+        for _, start, end in sorted(spans, key=lambda s: s[1:]):
+            if self.ends and start <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def meets(self, start: int, end: int) -> bool:
+        """Whether a stretch has a place in common with a span."""
+        i = bisect_right(self.ends, start)
+        return i < len(self.starts) and self.starts[i] < end
+
+
 def _near(text: str, spans: list[tuple[int, int, int]], reach: int):
     """(entity, words near it) of each mention: ``reach`` words on each side, however long they are."""
-    taken = [(s, e) for _, s, e in spans]
+    taken = Cover(spans)
     starts = array("q", (a for a, _, _ in terms(text))) if spans else ()
     for kind, start, end in spans:
         at = bisect_left(starts, start)
         left = [next(terms(text, a, start)) for a in starts[max(0, at - reach) : at]]
         right = [t for _, t in zip(range(reach), terms(text, end))]
-        yield entity_key(kind, text[start:end]), [t for a, b, t in left + right if not any(s < b and a < e for s, e in taken)]
+        yield entity_key(kind, text[start:end]), [t for a, b, t in left + right if not taken.meets(a, b)]
 
 
 def disclosing(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, remove_bits: float = REMOVE_BITS, generalise_bits: float = GENERALISE_BITS, gain: float = GAIN) -> DataFrame:
@@ -221,8 +239,9 @@ def find(docs: DataFrame, **options) -> DataFrame:
                 found = entities(t)
                 spans = [{"kind": KINDS[k], "start": s, "end": e, "term": None} for k, s, e in found]
                 if keep and any(map(wanted, set(t.split()))):
+                    taken = Cover(found)
                     for start, end, w in terms(t):
-                        if wanted(w) and not any(s < end and start < e for _, s, e in found):
+                        if wanted(w) and not taken.meets(start, end):
                             spans.append({"kind": "term", "start": start, "end": end, "term": w})
                 out.append(spans)
             yield pa.RecordBatch.from_arrays([b.column("key"), b.column("doc_id"), pa.array(out, _SPAN)], names=["key", "doc_id", "spans"])
@@ -259,8 +278,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
                 out.append(None if t is None else "".join([*done, t[at:]]))
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(out, pa.string())], names=["row", "clean"])
 
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = docs.select(F.struct(*(named(c) for c in docs.columns)).alias("row"))
     key = F.concat_ws(":", F.coalesce(F.col("row.doc_id").cast("long").cast("string"), F.lit("-")), F.md5(F.coalesce(F.col("row.text").cast("string"), F.lit(""))))
     given = rows.withColumn("key", key).join(marks, "key", "left").select("row", F.col("row.text").alias("text"), "spans")
     done = given.mapInArrow(rewrite, StructType([given.schema["row"], StructField("clean", StringType())]))
-    return done.select(*(F.col("clean").alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
+    return done.select(*(F.col("clean").alias("text") if c == "text" else named("row", c) for c in docs.columns))

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -146,3 +147,23 @@ def test_sanitising_keeps_columns_of_any_name(spark):
     out = pii.sanitise(d)
     assert out.columns == d.columns
     assert {(r.doc_id, r.text, r["_key"], r.row, r["a.b"]) for r in out.collect()} == {(0, "mail [EMAIL]", 1, 6, 8), (1, None, 1, 6, 8), (2, "", 1, 6, 8)}
+
+
+def test_a_list_of_addresses_takes_seconds(spark):
+    import time
+
+    text = " ".join(f"Mr Smith{i % 50} <user{i}@example{i % 97}.org>," for i in range(60_000))
+    began = time.perf_counter()
+    found = {r.doc_id: r.spans for r in pii.find(docs(spark, [text, "plain text"])).collect()}
+    assert time.perf_counter() - began < 60
+    assert sum(s.kind == "email" for s in found[0]) == 60_000 and found[1] == []
+
+
+def test_cover():
+    r = random.Random(1)
+    for _ in range(300):
+        spans = [(0, a, a + r.randint(1, 6)) for a in (r.randrange(40) for _ in range(r.randint(0, 8)))]
+        cover = pii.Cover(spans)
+        for a in range(44):
+            for b in range(a + 1, 46):
+                assert cover.meets(a, b) == any(s < b and a < e for _, s, e in spans)
