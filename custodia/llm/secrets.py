@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import named, text_or_empty
 from .trigrams import Query, query_of, trigrams_of
 
 
@@ -85,7 +85,7 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def _matches(texts: DataFrame, rule: Rule) -> DataFrame:
-    """(key, kind, start, end) of a rule's matches in texts that have any."""
+    """(key, kind, start, end, and both in bytes) of a rule's matches in texts that have any."""
     hits = texts.where(F.rlike("text", F.lit(rule.pattern))).select(
         "key",
         F.split("text", rule.pattern, -1).alias("gaps"),
@@ -93,19 +93,20 @@ def _matches(texts: DataFrame, rule: Rule) -> DataFrame:
         F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group)).alias("counted"),
     )
     each = hits.select("key", F.posexplode(F.arrays_zip("found", "counted", F.slice("gaps", F.lit(1), F.size("found")).alias("gap"))).alias("n", "m"))
-    sized = each.select("key", "n", F.char_length("m.gap").alias("g"), F.char_length("m.found").alias("l"), F.char_length("m.counted").alias("c"))
+    sized = each.select("key", "n", F.char_length("m.gap").alias("g"), F.char_length("m.found").alias("l"), F.char_length("m.counted").alias("c"), F.octet_length("m.gap").alias("bg"), F.octet_length("m.found").alias("bl"))
     sized = sized.dropDuplicates(["key", "n"])  # rows repeated in the input
     before = Window.partitionBy("key").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum((F.col("g") + F.col("l")).cast("long")).over(before)
     return (
         sized.withColumn("end", end)
+        .withColumn("byte_end", F.sum((F.col("bg") + F.col("bl")).cast("long")).over(before))
         .where(F.col("c") >= rule.at_least)
-        .select("key", F.lit(rule.kind).alias("kind"), (F.col("end") - F.col("l")).alias("start"), "end")
+        .select("key", F.lit(rule.kind).alias("kind"), (F.col("end") - F.col("l")).alias("start"), "end", (F.col("byte_end") - F.col("bl")).alias("byte_start"), "byte_end")
     )
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(key, kind, start, end): one row for each span."""
+    """(key, kind, start, end, byte_start, byte_end): one row for each span."""
     texts = keyed(docs)
     free = [r for r in rules if query_of(r.pattern) is True]
     asked = tuple(r for r in rules if query_of(r.pattern) is not True)
@@ -137,21 +138,23 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents, with every span replaced by ``[SECRET]`` and ``n_chars``, where there is one, brought up to date.
     Overlapping spans become one mark. All other columns stay as they are, whatever their names."""
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = docs.select(F.struct(*(named(c) for c in docs.columns)).alias("row"))
     rows = rows.withColumn("key", F.struct(F.col("row.doc_id").cast("long").alias("i"), F.unhex(F.md5(text)).alias("m")))
-    spans = find_secrets(docs.select("doc_id", "text"), rules).groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
-    # walk the spans in order: what precedes each is kept unless an earlier span covers it
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        apart = (s["start"] > acc["at"]) | (acc["at"] == 0)
-        return F.struct(
-            F.when(apart, F.concat(acc["out"], gap, F.lit("[SECRET]"))).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        )
-
-    masked = F.aggregate("spans", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.char_length(text))))
+    found = find_secrets(docs.select("doc_id", "text"), rules).select("key", "byte_start", "byte_end").distinct()
+    # spans that meet or touch are one; what lies between two is cut out of the bytes once, so a text of many secrets takes no longer
+    upto = Window.partitionBy("key").orderBy("byte_start", "byte_end")
+    past = F.max("byte_end").over(upto.rowsBetween(Window.unboundedPreceding, -1))
+    apart = found.withColumn("n", F.when(F.col("byte_start") <= past, 0).otherwise(1)).withColumn("n", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    marks = apart.groupBy("key", "n").agg(F.min("byte_start").cast("int").alias("a"), F.max("byte_end").cast("int").alias("b"))
+    spans = marks.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans"))
+
+    def cut(data: Column) -> Column:
+        before = lambda i: F.coalesce(F.get("spans", i - 1)["b"], F.lit(0))
+        kept = F.transform("spans", lambda s, i: F.concat(F.substring(data, before(i) + 1, s["a"] - before(i)).cast("string"), F.lit("[SECRET]")))
+        return F.concat(F.array_join(kept, ""), F.substring(data, F.element_at("spans", -1)["b"] + 1, F.lit((1 << 31) - 1)).cast("string"))
+
+    # a variable of its own, so that the text is turned into bytes once and not for each span
+    masked = F.get(F.transform(F.array(text.cast("binary")), cut), F.lit(0))
     done = rows.join(spans, "key", "left").select("row", F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(masked).alias("clean"))
     renewed = {"text": F.col("clean"), "n_chars": F.coalesce(F.char_length("clean").cast("long"), F.lit(None) if "n_chars" not in docs.columns else F.col("row.n_chars").cast("long"))}
-    return done.select(*(renewed[c].alias(c) if c in renewed else F.col(f"row.`{c}`") for c in docs.columns))
+    return done.select(*(renewed[c].alias(c) if c in renewed else named("row", c) for c in docs.columns))

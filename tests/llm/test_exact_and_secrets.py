@@ -108,3 +108,23 @@ def test_redaction_keeps_columns_of_any_name(spark):
         (i, t, 1, "x", 2, 3, 4, 5, 6) for i, t in [(0, 'x [SECRET]" y'), (1, None), (2, "plain")]
     }
     assert exact_dedup.drop_copies(d).columns == d.columns
+
+
+def test_redacting_many_secrets_is_linear(spark):
+    import time
+
+    text = "é " + " ".join(f"token={i:08x}é" for i in range(40_000))
+    began = time.perf_counter()
+    got = secrets.redact(docs(spark, [text, "password=abcdef12 tail ö", None, "none"])).sort("doc_id").collect()
+    assert time.perf_counter() - began < 40
+    assert got[0].text == "é " + " ".join(["[SECRET]é"] * 40_000) and got[0].n_chars == len(got[0].text)
+    assert [r.text for r in got[1:]] == ["[SECRET] tail ö", None, "none"]
+
+
+def test_rows_with_one_id_and_odd_names(spark):
+    rows = [(1, "a b", "z", 1), (1, "a b", "y", 2), (1, " ab", "y", 9), (None, "q", "n", 1), ((1 << 63) - 1, "q", "m", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `we``ird.` string, n_chars long")
+    for part in (1, 4):
+        kept = exact_dedup.drop_copies(df.repartition(part)).collect()
+        assert sorted(tuple(r) for r in kept) == [(1, " ab", "y", 9), ((1 << 63) - 1, "q", "m", 1)]
+    assert secrets.redact(df).columns == df.columns
