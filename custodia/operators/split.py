@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import casefold
+from ..functions.common import casefold, materialise
 from ..functions.items import item_timestamp
 from ..functions.keys import parse_part
-from .ranking import running
+from .ranking import number, ranges, running, starts
 
 
 def _order():
@@ -30,10 +30,26 @@ def cuts(placed: DataFrame) -> DataFrame:
     return totals.join(best, "site", "left")
 
 
+def range_cuts(dealt: DataFrame, start: DataFrame) -> DataFrame:
+    """W01 in two levels: the sums of the ranges tell which of them hold the middle of a site's bytes (the last that begins at or before
+    it, and those that begin with the first sum beyond it), and only their rows are looked at. site, cut."""
+    whole = start.groupBy("_by_site").agg(F.max(F.col("_before_before") + F.col("_before")).alias("total"), F.max("_total").alias("n"))
+    sized = start.join(whole.withColumnRenamed("_by_site", "site"), F.col("_by_site").eqNullSafe(F.col("site")))
+    low = 2 * F.col("_before_before") <= F.col("total")
+    edge = sized.groupBy("site").agg(F.max(F.when(low, F.col("_start"))).alias("_last"), F.min(F.when(~low, F.col("_before_before"))).alias("_beyond"))
+    near = sized.drop("site").join(edge, F.col("_by_site").eqNullSafe(F.col("site"))).where((F.col("_start") == F.col("_last")) | (F.col("_before_before") == F.col("_beyond")))
+    rows = number(dealt, near.select(*start.columns, "total"), ["site"], "i", {"before": "bytes"}, "n", ["total"]).withColumn("i", F.col("i") - 1)
+    gap = F.abs(2 * F.col("before") - F.col("total"))
+    return rows.where("i > 0").groupBy("site").agg(F.max_by("i", F.struct((-gap).alias("g"), "i")).alias("cut"))
+
+
 def split_plan(files: DataFrame) -> DataFrame:
     """Site, name, part of each item; NULL where there is no cut."""
-    placed = positions(files)
-    return placed.join(cuts(placed).select("site", "cut"), "site", "left").select("site", "name", "bytes", "i", F.when(F.col("i") < F.col("cut"), 1).when(F.col("cut").isNotNull(), 2).alias("part"))
+    sums = {"before": "bytes"}
+    dealt = ranges(files.select("site", "name", "bytes"), ["site"], _order())
+    start = materialise(starts(dealt, ["site"], sums, total=True), "range-starts")
+    placed = number(dealt, start, ["site"], "i", sums).withColumn("i", F.col("i") - 1)
+    return placed.join(range_cuts(dealt, start), "site", "left").select("site", "name", "bytes", "i", F.when(F.col("i") < F.col("cut"), 1).when(F.col("cut").isNotNull(), 2).alias("part"))
 
 
 def cut_boundary(plan: DataFrame) -> DataFrame:

@@ -8,6 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.items import is_raw_upload
+from .layout import records_needed, split_advice
+
 c = F.col
 
 
@@ -78,6 +81,67 @@ def draft_verdict(f: DataFrame) -> DataFrame:
     ], "CONVERTIBLE")
 
 
+def _some(names: Column, n: int = 5) -> Column:
+    """The first names of a sorted list."""
+    return F.array_join(F.slice(F.array_sort(names), 1, n), ", ")
+
+
+def _text(*parts: Column | str) -> Column:
+    """Texts, and columns as text, joined; a null is nothing."""
+    return F.concat(*(F.lit(p) if isinstance(p, str) else F.coalesce(p.cast("string"), F.lit("")) for p in parts))
+
+
+def draft_note(verdict: Column | str = "verdict") -> Column:
+    """Why, in words. Beside the verdict's facts: n_raw_committed, companions_absent and stray_raw (lists of names)."""
+    v = F.col(verdict) if isinstance(verdict, str) else verdict
+    return (
+        F.when(v == "ALREADY_COMMITTED", "the record holds the archive")
+        .when(v == "MANIFESTS_MISSING", _text(c("n_raw"), " raw files and ", c("n_companions"), " companions are known; without both nothing can be decided"))
+        .when(v == "RESUMABLE", _text("file by file; ", c("n_raw_committed"), "/", c("n_raw"), " raw files committed"))
+        .when(v == "COMPANIONS_MISSING", _text(F.size("companions_absent"), " companions not committed: ", _some(c("companions_absent"))))
+        .when(v == "PARTIALLY_CONVERTED", _text(F.size("stray_raw"), " raw files on the record of a site that is not file by file: ", _some(c("stray_raw"))))
+        .when(v == "CONVERTIBLE", "all companions are committed, the archive is not")
+    )
+
+
+def draft_facts(entries: DataFrame, raw: DataFrame, companions: DataFrame, archives: DataFrame, file_by_file: DataFrame) -> DataFrame:
+    """The facts, from a record's (site, name, status), the raw files and companions that the manifests name (site, name), each site's
+    archive (site, archive), and the sites that are marked file by file. Every site with an archive has a row."""
+    done = entries.where("status = 'completed'").select("site", "name").distinct()
+    held = done.withColumn("_done", F.lit(True))
+    wanted = raw.select("site", "name").distinct().join(held, ["site", "name"], "left").groupBy("site").agg(F.count("*").alias("n_raw"), F.count("_done").alias("n_raw_committed"))
+    beside = companions.select("site", "name").distinct().join(held, ["site", "name"], "left").groupBy("site").agg(F.count("*").alias("n_companions"), F.array_sort(F.collect_list(F.when(F.col("_done").isNull(), F.col("name")))).alias("companions_absent"))
+    stray = done.where(is_raw_upload("name")).groupBy("site").agg(F.array_sort(F.collect_list("name")).alias("stray_raw"))
+    packed = archives.join(done.withColumnRenamed("name", "archive"), ["site", "archive"], "left_semi").select("site", F.lit(True).alias("archive_committed")).distinct()
+    marked = file_by_file.select("site", F.lit(True).alias("file_by_file")).distinct()
+    facts = archives.select("site").distinct()
+    for more in (wanted, beside, stray, packed, marked):
+        facts = facts.join(more, "site", "left")
+    none = F.array().cast("array<string>")
+    facts = facts.fillna(0, ["n_raw", "n_raw_committed", "n_companions"]).fillna(False, ["archive_committed", "file_by_file"]).withColumns({k: F.coalesce(k, none) for k in ("companions_absent", "stray_raw")})
+    return facts.withColumns({"n_companions_absent": F.size("companions_absent"), "n_stray_raw": F.size("stray_raw")})
+
+
+def local_note(max_files: int = 96, verdict: Column | str = "verdict") -> Column:
+    """Why, in words. Beside the verdict's facts: staging_folders, raw_folders and raw_absent (lists of names)."""
+    v = F.col(verdict) if isinstance(verdict, str) else verdict
+    which = F.when(c("n_staging") > 1, _text(c("n_staging"), " prepared folders: ", _some(c("staging_folders")))).otherwise(_text(c("n_raw_folders"), " raw folders: ", _some(c("raw_folders"))))
+    advice = split_advice(records_needed("n_raw", "n_companions", max_files))
+    return (
+        F.when(v == "AMBIGUOUS_FOLDER", which)
+        .when(v == "NO_STAGING", "no prepared folder")
+        .when(v == "PREP_INCOMPLETE", "the mark of a finished folder is absent")
+        .when(v == "UNSUPPORTED_LAYOUT", _text("archives are laid out as ", c("layout"), "; one archive is needed"))
+        .when(v == "MANIFESTS_MISSING", _text(c("n_raw"), " raw files and ", c("n_companions"), " companions are known; both are needed"))
+        .when(v == "TOO_MANY_FILES", _text(c("n_raw") + c("n_companions"), " files (", c("n_raw"), " raw, ", c("n_companions"), f" companions), at most {max_files}: ", advice))
+        .when(v == "NO_RAW_FOLDER", "no raw folder")
+        .when(v == "RAW_FILES_MISSING", _text(c("n_raw_absent"), " listed raw files are not there: ", _some(c("raw_absent"))))
+        .when(v == "UPLOADED_TWIN", "an uploaded folder of the site exists")
+        .when(v == "STATE_MISMATCH", _text("the state names record ", c("state_record_id"), ", the draft is ", c("record_id")))
+        .otherwise("")
+    )
+
+
 def local_verdict(f: DataFrame, max_files: int = 96) -> DataFrame:
     """n_staging, n_raw_folders, staging, sentinel, layout, n_raw, n_companions, n_raw_absent, twin_uploaded, state_record_id,
     record_id; NULL if every gate passes."""
@@ -101,6 +165,12 @@ def missing_state_cause(f: DataFrame) -> DataFrame:
     ], "no evidence")
 
 
+def cause_text(cause: Column | str = "verdict") -> Column:
+    """The cause with the record's id or the last error, where it rests on one."""
+    v = F.col(cause) if isinstance(cause, str) else cause
+    return F.when(v == "state lost, id in the log", _text(v, ": record ", c("log_id"))).when(v == "failed before creation", _text(v, ": ", c("latest_failure"))).otherwise(v)
+
+
 #: What to do about each cause, in the words of this package.
 ACTIONS = {
     "state lost, id in the log": "restore the state from the log, then finish the upload",

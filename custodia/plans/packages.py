@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -199,6 +201,31 @@ def v08_action(spark, d):
     return rows.select("o_orderkey", verdicts.suggested_action().alias("action"))
 
 
+def v08_text(spark, d):
+    facts = judging._facts(spark, d, judging.FACTS["v08_missing_state_cause"][1])
+    return verdicts.missing_state_cause(facts).select("o_orderkey", verdicts.cause_text().alias("cause"))
+
+
+def _draft_side(spark, d):
+    """Documents as files of sites: which are raw, which companions, and which the record holds."""
+    return table(spark, d, "documents").selectExpr("doc_id % 97 AS k", "concat('S', doc_id % 97) AS site", "doc_id", "CASE WHEN doc_id div 97 % 3 = 0 THEN concat(doc_id, '.txt') ELSE concat(doc_id, '.wav') END AS name", "doc_id div 97 % 3 = 0 AS companion")
+
+
+def v05_from_entries(spark, d):
+    """Verdicts on drafts and why, from the entries of records and the manifests."""
+    rows = _draft_side(spark, d)
+    sites = rows.select("k", "site").distinct()
+    entries = rows.where("k % 6 = 0 OR companion AND (k % 4 > 0 OR doc_id % 5 > 0)").selectExpr("site", "name", "CASE WHEN doc_id % 11 = 0 THEN 'pending' ELSE 'completed' END AS status")
+    entries = entries.unionByName(sites.where("k % 7 = 0").selectExpr("site", "concat(site, '.zip') AS name", "CASE WHEN k % 2 = 0 THEN 'completed' ELSE 'pending' END AS status"))
+    facts = verdicts.draft_facts(entries, rows.where("NOT companion"), rows.where("companion AND k % 13 > 0"), sites.selectExpr("site", "concat(site, '.zip') AS archive"), sites.where("k % 10 = 3"))
+    return verdicts.draft_verdict(facts).select("site", "verdict", verdicts.draft_note().alias("note"))
+
+
+def v06_notes(spark, d):
+    facts = judging._facts(spark, d, judging.FACTS["v06_local_verdict"][1]).selectExpr("*", "transform(sequence(1, n_staging), i -> concat('s', i)) AS staging_folders", "array('r2', 'r1') AS raw_folders", "array(CAST(o_orderkey AS STRING)) AS raw_absent")
+    return verdicts.local_verdict(facts).select("o_orderkey", verdicts.local_note().alias("note"))
+
+
 def v04_from_files(spark, d):
     """The integrity gate on what J02, J04 and A11 find: problems of the manifest, digests that differ, and the archives' layout."""
     e, days = _days(spark, d)
@@ -216,16 +243,15 @@ def v04_from_files(spark, d):
 
 def s14(spark, d):
     """A report written and read again."""
-    path = f"{shared_dir(spark)}/report-s14-{spark.sparkContext.applicationId}"
+    path = f"{shared_dir(spark)}/report-{uuid.uuid4().hex}"
     sinks.write_report(table(spark, d, "customer").selectExpr("c_name AS site", "c_custkey AS n", "concat('says \"', c_mktsegment, '\", twice') AS note"), path, ["n", "site", "note"])
     return files.read_report(spark, path, ["n", "site"])
 
 
 def s15(spark, d):
     """Results appended to both logs, twice, and counted."""
-    path = f"{shared_dir(spark)}/results-{spark.sparkContext.applicationId}-{abs(hash(d))}"
+    path = f"{shared_dir(spark)}/results-{uuid.uuid4().hex}"
     rows = table(spark, d, "orders").selectExpr("o_orderkey", "o_orderkey % 3 > 0 AS success")
-    rows.limit(0).withColumn("outcome", F.lit("")).write.mode("overwrite").partitionBy("outcome").parquet(path)
     for part in (0, 1):
         sinks.append_results(rows.where(f"o_orderkey % 2 = {part}"), path)
     return spark.read.schema("o_orderkey long, success boolean, outcome string").parquet(path).groupBy("outcome").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("orders"))
@@ -233,7 +259,7 @@ def s15(spark, d):
 
 def s16(spark, d):
     """Items packed by site and day, and read by their folders."""
-    path = f"{shared_dir(spark)}/packed-{spark.sparkContext.applicationId}"
+    path = f"{shared_dir(spark)}/packed-{uuid.uuid4().hex}"
     layout.write_packed(reconciling._events(spark, d).select((F.col("site").cast("long") % 7).cast("string").alias("site"), "name", "bytes"), path)
     return spark.read.schema("name string, bytes long, site string, day string").parquet(path).groupBy("site", "day").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
 
@@ -242,7 +268,7 @@ QUERIES = {
     "e04_key_sort": e04, "e39_sample_text": e39, "e42_record_ids": e42, "j07_lookup_first": j07, "j08_locate": j08, "j16_part_pairs": j16, "j17_diverging": j17, "j18_key_diff": j18, "j20_local_package": j20, "p04_mode_allows": p04, "p05_prepared": p05,
     "p07_not_uploaded": p07, "p08_copy_reason": p08, "p10_folders": p10, "p11_key_pairs": p11, "a17_unique_keys": a17, "l01_report_order": l01, "l05_upload_order": l05, "l06_candidate_order": l06, "l07_item_order": l07, "i04_sentinel_backfill": i04,
     "m01_internal_manifest": m01, "m02_external_manifest": m02, "m03_upload_set": m03, "m04_required_files": m04, "m07_references": m07_references, "m09_people_and_fundings": m09, "m11_put_body": m11, "s13_scan_logs": s13, "w04_last_texts": w04_words,
-    "v08_suggested_action": v08_action, "v04_gate_from_files": v04_from_files, "s14_s18_report": s14, "s15_results": s15, "s16_packed": s16,
+    "v08_suggested_action": v08_action, "v08_cause_text": v08_text, "v05_from_entries": v05_from_entries, "v06_local_notes": v06_notes, "v04_gate_from_files": v04_from_files, "s14_s18_report": s14, "s15_results": s15, "s16_packed": s16,
 }
 
 _D = f"WITH d AS (SELECT doc_id, source AS site, {_NAMES} AS name, n_chars AS bytes, text FROM documents)"
@@ -282,6 +308,15 @@ ORACLE_SQL = {
     "s13_scan_logs": "WITH l AS (SELECT p_partkey AS line_no, 'run ' || ['SITE ', 'SITE_', 'site ', '(SITE '][p_partkey % 4 + 1] || CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS VARCHAR) ELSE lpad(CAST(p_size AS VARCHAR), 3, '0') END || CASE WHEN p_partkey % 5 = 0 THEN '_x' ELSE ' ' END || p_type AS line FROM part), k AS (SELECT lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') AS key, n_nationkey + 1 AS n FROM nation), h AS (SELECT key, line_no, line FROM l, k WHERE contains(line, 'SITE ' || key) OR contains(line, 'SITE_' || key) OR contains(line, 'SITE ' || n)), w AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY line_no DESC) AS r FROM h WHERE contains(line, 'STEEL') OR contains(line, 'COPPER')) SELECT key, count(*) AS n, 'lines' AS kind FROM h GROUP BY key UNION ALL SELECT key, line_no, 'last' FROM w WHERE r <= 3",
     "w04_last_texts": "SELECT conv_id AS key, turn AS line_no, md5(line) AS line FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM (SELECT conv_id, turn, min(text) AS line FROM conversations GROUP BY ALL)) WHERE r <= 2",
     "v08_suggested_action": f"SELECT o_orderkey, action FROM ({judging.ORACLE_SQL['v08_missing_state_cause']}) JOIN (VALUES {_ACTIONS}) a(cause, action) ON verdict = cause",
+    "v08_cause_text": f"SELECT o_orderkey, CASE verdict WHEN 'state lost, id in the log' THEN verdict || ': record r' WHEN 'failed before creation' THEN verdict || ': timeout' ELSE verdict END AS cause FROM ({judging.ORACLE_SQL['v08_missing_state_cause']})",
+    "v05_from_entries": """WITH d AS (SELECT doc_id % 97 AS k, doc_id, doc_id // 97 % 3 = 0 AS companion, doc_id || CASE WHEN doc_id // 97 % 3 = 0 THEN '.txt' ELSE '.wav' END AS name FROM documents),
+e AS (SELECT *, (k % 6 = 0 OR (companion AND (k % 4 > 0 OR doc_id % 5 > 0))) AND doc_id % 11 > 0 AS done FROM d),
+f AS (SELECT k, count(*) FILTER (WHERE NOT companion) AS raw, count(*) FILTER (WHERE NOT companion AND done) AS held, count(*) FILTER (WHERE companion AND k % 13 > 0) AS beside,
+  coalesce(list_sort(list(name) FILTER (WHERE companion AND k % 13 > 0 AND NOT done)), []) AS absent, coalesce(list_sort(list(name) FILTER (WHERE NOT companion AND done)), []) AS stray FROM e GROUP BY k),
+v AS (SELECT *, CASE WHEN k % 14 = 0 THEN 'ALREADY_COMMITTED' WHEN raw = 0 OR beside = 0 THEN 'MANIFESTS_MISSING' WHEN k % 10 = 3 THEN 'RESUMABLE' WHEN len(absent) > 0 THEN 'COMPANIONS_MISSING' WHEN len(stray) > 0 THEN 'PARTIALLY_CONVERTED' ELSE 'CONVERTIBLE' END AS verdict FROM f)
+SELECT 'S' || k AS site, verdict, CASE verdict WHEN 'ALREADY_COMMITTED' THEN 'the record holds the archive' WHEN 'MANIFESTS_MISSING' THEN raw || ' raw files and ' || beside || ' companions are known; without both nothing can be decided' WHEN 'RESUMABLE' THEN 'file by file; ' || held || '/' || raw || ' raw files committed'
+  WHEN 'COMPANIONS_MISSING' THEN len(absent) || ' companions not committed: ' || array_to_string(absent[1:5], ', ') WHEN 'PARTIALLY_CONVERTED' THEN len(stray) || ' raw files on the record of a site that is not file by file: ' || array_to_string(stray[1:5], ', ') ELSE 'all companions are committed, the archive is not' END AS note FROM v""",
+    "v06_local_notes": "WITH f AS (SELECT o_orderkey, {FACTS} FROM orders), v AS (SELECT *, {RULE} AS verdict FROM f) SELECT o_orderkey, CASE verdict WHEN 'AMBIGUOUS_FOLDER' THEN '2 prepared folders: s1, s2' WHEN 'NO_STAGING' THEN 'no prepared folder' WHEN 'PREP_INCOMPLETE' THEN 'the mark of a finished folder is absent' WHEN 'UNSUPPORTED_LAYOUT' THEN 'archives are laid out as per_day; one archive is needed' WHEN 'MANIFESTS_MISSING' THEN n_raw || ' raw files and ' || n_companions || ' companions are known; both are needed' WHEN 'TOO_MANY_FILES' THEN (n_raw + n_companions) || ' files (' || n_raw || ' raw, ' || n_companions || ' companions), at most 96: split into two' WHEN 'NO_RAW_FOLDER' THEN 'no raw folder' WHEN 'RAW_FILES_MISSING' THEN '1 listed raw files are not there: ' || o_orderkey WHEN 'UPLOADED_TWIN' THEN 'an uploaded folder of the site exists' WHEN 'STATE_MISMATCH' THEN 'the state names record a, the draft is b' ELSE '' END AS note FROM v".replace("{FACTS}", ", ".join(f"{sql} AS {c}" for c, sql in judging.FACTS["v06_local_verdict"][1].items())).replace("{RULE}", judging.FACTS["v06_local_verdict"][2]),
     "s14_s18_report": "SELECT CAST(c_custkey AS VARCHAR) AS n, c_name AS site, 'says \"' || c_mktsegment || '\", twice' AS note FROM customer",
     "s15_results": "SELECT CASE WHEN o_orderkey % 3 > 0 THEN 'success' ELSE 'failure' END AS outcome, count(*) AS n, count(DISTINCT o_orderkey) AS orders FROM orders GROUP BY 1",
     "s16_packed": f"WITH {reconciling._EVENTS} SELECT CAST(CAST(site AS BIGINT) % 7 AS VARCHAR) AS site, strftime(ts, '%Y_%m_%d') AS day, count(*) AS n, sum(bytes)::BIGINT AS bytes FROM e GROUP BY ALL",

@@ -37,6 +37,18 @@ def test_split_is_the_best_cut(spark):
     assert split.verify_plan(plan).count() == 0
 
 
+def test_cuts_on_plateaus_that_ranges_divide(spark):
+    """Sites whose middle is a long row of empty items, the first or last item, or nothing but empty items."""
+    plans = {"flat": [5] + [0] * 900 + [5], "empty": [0] * 700, "first": [99] + [1] * 30, "last": [1] * 30 + [99], "upper": [4, 3] + [0] * 800 + [3, 3], "two": [0, 7], "one": [3]}
+    rows = [(s, f"20240101_00{i // 60:02d}{i % 60:02d}.wav", b) for s, sizes in plans.items() for i, b in enumerate(sizes)]
+    plan = split.split_plan(spark.createDataFrame(rows, "site string, name string, bytes long"))
+    got = {r.site: r.n or None for r in plan.groupBy("site").agg(F.count_if(F.col("part") == 1).alias("n")).collect()}
+    for s, sizes in plans.items():
+        gaps = {k: abs(2 * sum(sizes[:k]) - sum(sizes)) for k in range(1, len(sizes))}
+        assert got[s] == max((k for k in gaps if gaps[k] == min(gaps.values())), default=None), s
+    assert split.verify_plan(plan).count() == 0
+
+
 def test_unparsable_names_come_last(spark):
     df = spark.createDataFrame([("s", "zz.wav", 1), ("s", "20240102_000000.wav", 1), ("s", "20240101_000000.WAV", 1), ("s", "Ab.wav", 1)], "site string, name string, bytes long")
     assert [r.name for r in split.positions(df).orderBy("i").collect()] == ["20240101_000000.WAV", "20240102_000000.wav", "Ab.wav", "zz.wav"]
@@ -181,6 +193,8 @@ def test_first_names(spark):
     rows = [("a", f"n{i % 13:02d}") for i in range(40)] + [("b", "x"), ("b", None), ("c", None)]
     got = {r.k: (r.names, r.n_names) for r in ranking.first_names(spark.createDataFrame(rows, "k string, name string"), ["k"], 3).collect()}
     assert got == {"a": (["n00", "n01", "n02"], 13), "b": (["x"], 1)}
+    numbers = spark.createDataFrame([(None, i % 30) for i in range(90)] + [(7, 5)], "k long, name long").repartition(5)
+    assert {r.k: (r.names, r.n_names) for r in ranking.first_names(numbers, ["k"], 2).collect()} == {None: ([0, 1], 30), 7: ([5], 1)}
 
 
 def test_log_lines_are_found_by_what_they_hold(spark):
