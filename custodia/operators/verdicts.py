@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.items import is_raw_upload
+from ..functions.keys import like_capture
 from .layout import records_needed, split_advice
 
 c = F.col
@@ -157,6 +158,27 @@ def candidate_verdict(f: DataFrame) -> DataFrame:
     return _of(f, [(c("key").isNull(), "UNPARSABLE_TITLE"), (c("draft").isNull(), "UNKNOWN_DRAFT_STATE"), (~c("draft"), "PUBLISHED"), (F.coalesce(c("id"), F.lit("")) == "", "NO_ID")], "CANDIDATE")
 
 
+def listing_candidates(records: DataFrame, patterns: list[str]) -> DataFrame:
+    """Typed records (S10) -> each with the key that its title gives by one of the wildcard patterns, and its verdict."""
+    return candidate_verdict(records.withColumn("key", like_capture("title", patterns)))
+
+
+def missing_state_facts(sites: DataFrame, logs: DataFrame, documents: DataFrame, successes: DataFrame, failures: DataFrame, archives: DataFrame, done: DataFrame, rows: DataFrame | None) -> DataFrame:
+    """The evidence on each of ``sites``: request logs (site, record_id), sites with a metadata document, and with an earlier success, failures
+    (site, at, error_message), of which the last counts, archives (site, path), the done-set (path), and sites with a metadata row; None
+    where these are not available, and then unknown. Each source is reduced to a row for each site before it is joined."""
+    known = sites.select("site").distinct()
+    log = logs.groupBy("site").agg(F.max(F.nullif("record_id", F.lit(""))).alias("log_id"), F.lit(True).alias("has_log"))
+    last = failures.groupBy("site").agg(F.max_by("error_message", "at").alias("latest_failure"))
+    packed = archives.join(done.select("path", F.lit(True).alias("_done")).distinct(), "path", "left").groupBy("site").agg(F.lit(True).alias("has_archive"), F.coalesce(F.bool_or("_done"), F.lit(False)).alias("in_done_set"))
+    flag = lambda df, name: df.select("site").distinct().withColumn(name, F.lit(True))
+    for more in (log, flag(documents, "has_metadata"), flag(successes, "prior_success"), last, packed, *([flag(rows, "metadata_row")] if rows is not None else [])):
+        known = known.join(more, "site", "left")
+    if rows is None:
+        known = known.withColumn("metadata_row", F.lit(None).cast("boolean"))
+    return known.fillna(False, ["has_log", "has_metadata", "prior_success", "has_archive", "in_done_set", *(["metadata_row"] if rows is not None else [])])
+
+
 def missing_state_cause(f: DataFrame) -> DataFrame:
     """log_id, has_log, has_metadata, prior_success, has_archive, in_done_set, metadata_row (NULL if unknown), latest_failure."""
     return _of(f, [

@@ -206,6 +206,29 @@ def v08_text(spark, d):
     return verdicts.missing_state_cause(facts).select("o_orderkey", verdicts.cause_text().alias("cause"))
 
 
+def v07_from_listing(spark, d):
+    """Listing pages as JSON -> records -> candidates."""
+    doc = (
+        "to_json(map_filter(map('id', CASE WHEN c_custkey % 13 > 0 THEN CAST(c_custkey AS STRING) END, 'title', CASE c_custkey % 3 WHEN 0 THEN concat('Recordings of site ', lpad(CAST(c_custkey % 1000 AS STRING), 3, '0'), ' by ', c_name)"
+        " WHEN 1 THEN concat('SITE ', lpad(CAST(c_nationkey AS STRING), 3, '0')) ELSE c_name END, 'status', CASE c_custkey % 5 WHEN 0 THEN 'published' WHEN 1 THEN NULL ELSE 'draft' END), (k, v) -> v IS NOT NULL))"
+    )
+    pages = table(spark, d, "customer").selectExpr("c_custkey", "'account' AS source", f"{doc} AS doc")
+    found = verdicts.listing_candidates(records.normalize_records(pages.drop("c_custkey")), ["*of site *", "SITE *"])
+    return found.groupBy("verdict", "key").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+
+
+def v08_from_evidence(spark, d):
+    """Causes of lost states, from results, logs, archives and the done-set, each as found in the tables."""
+    c = table(spark, d, "customer").selectExpr("c_custkey AS site", "c_custkey", "c_nationkey")
+    o = table(spark, d, "orders").selectExpr("o_custkey AS site", "o_orderkey", "o_orderstatus", "concat('/a/', o_orderkey, '.zip') AS path", "o_orderpriority")
+    logs = o.where("o_orderkey % 41 = 0").selectExpr("site", "CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS STRING) ELSE '' END AS record_id")
+    failures = o.where("o_orderkey % 3 = 0").selectExpr("site", "o_orderkey AS at", "o_orderpriority AS error_message")
+    facts = verdicts.missing_state_facts(
+        c, logs, o.where("o_orderkey % 53 = 0"), o.where("o_orderkey % 47 = 0"), failures, o.where("o_orderkey % 2 = 1").select("site", "path"), o.where("o_orderkey % 11 = 0").select("path"), c.where("c_nationkey % 2 = 0"),
+    )
+    return verdicts.missing_state_cause(facts).select("site", verdicts.cause_text().alias("cause"), verdicts.suggested_action().alias("action"))
+
+
 def _draft_side(spark, d):
     """Documents as files of sites: which are raw, which companions, and which the record holds."""
     return table(spark, d, "documents").selectExpr("doc_id % 97 AS k", "concat('S', doc_id % 97) AS site", "doc_id", "CASE WHEN doc_id div 97 % 3 = 0 THEN concat(doc_id, '.txt') ELSE concat(doc_id, '.wav') END AS name", "doc_id div 97 % 3 = 0 AS companion")
@@ -268,7 +291,7 @@ QUERIES = {
     "e04_key_sort": e04, "e39_sample_text": e39, "e42_record_ids": e42, "j07_lookup_first": j07, "j08_locate": j08, "j16_part_pairs": j16, "j17_diverging": j17, "j18_key_diff": j18, "j20_local_package": j20, "p04_mode_allows": p04, "p05_prepared": p05,
     "p07_not_uploaded": p07, "p08_copy_reason": p08, "p10_folders": p10, "p11_key_pairs": p11, "a17_unique_keys": a17, "l01_report_order": l01, "l05_upload_order": l05, "l06_candidate_order": l06, "l07_item_order": l07, "i04_sentinel_backfill": i04,
     "m01_internal_manifest": m01, "m02_external_manifest": m02, "m03_upload_set": m03, "m04_required_files": m04, "m07_references": m07_references, "m09_people_and_fundings": m09, "m11_put_body": m11, "s13_scan_logs": s13, "w04_last_texts": w04_words,
-    "v08_suggested_action": v08_action, "v08_cause_text": v08_text, "v05_from_entries": v05_from_entries, "v06_local_notes": v06_notes, "v04_gate_from_files": v04_from_files, "s14_s18_report": s14, "s15_results": s15, "s16_packed": s16,
+    "v08_suggested_action": v08_action, "v08_cause_text": v08_text, "v07_from_listing": v07_from_listing, "v08_from_evidence": v08_from_evidence, "v05_from_entries": v05_from_entries, "v06_local_notes": v06_notes, "v04_gate_from_files": v04_from_files, "s14_s18_report": s14, "s15_results": s15, "s16_packed": s16,
 }
 
 _D = f"WITH d AS (SELECT doc_id, source AS site, {_NAMES} AS name, n_chars AS bytes, text FROM documents)"
@@ -308,6 +331,14 @@ ORACLE_SQL = {
     "s13_scan_logs": "WITH l AS (SELECT p_partkey AS line_no, 'run ' || ['SITE ', 'SITE_', 'site ', '(SITE '][p_partkey % 4 + 1] || CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS VARCHAR) ELSE lpad(CAST(p_size AS VARCHAR), 3, '0') END || CASE WHEN p_partkey % 5 = 0 THEN '_x' ELSE ' ' END || p_type AS line FROM part), k AS (SELECT lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0') AS key, n_nationkey + 1 AS n FROM nation), h AS (SELECT key, line_no, line FROM l, k WHERE contains(line, 'SITE ' || key) OR contains(line, 'SITE_' || key) OR contains(line, 'SITE ' || n)), w AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY line_no DESC) AS r FROM h WHERE contains(line, 'STEEL') OR contains(line, 'COPPER')) SELECT key, count(*) AS n, 'lines' AS kind FROM h GROUP BY key UNION ALL SELECT key, line_no, 'last' FROM w WHERE r <= 3",
     "w04_last_texts": "SELECT conv_id AS key, turn AS line_no, md5(line) AS line FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS r FROM (SELECT conv_id, turn, min(text) AS line FROM conversations GROUP BY ALL)) WHERE r <= 2",
     "v08_suggested_action": f"SELECT o_orderkey, action FROM ({judging.ORACLE_SQL['v08_missing_state_cause']}) JOIN (VALUES {_ACTIONS}) a(cause, action) ON verdict = cause",
+    "v07_from_listing": """WITH c AS (SELECT c_custkey AS c, CASE c_custkey % 3 WHEN 0 THEN lpad((c_custkey % 1000)::VARCHAR, 3, '0') WHEN 1 THEN lpad(c_nationkey::VARCHAR, 3, '0') END AS key, CASE WHEN c_custkey % 13 > 0 THEN c_custkey::VARCHAR END AS id FROM customer),
+v AS (SELECT *, CASE WHEN key IS NULL THEN 'UNPARSABLE_TITLE' WHEN c % 5 = 1 THEN 'UNKNOWN_DRAFT_STATE' WHEN c % 5 = 0 THEN 'PUBLISHED' WHEN id IS NULL THEN 'NO_ID' ELSE 'CANDIDATE' END AS verdict FROM c)
+SELECT verdict, key, count(*) AS n, min(id) AS first FROM v GROUP BY verdict, key""",
+    "v08_from_evidence": f"""WITH o AS (SELECT o_custkey AS site, o_orderkey AS k, o_orderpriority AS p FROM orders),
+e AS (SELECT site, bool_or(k % 41 = 0) AS log, max(k::VARCHAR) FILTER (WHERE k % 82 = 0) AS log_id, bool_or(k % 53 = 0) AS doc, bool_or(k % 47 = 0) AS success, max_by(p, k) FILTER (WHERE k % 3 = 0) AS failure, bool_or(k % 2 = 1) AS archive, bool_or(k % 2 = 1 AND k % 11 = 0) AS done FROM o GROUP BY site),
+f AS (SELECT c_custkey AS site, coalesce(log, false) AS log, log_id, coalesce(doc, false) AS doc, coalesce(success, false) AS success, failure, coalesce(archive, false) AS archive, coalesce(done, false) AS done, c_nationkey % 2 = 0 AS row FROM customer LEFT JOIN e ON site = c_custkey),
+v AS (SELECT *, CASE WHEN log_id IS NOT NULL THEN 'state lost, id in the log' WHEN log THEN 'log unreadable' WHEN doc THEN 'creation failed' WHEN success THEN 'prepared again after success' WHEN NOT archive THEN 'no archive' WHEN done THEN 'in the done-set' WHEN NOT row THEN 'no metadata row' WHEN failure > '' THEN 'failed before creation' ELSE 'no evidence' END AS verdict FROM f)
+SELECT site, CASE verdict WHEN 'state lost, id in the log' THEN verdict || ': record ' || log_id WHEN 'failed before creation' THEN verdict || ': ' || failure ELSE verdict END AS cause, action FROM v JOIN (VALUES {_ACTIONS}) a(cause, action) ON verdict = a.cause""",
     "v08_cause_text": f"SELECT o_orderkey, CASE verdict WHEN 'state lost, id in the log' THEN verdict || ': record r' WHEN 'failed before creation' THEN verdict || ': timeout' ELSE verdict END AS cause FROM ({judging.ORACLE_SQL['v08_missing_state_cause']})",
     "v05_from_entries": """WITH d AS (SELECT doc_id % 97 AS k, doc_id, doc_id // 97 % 3 = 0 AS companion, doc_id || CASE WHEN doc_id // 97 % 3 = 0 THEN '.txt' ELSE '.wav' END AS name FROM documents),
 e AS (SELECT *, (k % 6 = 0 OR (companion AND (k % 4 > 0 OR doc_id % 5 > 0))) AND doc_id % 11 > 0 AS done FROM d),
