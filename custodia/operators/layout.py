@@ -75,12 +75,16 @@ def not_uploaded(files: DataFrame, inputs: list[str]) -> DataFrame:
     return files.where(~F.col("name").isin(*inputs) & (low != "readme.md") & ~low.endswith(".zip"))
 
 
+#: Names that an upload leaves behind.
+UPLOAD_ARTIFACT = r"(?i)(upload_state|_request_log|_metadata)[^/]*\.json$"
+
+
 def copy_reason(name: Column | str, is_link: Column, is_dir: Column) -> Column:
     """Why a companion is not copied to the other half; NULL if it is."""
     n = col(name)
     return (
         F.when(is_link, "symlink").when(is_dir, "directory").when(n.startswith("."), "hidden").when(F.lower(n).endswith(".wav"), "item").when(F.lower(n).endswith(".zip"), "archive")
-        .when(n.rlike("(?i)(upload_state|_request_log|_metadata)[^/]*\\.json$"), "upload artifact")
+        .when(n.rlike(UPLOAD_ARTIFACT), "upload artifact")
     )
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import casefold, materialise
-from ..functions.items import item_timestamp
+from ..functions.items import is_item, item_timestamp
 from ..functions.keys import parse_part
+from .layout import UPLOAD_ARTIFACT, copy_reason
 from .ranking import number, ranges, running, starts
 
 
@@ -83,3 +84,32 @@ def part_pairs(folders: DataFrame) -> DataFrame:
     one = p.where("i = 1").select("base", "n", F.col("key").alias("part1"))
     two = p.where("i = 2").select("base", "n", F.col("key").alias("part2"))
     return one.join(two, ["base", "n"], "left").select("base", "n", "part1", "part2")
+
+
+def pair_facts(pairs: DataFrame, files: DataFrame) -> DataFrame:
+    """The facts on pairs of halves (J16: base, n, part1, part2) from their files (key, name, bytes, error): what the best split of both
+    halves' items would be, what part 2 holds already, and what is missing there. One row for each pair."""
+    known = pairs.select(F.col("part1").alias("site"), "base", F.col("n").alias("part_total"), "part2", F.col("part2").isNotNull().alias("part2_exists"))
+    one = files.join(known.select(F.col("site").alias("key"), "site"), "key")
+    two = files.join(known.where("part2 IS NOT NULL").select(F.col("part2").alias("key"), "site"), "key")
+    item = is_item("name", "split")
+    held = two.where(item).select("site", "name", "bytes", "error")
+    union = materialise(union_parts(one.where(item), held), "pair-union")
+    plan = materialise(split_plan(union.select("site", "name", "bytes")), "pair-plan")
+    there = plan.join(held.select("site", "name", F.lit(True).alias("_there")).distinct(), ["site", "name"], "left").withColumn("_there", F.coalesce("_there", F.lit(False)))
+    first, second = F.col("part") == 1, F.col("part") == 2
+    planned = there.groupBy("site").agg(
+        (F.max(F.when(first, F.col("i"))) + 1).alias("cut"), F.sum(F.when(first, F.col("bytes"))).alias("items1"), F.sum(F.when(second, F.col("bytes"))).alias("items2"),
+        F.count_if(first & F.col("_there")).alias("n_unexpected"), F.count_if("_there").alias("n_in_part2"), F.count_if(second & ~F.col("_there")).alias("n_remaining"),
+    )
+    beside = one.where(~item & copy_reason("name", F.lit(False), F.lit(False)).isNull())
+    copied = beside.groupBy("site").agg(F.sum("bytes").alias("companions"))
+    absent = beside.select("site", "name").join(two.select("site", "name"), ["site", "name"], "left_anti").groupBy("site").agg(F.count("*").alias("n_companions_missing"))
+    bound = two.where(F.col("name").rlike(UPLOAD_ARTIFACT)).select("site", F.lit(True).alias("part2_bound")).distinct()
+    untrusted = one.where(item).select("site", "error").unionByName(held.select("site", "error")).where("error IS NOT NULL").groupBy("site").agg(F.count("*").alias("n_untrusted"))
+    differing = union.where("conflict").groupBy("site").agg(F.count("*").alias("n_differing"))
+    found = known
+    for more in (planned, copied, absent, bound, untrusted, differing, verify_plan(plan).withColumnRenamed("problem", "plan_problem")):
+        found = found.join(more, "site", "left")
+    found = found.fillna(0, ["companions", "items1", "items2", "n_unexpected", "n_in_part2", "n_remaining", "n_companions_missing", "n_untrusted", "n_differing"]).fillna(False, ["part2_bound"])
+    return found.withColumns({"bytes1": F.col("items1") + F.col("companions"), "bytes2": F.col("items2") + F.col("companions")}).drop("items1", "items2", "companions")

@@ -217,6 +217,22 @@ def v07_from_listing(spark, d):
     return found.groupBy("verdict", "key").agg(F.count("*").alias("n"), F.min("id").alias("first"))
 
 
+def v09_from_folders(spark, d):
+    """Pairs of halves: documents are the items of part 1, and part 2 holds some of them already."""
+    docs = table(spark, d, "documents").selectExpr("doc_id % 50 AS b", "doc_id", "n_chars AS bytes", "concat('d', lpad(CAST(doc_id AS STRING), 9, '0'), '.wav') AS name")
+    key = "concat(lpad(CAST(b AS STRING), 3, '0'), '_Part_{}_of_', CASE WHEN b % 11 = 0 THEN 3 ELSE 2 END) AS key"
+    one, two = key.format(1), key.format(2)
+    sites = docs.groupBy("b").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    files = docs.selectExpr(one, "name", "bytes", "CASE WHEN b % 13 = 4 THEN 'odd size' END AS error")
+    files = files.unionByName(sites.selectExpr(one, "'aa.txt' AS name", "10 AS bytes", "CAST(NULL AS STRING) AS error"))
+    files = files.unionByName(sites.where("b % 17 = 5").selectExpr(two, "'x_upload_state.json' AS name", "1 AS bytes", "CAST(NULL AS STRING) AS error"))
+    ends = docs.join(sites, "b").where("b % 5 = 2 AND doc_id = high OR b % 5 = 3 AND doc_id = low")
+    files = files.unionByName(ends.selectExpr(two, "name", "bytes + CASE WHEN b % 10 = 2 THEN 1 ELSE 0 END AS bytes", "CAST(NULL AS STRING) AS error"))
+    folders = sites.selectExpr(one).unionByName(sites.where("b % 7 > 0").selectExpr(two))
+    facts = split.pair_facts(split.part_pairs(folders), files)
+    return verdicts.split_verdict(facts, limit=40000).select("base", "verdict", "cut", "bytes1", "bytes2", "n_in_part2")
+
+
 def v08_from_evidence(spark, d):
     """Causes of lost states, from results, logs, archives and the done-set, each as found in the tables."""
     c = table(spark, d, "customer").selectExpr("c_custkey AS site", "c_custkey", "c_nationkey")
@@ -291,7 +307,7 @@ QUERIES = {
     "e04_key_sort": e04, "e39_sample_text": e39, "e42_record_ids": e42, "j07_lookup_first": j07, "j08_locate": j08, "j16_part_pairs": j16, "j17_diverging": j17, "j18_key_diff": j18, "j20_local_package": j20, "p04_mode_allows": p04, "p05_prepared": p05,
     "p07_not_uploaded": p07, "p08_copy_reason": p08, "p10_folders": p10, "p11_key_pairs": p11, "a17_unique_keys": a17, "l01_report_order": l01, "l05_upload_order": l05, "l06_candidate_order": l06, "l07_item_order": l07, "i04_sentinel_backfill": i04,
     "m01_internal_manifest": m01, "m02_external_manifest": m02, "m03_upload_set": m03, "m04_required_files": m04, "m07_references": m07_references, "m09_people_and_fundings": m09, "m11_put_body": m11, "s13_scan_logs": s13, "w04_last_texts": w04_words,
-    "v08_suggested_action": v08_action, "v08_cause_text": v08_text, "v07_from_listing": v07_from_listing, "v08_from_evidence": v08_from_evidence, "v05_from_entries": v05_from_entries, "v06_local_notes": v06_notes, "v04_gate_from_files": v04_from_files, "s14_s18_report": s14, "s15_results": s15, "s16_packed": s16,
+    "v08_suggested_action": v08_action, "v08_cause_text": v08_text, "v07_from_listing": v07_from_listing, "v08_from_evidence": v08_from_evidence, "v09_from_folders": v09_from_folders, "v05_from_entries": v05_from_entries, "v06_local_notes": v06_notes, "v04_gate_from_files": v04_from_files, "s14_s18_report": s14, "s15_results": s15, "s16_packed": s16,
 }
 
 _D = f"WITH d AS (SELECT doc_id, source AS site, {_NAMES} AS name, n_chars AS bytes, text FROM documents)"
@@ -334,6 +350,12 @@ ORACLE_SQL = {
     "v07_from_listing": """WITH c AS (SELECT c_custkey AS c, CASE c_custkey % 3 WHEN 0 THEN lpad((c_custkey % 1000)::VARCHAR, 3, '0') WHEN 1 THEN lpad(c_nationkey::VARCHAR, 3, '0') END AS key, CASE WHEN c_custkey % 13 > 0 THEN c_custkey::VARCHAR END AS id FROM customer),
 v AS (SELECT *, CASE WHEN key IS NULL THEN 'UNPARSABLE_TITLE' WHEN c % 5 = 1 THEN 'UNKNOWN_DRAFT_STATE' WHEN c % 5 = 0 THEN 'PUBLISHED' WHEN id IS NULL THEN 'NO_ID' ELSE 'CANDIDATE' END AS verdict FROM c)
 SELECT verdict, key, count(*) AS n, min(id) AS first FROM v GROUP BY verdict, key""",
+    "v09_from_folders": """WITH d AS (SELECT doc_id % 50 AS b, doc_id, n_chars AS bytes FROM documents),
+r AS (SELECT *, row_number() OVER w - 1 AS i, coalesce(sum(bytes) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(bytes) OVER (PARTITION BY b) AS total FROM d WINDOW w AS (PARTITION BY b ORDER BY doc_id)),
+c AS (SELECT b, i AS cut FROM r WHERE i > 0 QUALIFY row_number() OVER (PARTITION BY b ORDER BY abs(2 * before - total), i DESC) = 1),
+f AS (SELECT b, any_value(cut) AS cut, coalesce(sum(bytes) FILTER (WHERE i < cut), 0)::BIGINT + 10 AS b1, coalesce(sum(bytes) FILTER (WHERE i >= cut), 0)::BIGINT + 10 AS b2, b % 7 > 0 AND b % 5 IN (2, 3) AS held FROM r LEFT JOIN c USING (b) GROUP BY b)
+SELECT lpad(b::VARCHAR, 3, '0') AS base, CASE WHEN b % 11 = 0 THEN 'NOT_TWO_PARTS' WHEN b % 7 = 0 THEN 'PART2_MISSING' WHEN b % 17 = 5 THEN 'PART2_BOUND' WHEN b % 13 = 4 THEN 'UNTRUSTED_SIZES' WHEN cut IS NULL THEN 'TOO_FEW_ITEMS' WHEN b % 10 = 2 THEN 'NAME_COLLISION'
+  WHEN b % 5 = 3 THEN 'PART2_UNEXPECTED' WHEN b % 5 = 2 THEN 'PART2_NEEDS_RESUME' WHEN b1 > 40000 OR b2 > 40000 THEN 'STILL_OVERSIZED' ELSE 'SPLIT_PLANNED' END AS verdict, cut, b1 AS bytes1, b2 AS bytes2, CASE WHEN held THEN 1 ELSE 0 END::BIGINT AS n_in_part2 FROM f""",
     "v08_from_evidence": f"""WITH o AS (SELECT o_custkey AS site, o_orderkey AS k, o_orderpriority AS p FROM orders),
 e AS (SELECT site, bool_or(k % 41 = 0) AS log, max(k::VARCHAR) FILTER (WHERE k % 82 = 0) AS log_id, bool_or(k % 53 = 0) AS doc, bool_or(k % 47 = 0) AS success, max_by(p, k) FILTER (WHERE k % 3 = 0) AS failure, bool_or(k % 2 = 1) AS archive, bool_or(k % 2 = 1 AND k % 11 = 0) AS done FROM o GROUP BY site),
 f AS (SELECT c_custkey AS site, coalesce(log, false) AS log, log_id, coalesce(doc, false) AS doc, coalesce(success, false) AS success, failure, coalesce(archive, false) AS archive, coalesce(done, false) AS done, c_nationkey % 2 = 0 AS row FROM customer LEFT JOIN e ON site = c_custkey),
