@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions.common import materialise, shared_dir, ship, table
-from ..operators import audit, coverage, logs, state
+from ..operators import audit, coverage, layout, logs, verdicts
 from ..sources import files, sinks
 
 #: Sites that documents are dealt to.
@@ -191,6 +191,33 @@ def v01_all(spark, d):
     return coverage.verdict_counts(audit.prep_verdicts(_listed(spark, root, "raw"), _listed(spark, root, "staged"), files.read_archive_entries, _CONTRACT, audit_all=True))
 
 
+def v13(spark, d):
+    """What to prepare again: sites whose verdict from files is No, but those that another listing shows as uploaded."""
+    found = v01(spark, d).withColumnRenamed("verdict", "status")
+    k = F.substring("site", 2, 3).cast("int")
+    uploaded = _items(spark, d).where("k % 6 = 5").select("site").distinct().withColumn("uploaded", F.lit(True))
+    raw = _items(spark, d).where("doc_id % 3 > 0").select("site").distinct().withColumn("has_raw", F.lit(True))
+    facts = found.join(uploaded, "site", "left").join(raw, "site", "left").fillna(False, ["uploaded", "has_raw"])
+    return verdicts.reprep_plan(facts).select("site", k.alias("k"), "verdict")
+
+
+def v14(spark, d):
+    """Stuck sites and whether to change their strategy: state documents on disk, archives by name, and companions on the record."""
+    root = _new(spark, "stuck")
+    c = table(spark, d, "customer").where("c_custkey % 10 < 8").selectExpr("c_custkey AS c", "CAST(c_custkey AS STRING) AS site")
+    doc = "CASE WHEN c % 7 = 0 THEN '{' WHEN c % 5 = 0 THEN '{\"number_of_tries\": 9}' ELSE concat('{\"record_id\": \"', c, '\", \"number_of_tries\": ', c % 6, '}') END"
+    _put(c.where("c % 10 < 6").selectExpr("concat(site, '/upload_state.json') AS path", f"{doc} AS data", _NO_ENTRIES), root)
+    states = files.read_state_docs(spark, f"{root}/*/upload_state.json")
+    zips = c.where("c % 11 > 0").selectExpr("site", "concat(site, '.zip') AS name").unionByName(c.where("c % 13 = 1").selectExpr("site", "concat(site, '_2024_01_01.zip') AS name"))
+    rows = table(spark, d, "orders").selectExpr("CAST(o_custkey AS STRING) AS site", "concat(o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '.wav' ELSE '.txt' END) AS name", "o_orderkey AS k", "'completed' AS status")
+    entries = rows.where("k % 50 > 0 AND k % 3 > 0").unionByName(c.where("c % 17 = 2").selectExpr("site", "concat(site, '.zip') AS name", "c AS k", "'completed' AS status"))
+    facts = verdicts.draft_facts(entries, rows.where("k % 3 = 0"), rows.where("k % 3 > 0"), c.selectExpr("site", "concat(site, '.zip') AS archive"), c.limit(0))
+    lacking = facts.select("site", (~F.col("archive_committed") & (F.col("n_companions_absent") == 0) & (F.col("n_companions") > 0)).alias("only_archive_missing"))
+    found = c.join(states.withColumn("has_state", F.lit(True)), "site", "left").join(layout.layout_mode(zips).withColumnRenamed("mode", "layout"), "site", "left").join(lacking, "site", "left")
+    found = found.fillna(False, ["has_state", "only_archive_missing"]).fillna("none", ["layout"]).withColumn("readable", F.col("note").isNull()).withColumn("tries", F.coalesce(F.col("tries").try_cast("int"), F.lit(0)))
+    return verdicts.layout_refusal(verdicts.strategy_switch(verdicts.stuck_sites(found))).select("site", "verdict", "switch", "reason")
+
+
 def _packed(spark, root):
     """Raw files, prepared files, archives and entries of sites that are not packed as one."""
     daily = F.substring("site", 2, 3).cast("int") % 7 > 1
@@ -217,7 +244,7 @@ def v04(spark, d):
 
 QUERIES = {
     "s01_inventory": s01, "s02_archive_index": s02, "s03_headers": s03, "s04_hashes": s04, "s05_s06_dirty_tables": s05, "s07_companions": s07, "s08_s09_states": s08, "s12_done_and_results": s12, "s13_log_files": s13, "s17_config": s17,
-    "v01_v02_from_files": v01, "v01_a16_audit_all": v01_all, "v03_from_files": v03, "v04_staged_gate": v04,
+    "v01_v02_from_files": v01, "v01_a16_audit_all": v01_all, "v13_from_verdicts": v13, "v14_v15_v17_from_states": v14, "v03_from_files": v03, "v04_staged_gate": v04,
 }
 
 _D = f"""d AS (SELECT doc_id, doc_id % {SITES} AS k, 'S' || lpad((doc_id % {SITES})::VARCHAR, 3, '0') AS site, 1 + doc_id // {SITES} % 3 AS day,
@@ -255,6 +282,13 @@ SELECT key, count(*) AS n, NULL::VARCHAR AS line FROM h GROUP BY key UNION ALL S
     "s17_config": "SELECT n_regionkey::BIGINT AS project, n_name AS word FROM nation",
     "v01_v02_from_files": _V01.replace("TRUSTED", "true"),
     "v01_a16_audit_all": f"SELECT verdict, count(*) AS n FROM ({_V01.replace('TRUSTED', 'false')}) GROUP BY verdict",
+    "v13_from_verdicts": f"""WITH {_D}, v AS ({_V01.replace('TRUSTED', 'true')}), r AS (SELECT DISTINCT site FROM d WHERE doc_id % 3 > 0)
+SELECT site, substr(site, 2)::INTEGER AS k, CASE WHEN substr(site, 2)::INTEGER % 6 = 5 THEN 'skip: uploaded' WHEN site NOT IN (SELECT site FROM r) THEN 'skip: no raw folder' ELSE 'prepare' END AS verdict FROM v WHERE verdict = 'No'""",
+    "v14_v15_v17_from_states": """WITH c AS (SELECT c_custkey AS c FROM customer WHERE c_custkey % 10 < 8),
+o AS (SELECT o_custkey AS c, count(*) AS n, bool_and(o_orderkey % 50 > 0) AS whole FROM orders WHERE o_orderkey % 3 > 0 GROUP BY o_custkey),
+f AS (SELECT c, c % 10 < 6 AS state, c % 11 = 0 AND c % 13 <> 1 AS bare, c % 13 = 1 AND c % 11 > 0 AS mixed, c % 13 = 1 AND c % 11 = 0 AS daily, coalesce(whole, false) AND c % 17 <> 2 AS lacking, CASE WHEN c % 10 >= 6 OR c % 7 = 0 THEN 0 WHEN c % 5 = 0 THEN 9 ELSE c % 6 END AS tries FROM c LEFT JOIN o USING (c))
+SELECT c::VARCHAR AS site, CASE WHEN NOT state THEN 'without state' WHEN c % 7 = 0 THEN 'skip: unreadable' WHEN c % 5 = 0 THEN 'skip: no record' ELSE 'stuck' END AS verdict, tries >= 3 AND NOT bare AND NOT mixed AND NOT daily AND lacking AS switch,
+CASE WHEN daily THEN 'archives are per day' WHEN mixed THEN 'single and daily archives together' WHEN bare THEN 'no archive' END AS reason FROM f""",
     "v03_from_files": f"""WITH {_D}, a AS (SELECT *, k % 12 = 7 AND day = 3 AS lost FROM d WHERE k % 7 > 1),
 s AS (SELECT k, site, bool_or(lost) AS lost, bool_or(t = '') AS zero, bool_or(NOT lost AND (k % 19 = 4 OR doc_id % 29 = 7 OR doc_id % 31 = 11)) AS odd, bool_or(NOT lost) AS any_archive FROM a GROUP BY ALL)
 SELECT site, code, severity FROM s, (VALUES ('cross-check failed', 'problem'), ('day archive missing', 'problem'), ('stale day archive', 'problem'), ('archive differs from source', 'problem'), ('configuration missing', 'problem'), ('zero-byte items', 'warning')) c(code, severity)
