@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_title
+from .integrity import diverging
+from .layout import UPLOAD_ARTIFACT
 from .ranking import first_names, running
 
 
@@ -51,6 +53,22 @@ def find_twin(folders: DataFrame, candidates: DataFrame) -> DataFrame:
     return folders.select("key").distinct().join(candidates.groupBy("key").agg(best.alias("twin")), "key", "left")
 
 
+def leftover_facts(leftovers: DataFrame, candidates: DataFrame, files: DataFrame) -> DataFrame:
+    """(key, place) of folders that were left behind, (key, place, has_sentinel, priority, uploaded) of folders that could be their twins and
+    (place, name, digest) of the files of both -> the facts by leftover: its twin (J14), archives on both sides and their digests, and
+    how many upload artifacts the twin lacks or holds with another content (J17)."""
+    about = candidates.select(F.col("place").alias("twin"), F.col("has_sentinel").alias("twin_sentinel"), F.col("uploaded").alias("twin_uploaded")).dropDuplicates(["twin"])
+    rows = leftovers.select("key", "place").join(find_twin(leftovers, candidates), "key").join(about, "twin", "left")
+    zips = files.where(F.lower("name").endswith(".zip")).groupBy("place").agg(F.count("*").alias("n"), F.max("digest").alias("d"))
+    artifacts = files.where(F.col("name").rlike(UPLOAD_ARTIFACT)).select("place", "name", "digest")
+    ours = rows.select("place").join(artifacts, "place").select(F.col("place").alias("site"), "name", "digest")
+    theirs = rows.select(F.col("place").alias("site"), F.col("twin").alias("place")).join(artifacts, "place").select("site", "name", "digest")
+    odd = diverging(ours, theirs).groupBy(F.col("site").alias("place")).agg(F.count("*").alias("n_diverging"))
+    own = zips.select("place", F.col("n").alias("n_archives"), F.col("d").alias("digest"))
+    twins = zips.select(F.col("place").alias("twin"), F.col("n").alias("n_twin_archives"), F.col("d").alias("twin_digest"))
+    return rows.join(own, "place", "left").join(twins, "twin", "left").join(odd, "place", "left").fillna(0, ["n_archives", "n_twin_archives", "n_diverging"])
+
+
 def title_matches(wanted: DataFrame, records: DataFrame) -> DataFrame:
     """(id, title) x (title, draft) -> how many drafts and published records carry each title."""
     found = records.groupBy(norm_title("title").alias("t")).agg(F.count_if("draft").alias("drafts"), F.count_if(~F.col("draft")).alias("published"))

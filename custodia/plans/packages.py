@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import items, keys, text
 from ..functions.common import shared_dir, table
 from ..operators import coverage as cov
-from ..operators import integrity, layout, logs, metadata, records, split, state, verdicts
+from ..operators import dedup, integrity, layout, logs, metadata, records, split, state, verdicts
 from ..sources import files, sinks
 from . import judging, reconciling
 
@@ -233,6 +233,17 @@ def v09_from_folders(spark, d):
     return verdicts.split_verdict(facts, limit=40000).select("base", "verdict", "cut", "bytes1", "bytes2", "n_in_part2")
 
 
+def v10_from_folders(spark, d):
+    """Leftovers and their twins, with archives and upload artifacts that differ here and there."""
+    c = table(spark, d, "customer").selectExpr("c_custkey AS c", "c_custkey % 40 AS key", "c_custkey % 3 = 0 AS left")
+    left, twin = c.where("left").withColumn("place", F.expr("concat('L', c)")), c.where("NOT left").withColumn("place", F.expr("concat('T', c)"))
+    own = left.selectExpr("place", "explode(array_compact(array(struct('a.zip' AS name, CASE WHEN c % 5 > 0 THEN concat('z', key) ELSE 'other' END AS digest), CASE WHEN c % 7 = 0 THEN struct('B.ZIP' AS name, 'b' AS digest) END, struct('x_upload_state.json' AS name, CASE WHEN c % 11 > 0 THEN concat('s', key) ELSE 'd' END AS digest)))) AS f")
+    theirs = twin.selectExpr("place", "explode(array_compact(array(CASE WHEN c % 9 > 0 THEN struct('t.zip' AS name, concat('z', key) AS digest) END, CASE WHEN c % 13 > 0 THEN struct('x_upload_state.json' AS name, concat('s', key) AS digest) END))) AS f")
+    candidates = twin.where("key % 8 > 0").selectExpr("key", "place", "c % 4 > 0 AS has_sentinel", "c % 5 AS priority", "c % 2 = 0 AS uploaded")
+    facts = dedup.leftover_facts(left.select("key", "place"), candidates, own.unionByName(theirs).select("place", "f.*"))
+    return verdicts.leftover_verdict(facts).select("place", "twin", "verdict")
+
+
 def v08_from_evidence(spark, d):
     """Causes of lost states, from results, logs, archives and the done-set, each as found in the tables."""
     c = table(spark, d, "customer").selectExpr("c_custkey AS site", "c_custkey", "c_nationkey")
@@ -307,7 +318,7 @@ QUERIES = {
     "e04_key_sort": e04, "e39_sample_text": e39, "e42_record_ids": e42, "j07_lookup_first": j07, "j08_locate": j08, "j16_part_pairs": j16, "j17_diverging": j17, "j18_key_diff": j18, "j20_local_package": j20, "p04_mode_allows": p04, "p05_prepared": p05,
     "p07_not_uploaded": p07, "p08_copy_reason": p08, "p10_folders": p10, "p11_key_pairs": p11, "a17_unique_keys": a17, "l01_report_order": l01, "l05_upload_order": l05, "l06_candidate_order": l06, "l07_item_order": l07, "i04_sentinel_backfill": i04,
     "m01_internal_manifest": m01, "m02_external_manifest": m02, "m03_upload_set": m03, "m04_required_files": m04, "m07_references": m07_references, "m09_people_and_fundings": m09, "m11_put_body": m11, "s13_scan_logs": s13, "w04_last_texts": w04_words,
-    "v08_suggested_action": v08_action, "v08_cause_text": v08_text, "v07_from_listing": v07_from_listing, "v08_from_evidence": v08_from_evidence, "v09_from_folders": v09_from_folders, "v05_from_entries": v05_from_entries, "v06_local_notes": v06_notes, "v04_gate_from_files": v04_from_files, "s14_s18_report": s14, "s15_results": s15, "s16_packed": s16,
+    "v08_suggested_action": v08_action, "v08_cause_text": v08_text, "v07_from_listing": v07_from_listing, "v08_from_evidence": v08_from_evidence, "v09_from_folders": v09_from_folders, "v10_from_folders": v10_from_folders, "v05_from_entries": v05_from_entries, "v06_local_notes": v06_notes, "v04_gate_from_files": v04_from_files, "s14_s18_report": s14, "s15_results": s15, "s16_packed": s16,
 }
 
 _D = f"WITH d AS (SELECT doc_id, source AS site, {_NAMES} AS name, n_chars AS bytes, text FROM documents)"
@@ -350,6 +361,10 @@ ORACLE_SQL = {
     "v07_from_listing": """WITH c AS (SELECT c_custkey AS c, CASE c_custkey % 3 WHEN 0 THEN lpad((c_custkey % 1000)::VARCHAR, 3, '0') WHEN 1 THEN lpad(c_nationkey::VARCHAR, 3, '0') END AS key, CASE WHEN c_custkey % 13 > 0 THEN c_custkey::VARCHAR END AS id FROM customer),
 v AS (SELECT *, CASE WHEN key IS NULL THEN 'UNPARSABLE_TITLE' WHEN c % 5 = 1 THEN 'UNKNOWN_DRAFT_STATE' WHEN c % 5 = 0 THEN 'PUBLISHED' WHEN id IS NULL THEN 'NO_ID' ELSE 'CANDIDATE' END AS verdict FROM c)
 SELECT verdict, key, count(*) AS n, min(id) AS first FROM v GROUP BY verdict, key""",
+    "v10_from_folders": """WITH c AS (SELECT c_custkey AS c, c_custkey % 40 AS key FROM customer),
+t AS (SELECT key, arg_min(c, (c % 4 = 0, c % 5, 'T' || c)) AS t FROM c WHERE c % 3 > 0 AND key % 8 > 0 GROUP BY key)
+SELECT 'L' || c AS place, 'T' || t AS twin, CASE WHEN t IS NULL THEN 'NO_TWIN' WHEN t % 4 = 0 AND t % 2 = 0 THEN 'UPLOADED_TWIN_NO_SENTINEL' WHEN t % 4 = 0 THEN 'TWIN_NO_SENTINEL' WHEN c % 7 = 0 OR t % 9 = 0 THEN 'CANNOT_VERIFY'
+  WHEN c % 11 = 0 OR t % 13 = 0 THEN 'CANNOT_VERIFY' WHEN c % 5 > 0 THEN 'VERIFIED_DUPLICATE' ELSE 'CANNOT_VERIFY' END AS verdict FROM c LEFT JOIN t USING (key) WHERE c % 3 = 0""",
     "v09_from_folders": """WITH d AS (SELECT doc_id % 50 AS b, doc_id, n_chars AS bytes FROM documents),
 r AS (SELECT *, row_number() OVER w - 1 AS i, coalesce(sum(bytes) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(bytes) OVER (PARTITION BY b) AS total FROM d WINDOW w AS (PARTITION BY b ORDER BY doc_id)),
 c AS (SELECT b, i AS cut FROM r WHERE i > 0 QUALIFY row_number() OVER (PARTITION BY b ORDER BY abs(2 * before - total), i DESC) = 1),
