@@ -136,15 +136,18 @@ def fit_linear(row: np.ndarray, feature: np.ndarray, earlier: np.ndarray, y: np.
     names = known[first[:-1][np.diff(first) >= min_df]]
     m = len(names)
     del known, first
-    rows, columns = [], []
+    rows, columns, part, at, keep = [], [], None, None, None
     for a in range(0, len(feature), CHUNK):
         part = feature[a : a + CHUNK]
         at = np.searchsorted(names, part)
         keep = np.append(names, -1)[at] == part
         rows.append(row[a : a + CHUNK][keep])
         columns.append(at[keep].astype(np.int32))
-    row, column = np.concatenate([np.zeros(0, np.int32), *rows]), np.concatenate([np.zeros(0, np.int32), *columns])
-    del rows, columns
+    del feature, part, at, keep
+    row = np.concatenate([np.zeros(0, np.int32), *rows])
+    del rows
+    column = np.concatenate([np.zeros(0, np.int32), *columns])
+    del columns
     chunks = [slice(a, a + CHUNK) for a in range(0, len(row), CHUNK)]
     penalty = np.append(np.full(k, strength), 0.0)
     block = np.column_stack((earlier, np.ones(n)))
@@ -222,9 +225,13 @@ def sample(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], ma
 
 def _stack(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) of packed features."""
-    each = [np.cumsum(unpack(c)[0], dtype=np.int32) for c in table["cells"].to_pylist()]
-    row = np.repeat(np.arange(len(each), dtype=np.int32), [len(e) for e in each])
-    return row, np.concatenate([np.zeros(0, np.int32), *each])
+    cells = table["cells"]
+    # twice unpacked, so that nothing but the result is held
+    upto = np.cumsum([0, *(len(unpack(c.as_py())[0]) for c in cells)])
+    feature = np.empty(upto[-1], np.int32)
+    for i, c in enumerate(cells):
+        np.cumsum(unpack(c.as_py())[0], dtype=np.int32, out=feature[upto[i] : upto[i + 1]])
+    return np.repeat(np.arange(len(cells), dtype=np.int32), np.diff(upto)), feature
 
 
 def _out_of_fold(table, before: list[dict[int, Linear]]) -> np.ndarray:
@@ -249,7 +256,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], max_t
             import pickle
 
             group = group.sort_by("_id")
-            model = freed(fit_linear(*_stack(group), _out_of_fold(group, held), group[f"y{j}"].to_numpy(), strength, min_df))
+            earlier, y = _out_of_fold(group, held), group[f"y{j}"].to_numpy()
+            entries = list(_stack(group))
+            # handed over, so that the fit can let them go
+            model = freed(fit_linear(entries.pop(0), entries.pop(0), earlier, y, strength, min_df))
             return pa.table({"model": pa.array([key[0].as_py()], pa.int32()), "body": pa.array([pickle.dumps(model)], pa.binary())})
 
         # model -1 sees every row, model f all but those of fold f
