@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that the stage before kept and returns a DataFrame, which
 is written as Parquet and read again as the next stage's ``docs``. All but the last return the columns of documents.
+
+Defined results: a null text is empty: it is not toxic by its words, equals other empty texts (one of which stays), has no near copies and
+no secrets, and is packed as the end mark alone. Without labels nothing is toxic. Rows that repeat an id are documents of their own until their
+texts are equal; of equal texts the longest original stays, then the smallest id, then the least by the other columns. Rows without an
+id come last. Columns beside those of documents stay with their rows up to the last stage, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
