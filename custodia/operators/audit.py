@@ -33,8 +33,9 @@ class Contract:
     sentinel: str = ".prep_complete"
 
 
-def _plus(site: Column | str, names: Sequence[str]) -> Column:
-    return F.explode(F.array(*map(F.lit, names)))
+def _each(names: Sequence[str]) -> Column:
+    """A row for each of the contract's names."""
+    return F.explode(F.array(*map(F.lit, names)).cast("array<string>"))
 
 
 def _days(raw: DataFrame) -> DataFrame:
@@ -44,10 +45,14 @@ def _days(raw: DataFrame) -> DataFrame:
 
 def _zips(staged: DataFrame) -> DataFrame:
     """site, archive, path, bytes, day (null for the single archive) of a site's own archives."""
-    daily = F.concat(F.col("site"), F.lit(r"_"), F.regexp_extract("name", r"_([0-9]{4}_[0-9]{2}_[0-9]{2})\.zip$", 1), F.lit(".zip")) == F.col("name")
-    single = F.concat("site", F.lit(".zip")) == F.col("name")
-    day = F.when(daily, F.regexp_extract("name", r"([0-9]{4}_[0-9]{2}_[0-9]{2})\.zip$", 1))
-    return staged.where(daily | single).select("site", F.col("name").alias("archive"), "path", "bytes", day.alias("day"))
+    single, day = F.concat("site", F.lit(".zip")) == F.col("name"), F.regexp_extract("name", r"([0-9]{4}_[0-9]{2}_[0-9]{2})\.zip$", 1)
+    daily = (day != "") & (_archive(day) == F.col("name"))
+    return staged.where(daily | single).select("site", F.col("name").alias("archive"), "path", "bytes", F.when(daily, day).alias("day"))
+
+
+def _archive(day: Column | str) -> Column:
+    """The name of a site's archive of a day."""
+    return F.concat("site", F.lit("_"), day, F.lit(".zip"))
 
 
 def _count(rows: DataFrame, name: str) -> DataFrame:
@@ -78,14 +83,14 @@ def prep_verdicts(raw: DataFrame, staged: DataFrame, open_archives: Callable[[Da
     due = materialise(open_sites(facts, audit_all), "audit-open")
     days = _days(raw).join(due.where("layout = 'per_day'").select("site"), "site", "left_semi")
     zips = _zips(staged).join(due, "site")
-    wanted_days = days.select("site", "day").distinct().withColumn("archive", F.concat_ws("", "site", F.lit("_"), "day", F.lit(".zip")))
+    wanted_days = days.select("site", "day").distinct().withColumn("archive", _archive("day"))
     stray = zips.where("layout = 'per_day' AND day IS NOT NULL").join(wanted_days.select("site", "archive"), ["site", "archive"], "left_anti")
     opened = zips.join(stray.select("site", "archive"), ["site", "archive"], "left_anti").where("(layout = 'single') = (day IS NULL)")
     entries = materialise(open_archives(opened.select("site", "path", "bytes")).select("site", "archive", "name", "error"), "audit-entries")
 
     # names in the folder: the contract's, and the archives
     names = [*contract.generated, *(contract.companions or ()), *contract.conditional]
-    in_folder = due.select("site", _plus("site", names).alias("name")).distinct()
+    in_folder = due.select("site", _each(names).alias("name")).distinct()
     in_folder = in_folder.unionByName(due.where("layout = 'single'").select("site", F.concat("site", F.lit(".zip")).alias("name"))).unionByName(wanted_days.select("site", F.col("archive").alias("name")))
     folder_misses = in_folder.join(staged.select("site", "name"), ["site", "name"], "left_anti")
 
@@ -95,9 +100,9 @@ def prep_verdicts(raw: DataFrame, staged: DataFrame, open_archives: Callable[[Da
     single, daily = sound.where("layout = 'single'"), sound.where("layout = 'per_day'")
     packed = [*contract.packed, *(contract.companions or ()), *contract.conditional]
     in_single = raw.where(items.is_item("name", "prep") & items.is_item("name")).join(single.select("site", "archive"), "site").select("site", "archive", "name")
-    in_single = in_single.unionByName(single.select("site", "archive", _plus("site", packed).alias("name"))).unionByName(single.select("site", "archive", F.lit(CONFIG).alias("name")))
+    in_single = in_single.unionByName(single.select("site", "archive", _each(packed).alias("name"))).unionByName(single.select("site", "archive", F.lit(CONFIG).alias("name")))
     single_misses = in_single.distinct().join(read, ["site", "archive", "name"], "left_anti").join(single.select("site", "raw_config"), "site")
-    in_days = days.select("site", F.concat_ws("", "site", F.lit("_"), "day", F.lit(".zip")).alias("archive"), "name").join(daily.select("site", "archive"), ["site", "archive"], "left_semi")
+    in_days = days.select("site", _archive("day").alias("archive"), "name").join(daily.select("site", "archive"), ["site", "archive"], "left_semi")
     in_days = in_days.unionByName(daily.where("raw_config").select("site", "archive", F.lit(CONFIG).alias("name"))).withColumn("_w", F.lit(True))
     there = read.join(daily.select("site", "archive"), ["site", "archive"], "left_semi").withColumn("_t", F.lit(True))
     odd_entries = in_days.join(there, ["site", "archive", "name"], "full_outer").where("_w IS NULL OR _t IS NULL")
@@ -118,7 +123,7 @@ def source_rows(raw: DataFrame, zips: DataFrame, entries: DataFrame) -> DataFram
     bytes, error) of their entries -> a row for each problem and warning of a site. Items are held against the archive of their day, by name
     and bytes, both ways."""
     sound = raw.where(items.is_item("name", "prep") & items.is_item("name")).withColumn("day", items.day_key("name"))
-    dated = sound.where("day IS NOT NULL").withColumn("archive", F.concat_ws("", "site", F.lit("_"), "day", F.lit(".zip")))
+    dated = sound.where("day IS NOT NULL").withColumn("archive", _archive("day"))
     wanted = dated.select("site", "archive").distinct()
     absent, stale = wanted.join(zips, ["site", "archive"], "left_anti"), zips.join(wanted, ["site", "archive"], "left_anti")
     live = zips.join(wanted, ["site", "archive"], "left_semi").select("site", "archive")
