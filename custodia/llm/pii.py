@@ -20,8 +20,7 @@ not read.
 from __future__ import annotations
 
 import re
-from array import array
-from bisect import bisect_left, bisect_right
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -133,13 +132,25 @@ class Cover:
         return i < len(self.starts) and self.starts[i] < end
 
 
+def _before(text: str, end: int, reach: int) -> list[tuple[int, int, str]]:
+    """The last ``reach`` words of text[:end]: as much of it is looked at as holds them."""
+    size = 16 * reach
+    while True:
+        a = max(0, end - size)
+        found = list(terms(text, a, end))
+        # a word that the window cuts is not whole
+        if a and found and not text[a - 1].isspace() and not any(c.isspace() for c in text[a : found[0][0]]):
+            del found[0]
+        if len(found) >= reach or not a:
+            return found[-reach:] if reach else []
+        size *= 2
+
+
 def _near(text: str, spans: list[tuple[int, int, int]], reach: int):
     """(entity, words near it) of each mention: ``reach`` words on each side, however long they are."""
     taken = Cover(spans)
-    starts = array("q", (a for a, _, _ in terms(text))) if spans else ()
     for kind, start, end in spans:
-        at = bisect_left(starts, start)
-        left = [next(terms(text, a, start)) for a in starts[max(0, at - reach) : at]]
+        left = _before(text, start, reach)
         right = [t for _, t in zip(range(reach), terms(text, end))]
         yield entity_key(kind, text[start:end]), [t for a, b, t in left + right if not taken.meets(a, b)]
 
