@@ -65,26 +65,31 @@ def parse_archive_name(name: Column | str, prefix: str = "SITE") -> Column:
     return F.when(col(name).rlike(tail) & key.isNotNull(), F.struct(key.alias("key"), F.regexp_extract(col(name), tail, 1).alias("day")))
 
 
-def fixed(value: Column, digits: int) -> Column:
-    """Text with fixed decimals, ties to even on the exact value."""
-    return F.bround(value.cast("decimal(38,18)"), digits).cast(f"decimal(30,{digits})").cast("string")
+def fixed(n: Column, unit: int, digits: int) -> Column:
+    """A number of bytes in ``unit`` s as text with fixed decimals, ties to even on the exact value: what is left of whole steps decides, as
+    a quotient would itself be rounded."""
+    scaled = n * F.lit(10**digits).cast(f"decimal({digits + 1},0)")
+    rest = scaled % F.lit(unit).cast("decimal(20,0)")
+    steps = ((scaled - rest) / F.lit(unit).cast("decimal(20,0)")).cast("decimal(32,0)")
+    up = (rest * 2 > unit) | ((rest * 2 == unit) & (steps % 2 == 1))
+    return ((steps + up.cast("int")).cast("decimal(31,0)") / F.lit(10**digits).cast(f"decimal({digits + 1},0)")).cast(f"decimal(30,{digits})").cast("string")
 
 
 def human_size(n: Column | str) -> Column:
     """Bytes for people to read; from 1 GiB on always GB."""
     b = col(n).cast("decimal(30,0)")
-    unit = lambda power, name: F.concat(fixed(b / F.lit(1024**power).cast("decimal(20,0)"), 2), F.lit(f" {name}"))
+    unit = lambda power, name: F.concat(fixed(b, 1024**power, 2), F.lit(f" {name}"))
     return F.when(b < 1024, F.concat(b.cast("string"), F.lit(" B"))).when(b < 1024**2, unit(1, "KB")).when(b < 1024**3, unit(2, "MB")).otherwise(unit(3, "GB"))
 
 
 def size_kb_text(n: Column | str) -> Column:
     """E16"""
-    return fixed(col(n).cast("decimal(30,0)") / F.lit(1024).cast("decimal(20,0)"), 2)
+    return fixed(col(n).cast("decimal(30,0)"), 1024, 2)
 
 
 def size_gb_text(n: Column | str) -> Column:
     """E16"""
-    return fixed(col(n).cast("decimal(30,0)") / F.lit(1024**3).cast("decimal(20,0)"), 3)
+    return fixed(col(n).cast("decimal(30,0)"), 1024**3, 3)
 
 
 def checksum_parts(c: Column | str) -> Column:

@@ -1,7 +1,5 @@
 """Queries on tables with larger keys than the given ones have."""
 
-import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -15,3 +13,17 @@ def supplier(spark, root, numbers):
 def test_names_of_more_digits_have_no_capture(spark, tmp_path):
     got = entry.queries()["e07_like_capture"](spark, supplier(spark, tmp_path, [7, 999, 1000])).collect()
     assert {r.s_suppkey: r.digits for r in got} == {7: "007", 999: "999", 1000: ""}
+
+
+def test_sizes_near_a_tie_are_not_rounded_twice(spark):
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    from custodia.functions import items
+
+    ns = [7 * 286023**2, 7 * 858069**2, 2**63 - 1, 1024**3 + 5 * 1024**3 // 1000, 3 * 2**27, 1024 + 128, 10 * 1024**3 + 2**27, *(7 * k * k for k in range(12384, 12400))]
+    got = spark.createDataFrame([(n,) for n in ns], "n long").select("n", items.human_size("n").alias("h"), items.size_gb_text("n").alias("gb"), items.size_kb_text("n").alias("kb")).collect()
+    text = lambda n, unit, step: str((Decimal(n) / unit).quantize(Decimal(step), ROUND_HALF_EVEN))
+    for r in got:
+        power = 3 if r.n >= 1024**3 else 2 if r.n >= 1024**2 else 1
+        assert r.h == f"{text(r.n, 1024**power, '0.01')} {('', 'KB', 'MB', 'GB')[power]}"
+        assert (r.gb, r.kb) == (text(r.n, 1024**3, "0.001"), text(r.n, 1024, "0.01"))
