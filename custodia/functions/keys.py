@@ -102,18 +102,19 @@ def key_in_text(text: Column | str, prefix: str = "SITE") -> Column:
     return F.when(col(text).rlike(pattern), F.coalesce(_canonical(digits, suffix), F.lpad(digits, 3, "0")))
 
 
-def like_pattern(pattern: str) -> str:
-    """A wildcard pattern as a Java expression; the last ``*`` takes the three digits."""
+def like_pattern(pattern: str, digits: int = 3) -> str:
+    """A wildcard pattern as a Java expression; the last ``*`` takes the digits, three if no other number is given."""
     parts = pattern.split("*")
     quoted = [re.sub(r"([\\.\[\]{}()+?^$|])", r"\\\1", p) for p in parts]
     if len(parts) == 1:
         raise ValueError("the pattern needs a *")
-    return "(?is)^" + ".*?".join(quoted[:-1]) + "([0-9]{3})" + quoted[-1]
+    return "(?is)^" + ".*?".join(quoted[:-1]) + f"([0-9]{{{digits}}})" + quoted[-1]
 
 
-def like_capture(text: Column | str, patterns: list[str]) -> Column:
-    """The digits by the first pattern that matches."""
-    found = [F.nullif(F.regexp_extract(col(text), like_pattern(p), 1), F.lit("")) for p in patterns]
+def like_capture(text: Column | str, patterns: list[str | tuple[str, int]]) -> Column:
+    """The digits by the first pattern that matches, NULL if none does. Keys of another length than three are asked for by
+    (pattern, digits)."""
+    found = [F.nullif(F.regexp_extract(col(text), like_pattern(*((p,) if isinstance(p, str) else p)), 1), F.lit("")) for p in patterns]
     return F.coalesce(*found)
 
 

@@ -36,7 +36,7 @@ def check_listing(pages: DataFrame) -> DataFrame:
     return told.join(one, "source").select("source", "n", "reported", "pages", (F.col("fetched") - F.col("n")).alias("repeated"), verdict.alias("verdict"))
 
 
-def in_scope(records: DataFrame, any_of: list[str], all_of: list[str]) -> DataFrame:
+def in_scope(records: DataFrame, any_of: list[str | tuple[str, int]], all_of: list[str]) -> DataFrame:
     """The key by any pattern, and every filter; what is left out stays as rows with in_scope false, to be counted."""
     passes: Column = F.lit(True)
     for p in all_of:

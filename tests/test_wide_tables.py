@@ -27,3 +27,8 @@ def test_sizes_near_a_tie_are_not_rounded_twice(spark):
         power = 3 if r.n >= 1024**3 else 2 if r.n >= 1024**2 else 1
         assert r.h == f"{text(r.n, 1024**power, '0.01')} {('', 'KB', 'MB', 'GB')[power]}"
         assert (r.gb, r.kb) == (text(r.n, 1024**3, "0.001"), text(r.n, 1024, "0.01"))
+
+
+def test_suppliers_of_more_digits_are_in_scope_by_all_nine(spark, tmp_path):
+    got = entry.queries()["p01_in_scope"](spark, supplier(spark, tmp_path, [6, 999, 1000, 1001])).collect()
+    assert {r.s_suppkey: (r.key, r.in_scope) for r in got} == {6: ("006", True), 999: ("999", False), 1000: ("000001000", True), 1001: ("000001001", False)}
