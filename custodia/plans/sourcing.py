@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import io
 import uuid
 import zipfile
 
@@ -18,34 +17,72 @@ from ..sources import files, sinks
 SITES = 60
 
 
+def _store(root: str):
+    """The file system of ``root`` and its path there."""
+    from urllib.parse import urlparse
+
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(root) if urlparse(root).scheme else (fs.LocalFileSystem(), root)
+
+
 def _put(rows: DataFrame, root: str) -> None:
-    """Tasks write (path below ``root``, data, entries): an archive of the entries (name, data) where they are given, else the data. A
-    task that runs again writes the same."""
+    """Tasks write (path below ``root``, data). A task that runs again writes the same; it holds one file's data beside a batch."""
     ship(rows.sparkSession)
 
     def run(batches):
-        from urllib.parse import urlparse
-
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(root) if urlparse(root).scheme else (fs.LocalFileSystem(), root)
+        store, base = _store(root)
+        made: set[str] = set()
         for b in batches:
-            for path, data, entries in zip(*(b.column(c).to_pylist() for c in ("path", "data", "entries"))):
-                if entries is not None:
-                    out = io.BytesIO()
-                    with zipfile.ZipFile(out, "w") as z:
-                        for e in sorted(entries, key=lambda e: e["name"]):
-                            z.writestr(e["name"], e["data"])
-                    data = out.getvalue()
-                store.create_dir(f"{base}/{path}".rsplit("/", 1)[0], recursive=True)
-                with store.open_output_stream(f"{base}/{path}") as f:
-                    f.write(data or b"")
+            for path, data in zip(b.column("path"), b.column("data")):
+                full = f"{base}/{path}"
+                folder = full.rsplit("/", 1)[0]
+                if folder not in made:
+                    made = made if len(made) < 1024 else set()
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(full) as f:
+                    f.write(data.as_py() or b"")
             yield b.slice(0, 0)
 
-    rows = rows.select("path", F.col("data").cast("binary").alias("data"), F.col("entries").cast("array<struct<name:string,data:binary>>").alias("entries"))
+    rows = rows.select(F.col("path").cast("string").alias("path"), F.col("data").cast("binary").alias("data"))
     rows.mapInArrow(run, rows.schema).count()
 
 
+def _pack(entries: DataFrame, root: str) -> None:
+    """Tasks write (path of an archive below ``root``, name, data) as archives, their entries in the order of names; an empty name only says
+    that the archive is there. Entries come sorted and each is written as it comes, so a task holds one entry's data beside a
+    batch, however large the archive."""
+    ship(entries.sparkSession)
+
+    def run(batches):
+        store, base = _store(root)
+        at = out = z = None
+        try:
+            for b in batches:
+                for path, name, data in zip(b.column("path"), b.column("name"), b.column("data")):
+                    path, name = path.as_py(), name.as_py()
+                    if path != at:
+                        if z is not None:
+                            z.close()
+                            out.close()
+                        at, full = path, f"{base}/{path}"
+                        store.create_dir(full.rsplit("/", 1)[0], recursive=True)
+                        out = store.open_output_stream(full)
+                        z = zipfile.ZipFile(out, "w")
+                    if name:
+                        z.writestr(name, data.as_py() or b"")
+                yield b.slice(0, 0)
+            if z is not None:
+                z.close()
+        finally:
+            if out is not None and not out.closed:
+                out.close()
+
+    rows = entries.select("path", "name", F.col("data").cast("binary").alias("data"))
+    rows.repartition("path").sortWithinPartitions("path", "name").mapInArrow(run, rows.schema).count()
+
+
 def _new(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -58,33 +95,30 @@ def _items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_NO_DATA, _NO_ENTRIES = "CAST(NULL AS STRING) AS data", "CAST(NULL AS array<struct<name:string,data:string>>) AS entries"
-
-
 def _tree(spark: SparkSession, d: str) -> str:
     """Raw and prepared folders of the sites. Which faults a site has follows from its number, which items are packed wrongly from theirs."""
     root, it = _new(spark, "tree"), _items(spark, d)
     sites = it.select("k", "site").distinct()
-    raw = it.selectExpr("concat('raw/', site, '/', name) AS path", "data", _NO_ENTRIES)
-    raw = raw.unionByName(sites.where("k % 5 > 0").selectExpr("concat('raw/', site, '/CONFIG.TXT') AS path", "'gain' AS data", _NO_ENTRIES))
-    raw = raw.unionByName(sites.where("k % 11 = 3").selectExpr("concat('raw/', site, '/notes.wav') AS path", "'?' AS data", _NO_ENTRIES))
-    raw = raw.unionByName(sites.where("k % 3 = 1").selectExpr("concat('raw/', site, '/._x.wav') AS path", "'' AS data", _NO_ENTRIES))
-
-    packed = F.expr("named_struct('name', concat(day, '/', name), 'data', concat(data, CASE WHEN doc_id % 31 = 11 THEN 'x' ELSE '' END))")
-    own = F.array_compact(F.collect_list(F.when(F.col("doc_id") % 29 != 7, packed)))
-    config = "CASE WHEN k % 5 > 0 AND k % 14 <> 6 THEN array(named_struct('name', 'CONFIG.txt', 'data', 'gain')) ELSE array() END"
-    bad = "CASE WHEN k % 19 = 4 THEN 'not an archive' END AS data"
+    plain = it.selectExpr("concat('raw/', site, '/', name) AS path", "data")
+    plain = plain.unionByName(sites.where("k % 5 > 0").selectExpr("concat('raw/', site, '/CONFIG.TXT') AS path", "'gain' AS data"))
+    plain = plain.unionByName(sites.where("k % 11 = 3").selectExpr("concat('raw/', site, '/notes.wav') AS path", "'?' AS data"))
+    plain = plain.unionByName(sites.where("k % 3 = 1").selectExpr("concat('raw/', site, '/._x.wav') AS path", "'' AS data"))
+
     staged = it.where("k % 7 > 0")
-    daily = staged.where("k % 7 > 1 AND NOT (k % 12 = 7 AND day = '2024_01_03')").groupBy("k", "site", "day").agg(own.alias("own"))
-    daily = daily.selectExpr("concat('staged/', site, '/', site, '_', day, '.zip') AS path", bad, f"CASE WHEN k % 19 <> 4 THEN concat(own, {config}) END AS entries")
-    beside = "array(named_struct('name', 'file_list.csv', 'data', ''), named_struct('name', 'aa.txt', 'data', ''), named_struct('name', 'related_identifiers.csv', 'data', ''))"
-    single = staged.where("k % 7 = 1 OR k % 13 = 5").groupBy("k", "site").agg(own.alias("own"))
-    single = single.selectExpr("concat('staged/', site, '/', site, '.zip') AS path", bad, f"CASE WHEN k % 19 <> 4 THEN concat(own, {beside}, {config}) END AS entries")
+    daily = staged.where("k % 7 > 1 AND NOT (k % 12 = 7 AND day = '2024_01_03')").withColumn("path", F.expr("concat('staged/', site, '/', site, '_', day, '.zip')"))
+    single = staged.where("k % 7 = 1 OR k % 13 = 5").withColumn("path", F.expr("concat('staged/', site, '/', site, '.zip')"))
+    own = daily.unionByName(single).where("k % 19 <> 4 AND doc_id % 29 <> 7").selectExpr("path", "concat(day, '/', name) AS name", "concat(data, CASE WHEN doc_id % 31 = 11 THEN 'x' ELSE '' END) AS data")
+    ones = single.select("k", "path").distinct()
+    zips = daily.select("k", "path").distinct().unionByName(ones)
+    config = zips.where("k % 19 <> 4").selectExpr("path", "CASE WHEN k % 5 > 0 AND k % 14 <> 6 THEN 'CONFIG.txt' ELSE '' END AS name", "'gain' AS data")
+    beside = ones.where("k % 19 <> 4").selectExpr("path", "explode(array('file_list.csv', 'aa.txt', 'related_identifiers.csv')) AS name", "'' AS data")
+    bad = zips.where("k % 19 = 4").selectExpr("path", "'not an archive' AS data")
     sites = sites.where("k % 7 > 0")
-    stray = sites.where("k % 10 = 9 AND k % 7 > 1").selectExpr("concat('staged/', site, '/', site, '_2030_01_01.zip') AS path", _NO_DATA, "array(named_struct('name', 'z', 'data', '')) AS entries")
+    odd = sites.where("k % 10 = 9 AND k % 7 > 1").selectExpr("concat('staged/', site, '/', site, '_2030_01_01.zip') AS path", "'z' AS name", "'' AS data")
     names = "array_compact(array('README.html', 'file_list.csv', 'manifest.csv', CASE WHEN k % 17 <> 3 THEN 'aa.txt' END, CASE WHEN k % 9 <> 2 THEN 'related_identifiers.csv' END, CASE WHEN k % 4 = 0 THEN '.prep_complete' END))"
-    folder = sites.selectExpr("site", f"explode({names}) AS name").selectExpr("concat('staged/', site, '/', name) AS path", "concat(site, name) AS data", _NO_ENTRIES)
-    _put(raw.unionByName(daily).unionByName(single).unionByName(stray).unionByName(folder), root)
+    folder = sites.selectExpr("site", f"explode({names}) AS name").selectExpr("concat('staged/', site, '/', name) AS path", "concat(site, name) AS data")
+    _put(plain.unionByName(bad).unionByName(folder), root)
+    _pack(own.unionByName(config).unionByName(beside).unionByName(odd), root)
     return root
 
 
@@ -122,7 +156,7 @@ def s05(spark, d):
     rows = table(spark, d, "customer").selectExpr("c_nationkey AS k", "c_custkey", f"concat_ws(CASE WHEN c_nationkey % 2 = 0 THEN ',' ELSE ';' END, c_custkey, {q('concat(c_name, chr(10), c_mktsegment, chr(34))')}, concat(c_mktsegment, ' é')) AS line")
     text = rows.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("c_custkey", "line"))).alias("r")).selectExpr("k", "concat_ws(chr(13) || chr(10), CASE WHEN k % 2 = 0 THEN 'Site#,Name, Part ' ELSE 'Site#;Name;Part' END, array_join(r.line, chr(13) || chr(10)))  AS t")
     root = _new(spark, "tables")
-    _put(text.selectExpr("concat('t', k, '.csv') AS path", "CASE k % 3 WHEN 0 THEN encode(t, 'UTF-8') WHEN 1 THEN encode(t, 'ISO-8859-1') ELSE concat(X'EFBBBF', encode(t, 'UTF-8')) END AS data", "CAST(NULL AS array<struct<name:string,data:binary>>) AS entries"), root)
+    _put(text.selectExpr("concat('t', k, '.csv') AS path", "CASE k % 3 WHEN 0 THEN encode(t, 'UTF-8') WHEN 1 THEN encode(t, 'ISO-8859-1') ELSE concat(X'EFBBBF', encode(t, 'UTF-8')) END AS data"), root)
     found = files.read_dirty_csv(spark, root, 4096)
     key = files.choose_key_column(found.columns)
     return found.select(keys.parse_key_cell(key)["key"].alias("key"), F.col(key).alias("cell"), "Name", "Part")
@@ -131,7 +165,7 @@ def s05(spark, d):
 def s07(spark, d):
     root = _new(spark, "lists")
     lines = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list(F.expr("concat(CASE WHEN n_nationkey % 3 = 0 THEN '# ' WHEN n_nationkey % 3 = 1 THEN '' ELSE '  ' END, CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE n_name END, ',\"says \"\"', n_nationkey, '\"\"\"')"))).alias("r"))
-    _put(lines.selectExpr("concat('l', n_regionkey, '.csv') AS path", "concat('File Name,Note', chr(10), '# of region ', n_regionkey, chr(10), array_join(r, chr(10))) AS data", _NO_ENTRIES), root)
+    _put(lines.selectExpr("concat('l', n_regionkey, '.csv') AS path", "concat('File Name,Note', chr(10), '# of region ', n_regionkey, chr(10), array_join(r, chr(10))) AS data"), root)
     return files.read_companions(spark, root).select(F.trim("File Name").alias("name"), "Note")
 
 
@@ -142,8 +176,8 @@ def s08(spark, d):
     doc = "CASE c_custkey % 4 WHEN 0 THEN concat('{\"record_id\": ', c_nationkey, ', \"number_of_tries\": ', c_custkey % 5, '}') WHEN 1 THEN concat('{\"record_id\": \"', c_nationkey, '\", \"mode\": \"zip\"}') WHEN 2 THEN '{broken' ELSE '{\"record_id\": \"\"}' END"
     log = "CASE c_custkey % 3 WHEN 0 THEN concat('{\"id\": \"', c_custkey, '\"}') WHEN 1 THEN concat('{\"response\": {\"id\": ', c_custkey, '}, \"record_id\": \"\"}') ELSE 'no json' END"
     few = c.where("c_custkey % 10 < 4")
-    rows = few.selectExpr("concat(c_custkey, '/upload_state.json') AS path", f"{doc} AS data", _NO_ENTRIES)
-    _put(rows.unionByName(c.where("c_custkey % 10 BETWEEN 2 AND 5").selectExpr("concat(c_custkey, '/request.json') AS path", f"{log} AS data", _NO_ENTRIES)), root)
+    rows = few.selectExpr("concat(c_custkey, '/upload_state.json') AS path", f"{doc} AS data")
+    _put(rows.unionByName(c.where("c_custkey % 10 BETWEEN 2 AND 5").selectExpr("concat(c_custkey, '/request.json') AS path", f"{log} AS data")), root)
     docs, ids = files.read_state_docs(spark, f"{root}/*/upload_state.json"), files.read_request_logs(spark, f"{root}/*/request.json")
     found = files.recovered_ids(docs, ids).withColumnRenamed("record_id", "recovered")
     return found.join(docs.select("site", "tries", "mode", "note"), "site", "left")
@@ -154,10 +188,10 @@ def s12(spark, d):
     root = _new(spark, "done")
     o = table(spark, d, "orders")
     done = o.groupBy(F.expr("o_orderkey % 5").alias("f")).agg(F.array_sort(F.collect_list(F.expr("concat(CASE WHEN o_orderkey % 2 = 0 THEN ' ' ELSE '' END, '/a/', o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN concat(chr(10), chr(10)) ELSE '' END)"))).alias("r"))
-    _put(done.selectExpr("concat('done/', f, '.txt') AS path", "array_join(r, chr(10)) AS data", _NO_ENTRIES), root)
+    _put(done.selectExpr("concat('done/', f, '.txt') AS path", "array_join(r, chr(10)) AS data"), root)
     line = "concat(CASE WHEN o_custkey % 7 = 0 THEN 'n/a' ELSE concat('SITE ', o_custkey % 1000) END, ',', CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE concat('\"failed', chr(10), o_orderkey, '\"') END)"
     results = o.agg(F.array_sort(F.collect_list(F.struct("o_orderkey", F.expr(line).alias("line")))).alias("r"))
-    _put(results.selectExpr("'results.csv' AS path", "concat('site,error_message', chr(10), array_join(r.line, chr(10))) AS data", _NO_ENTRIES), root)
+    _put(results.selectExpr("'results.csv' AS path", "concat('site,error_message', chr(10), array_join(r.line, chr(10))) AS data"), root)
     paths = files.read_done_set(spark, f"{root}/done").select(F.lit("done").alias("kind"), F.col("path").alias("key"), F.lit(None).cast("string").alias("message"))
     return paths.unionByName(files.read_results(spark, f"{root}/results.csv").select(F.lit("result").alias("kind"), "key", F.replace("error_message", F.lit("\n"), F.lit(" ")).alias("message")))
 
@@ -175,7 +209,7 @@ def s13(spark, d):
 def s17(spark, d):
     root = _new(spark, "config")
     rows = table(spark, d, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("names"))
-    _put(rows.selectExpr("concat(n_regionkey, '.json') AS path", "to_json(named_struct('project', n_regionkey, 'vocabulary', names), map('pretty', 'true')) AS data", _NO_ENTRIES), root)
+    _put(rows.selectExpr("concat(n_regionkey, '.json') AS path", "to_json(named_struct('project', n_regionkey, 'vocabulary', names), map('pretty', 'true')) AS data"), root)
     return files.read_config(spark, root).select("project", F.explode("vocabulary").alias("word"))
 
 
@@ -206,7 +240,7 @@ def v14(spark, d):
     root = _new(spark, "stuck")
     c = table(spark, d, "customer").where("c_custkey % 10 < 8").selectExpr("c_custkey AS c", "CAST(c_custkey AS STRING) AS site")
     doc = "CASE WHEN c % 7 = 0 THEN '{' WHEN c % 5 = 0 THEN '{\"number_of_tries\": 9}' ELSE concat('{\"record_id\": \"', c, '\", \"number_of_tries\": ', c % 6, '}') END"
-    _put(c.where("c % 10 < 6").selectExpr("concat(site, '/upload_state.json') AS path", f"{doc} AS data", _NO_ENTRIES), root)
+    _put(c.where("c % 10 < 6").selectExpr("concat(site, '/upload_state.json') AS path", f"{doc} AS data"), root)
     states = files.read_state_docs(spark, f"{root}/*/upload_state.json")
     zips = c.where("c % 11 > 0").selectExpr("site", "concat(site, '.zip') AS name").unionByName(c.where("c % 13 = 1").selectExpr("site", "concat(site, '_2024_01_01.zip') AS name"))
     rows = table(spark, d, "orders").selectExpr("CAST(o_custkey AS STRING) AS site", "concat(o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '.wav' ELSE '.txt' END) AS name", "o_orderkey AS k", "'completed' AS status")
