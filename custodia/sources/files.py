@@ -31,11 +31,13 @@ def read_archive_entries(paths: DataFrame) -> DataFrame:
                 short = path.rsplit("/", 1)[-1]
                 try:
                     with open_path(path) as f, zipfile.ZipFile(f) as z:
-                        rows = [(site, short, n, i.filename.rsplit("/", 1)[-1], i.file_size, i.compress_size, i.compress_type, i.CRC, None) for n, i in enumerate(z.infolist()) if not i.is_dir()]
+                        found, error = [(n, i) for n, i in enumerate(z.infolist()) if not i.is_dir()], None
                 except Exception as e:  # whatever an archive is, it must not end the scan of the others
-                    rows = [(site, short, None, None, None, None, None, None, f"unreadable: {type(e).__name__}")]
-                for at in range(0, len(rows), _ROWS):
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows[at : at + _ROWS]), _ENTRY)], names=["site", "archive", "n", "name", "bytes", "comp_bytes", "method", "crc", "error"])
+                    found, error = [], f"unreadable: {type(e).__name__}"
+                for at in range(0, len(found), _ROWS) if error is None else (0,):
+                    rows = [(site, short, n, i.filename.rsplit("/", 1)[-1], i.file_size, i.compress_size, i.compress_type, i.CRC, None) for n, i in found[at : at + _ROWS]]
+                    rows = rows or [(site, short, None, None, None, None, None, None, error)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), _ENTRY)], names=["site", "archive", "n", "name", "bytes", "comp_bytes", "method", "crc", "error"])
 
     return _dealt(paths).mapInArrow(run, "site string, archive string, n int, name string, bytes long, comp_bytes long, method int, crc long, error string")
 

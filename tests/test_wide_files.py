@@ -25,3 +25,14 @@ def test_archives_are_written_as_their_entries_come(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "t" / "none.zip") as z:
         assert z.namelist() == []
     assert sorted(os.listdir(tmp_path / "s")) == ["0.zip", "1.zip", "2.zip"]
+
+
+def test_entries_of_a_large_archive_come_in_batches(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for i in range(40000):
+            z.writestr(f"d/{i}", b"")
+    with zipfile.ZipFile(tmp_path / "none.zip", "w"):
+        pass
+    paths = spark.createDataFrame([("s", str(tmp_path / n)) for n in ("a.zip", "none.zip", "lost.zip")], "site string, path string")
+    got = files.read_archive_entries(paths).groupBy("archive", "error").agg(F.count("n").alias("n"), F.max("n").alias("last")).collect()
+    assert sorted((r.archive, r.error, r.n, r.last) for r in got) == [("a.zip", None, 40000, 39999), ("lost.zip", "unreadable: FileNotFoundError", 0, None)]
