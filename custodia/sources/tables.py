@@ -220,16 +220,17 @@ def _owned(f, start: int, end: int, length: int, begin: int, state: int, state_e
         tail, s, step = fresh, after, step * 4
 
 
-def read_dirty_csv(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def read_dirty_csv(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES, place: bool = False) -> DataFrame:
     """The rows of one table or many: UTF-8 with or without a mark, else cp1252, and ``;`` if the first line has no comma, both found for
     each file. Columns are those of all headers in the order of the files, without blanks around; of equal headers the last counts;
-    short rows have nulls, and what a row has beyond its header is left out, as are blank lines. ``table_notes`` tells what was found."""
+    short rows have nulls, and what a row has beyond its header is left out, as are blank lines. ``table_notes`` tells what was found. With
+    ``place``, a column _place orders the rows: by path, then as they stand."""
     ship(spark)
     heads = materialise(_heads(_files(spark, path)), "table-heads")
     first = heads.groupBy("header").agg(F.min("path").alias("path")).orderBy("path")
     names = list(dict.fromkeys(h for r in first.collect() for h in r["header"]))
     if not names:
-        return spark.range(0).drop("id")
+        return spark.range(0).select(F.struct(F.lit("").alias("path"), F.col("id").alias("start"), F.col("id").alias("n")).alias("_place")) if place else spark.range(0).drop("id")
     ranges = _ranges(heads, range_bytes)
     due = ranges.join(_states(ranges), ["path", "start"])
 
@@ -246,10 +247,17 @@ def read_dirty_csv(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTE
                 filled = (r for r in rows if r)
                 if start == begin:
                     next(filled, None)
-                yield from _batches(filled, at)
+                n = 0
+                for batch in _batches(filled, at):
+                    if place:
+                        many = len(batch)
+                        where = [pa.array([path] * many, pa.string()), pa.array([start] * many, pa.int64()), pa.array(range(n, n + many), pa.int64())]
+                        batch, n = batch.append_column("_place", pa.StructArray.from_arrays(where, names=["path", "start", "n"])), n + many
+                    yield batch
 
     schema = ", ".join("`{}` string".format(f"_{i}") for i in range(len(names)))
-    return due.mapInArrow(run, schema).toDF(*names)
+    found = due.mapInArrow(run, schema + (", _place struct<path: string, start: bigint, n: bigint>" if place else ""))
+    return found.toDF(*names, *(["_place"] if place else []))
 
 
 def _batches(rows, at: list[int]):

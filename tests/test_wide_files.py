@@ -36,3 +36,17 @@ def test_entries_of_a_large_archive_come_in_batches(spark, tmp_path):
     paths = spark.createDataFrame([("s", str(tmp_path / n)) for n in ("a.zip", "none.zip", "lost.zip")], "site string, path string")
     got = files.read_archive_entries(paths).groupBy("archive", "error").agg(F.count("n").alias("n"), F.max("n").alias("last")).collect()
     assert sorted((r.archive, r.error, r.n, r.last) for r in got) == [("a.zip", None, 40000, 39999), ("lost.zip", "unreadable: FileNotFoundError", 0, None)]
+
+
+def test_long_results_logs_are_read_by_many_tasks_in_their_order(spark, tmp_path):
+    from custodia.sources import tables
+
+    for part in range(3):
+        rows = "".join(f'SITE {i % 7},"failed\n{part * 5000 + i}"\n' if i % 5 else "n/a,x\n" for i in range(5000))
+        (tmp_path / f"part-{part}.csv").write_text("site,error_message\n" + rows)
+    rows = tables.read_dirty_csv(spark, str(tmp_path), 4096, place=True)
+    assert rows.select(F.spark_partition_id().alias("t")).distinct().count() > 10
+    got = [r.error_message for r in rows.where("site <> 'n/a'").orderBy("_place").collect()]
+    assert got == [f"failed\n{p * 5000 + i}" for p in range(3) for i in range(5000) if i % 5]
+    want = {f"{i % 7:03d}": f"failed\n{10000 + i}" for i in range(5000) if i % 5}
+    assert {r.key: r.error_message for r in files.read_results(spark, str(tmp_path), range_bytes=4096).collect()} == want
