@@ -49,6 +49,11 @@ def _put(rows: DataFrame, root: str) -> None:
     rows.mapInArrow(run, rows.schema).count()
 
 
+def _put_small(rows: DataFrame, root: str) -> None:
+    """Files of which there are many small ones: each costs an opening, so they are dealt evenly."""
+    _put(rows.repartition(rows.sparkSession.sparkContext.defaultParallelism * 4, "path"), root)
+
+
 def _pack(entries: DataFrame, root: str) -> None:
     """Tasks write (path of an archive below ``root``, name, data) as archives, their entries in the order of names; an empty name only says
     that the archive is there. Entries come sorted and each is written as it comes, so a task holds one entry's data beside a
@@ -238,7 +243,7 @@ def v14(spark, d):
     root = _new(spark, "stuck")
     c = table(spark, d, "customer").where("c_custkey % 10 < 8").selectExpr("c_custkey AS c", "CAST(c_custkey AS STRING) AS site")
     doc = "CASE WHEN c % 7 = 0 THEN '{' WHEN c % 5 = 0 THEN '{\"number_of_tries\": 9}' ELSE concat('{\"record_id\": \"', c, '\", \"number_of_tries\": ', c % 6, '}') END"
-    _put(c.where("c % 10 < 6").selectExpr("concat(site, '/upload_state.json') AS path", f"{doc} AS data"), root)
+    _put_small(c.where("c % 10 < 6").selectExpr("concat(site, '/upload_state.json') AS path", f"{doc} AS data"), root)
     states = files.read_state_docs(spark, f"{root}/*/upload_state.json")
     zips = c.where("c % 11 > 0").selectExpr("site", "concat(site, '.zip') AS name").unionByName(c.where("c % 13 = 1").selectExpr("site", "concat(site, '_2024_01_01.zip') AS name"))
     rows = table(spark, d, "orders").selectExpr("CAST(o_custkey AS STRING) AS site", "concat(o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '.wav' ELSE '.txt' END) AS name", "o_orderkey AS k", "'completed' AS status")

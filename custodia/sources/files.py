@@ -137,18 +137,55 @@ def require(df: DataFrame, columns: tuple[str, ...] | list[str]) -> DataFrame:
     return df
 
 
+def _docs(spark: SparkSession, glob: str) -> DataFrame:
+    """site, v: the JSON documents ``root/folders/name``, where folders and name may hold wildcards (``*``, ``?``, ``[]``). Tasks list the
+    folders and read the documents that they find; the driver sees none of them. v is null for what is no JSON or cannot be read."""
+    import fnmatch
+
+    root, folder, name = glob.rsplit("/", 2)
+    if any(c in root for c in "*?[{") or "{" in folder + name:
+        raise ValueError(f"wildcards belong in the last two parts of {glob}")
+    is_folder, is_name = (fnmatch.translate(p) for p in (folder, name))
+
+    def run(batches):
+        import re
+
+        folders, names = re.compile(is_folder), re.compile(is_name)
+        for b in batches:
+            sites, docs = [], []
+            for s, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if not folders.match(s) or not names.match(n):
+                    continue
+                try:
+                    with open_path(f"{root}/{s}/{n}") as f:
+                        data = f.read()
+                except OSError:
+                    data = None
+                sites.append(s)
+                docs.append(data)
+                if len(docs) == _DOCS:
+                    yield pa.RecordBatch.from_arrays([pa.array(sites, pa.string()), pa.array(docs, pa.binary())], names=["site", "doc"])
+                    sites, docs = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(sites, pa.string()), pa.array(docs, pa.binary())], names=["site", "doc"])
+
+    found = read_inventory(spark, root, names_only=True).select("site", "name").mapInArrow(run, "site string, doc binary")
+    return found.select("site", F.try_parse_json(F.col("doc").cast("string")).alias("v"))
+
+
+#: Documents of a batch.
+_DOCS = 1 << 10
+
+
 def read_state_docs(spark: SparkSession, glob: str) -> DataFrame:
     """One row for each document: site (its folder), record_id, tries, mode, note. One that is no JSON is a note."""
-    raw = spark.read.text(glob, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("site"), F.try_parse_json("value").alias("v"))
     at = lambda p: F.try_variant_get("v", p, "string")
     tries = F.coalesce(at("$.number_of_tries"), F.lit("0 (legacy)"))
-    return raw.select("site", at("$.record_id").alias("record_id"), F.when(F.col("v").isNotNull(), tries).alias("tries"), at("$.mode").alias("mode"), F.when(F.col("v").isNull(), "unreadable").alias("note"))
+    return _docs(spark, glob).select("site", at("$.record_id").alias("record_id"), F.when(F.col("v").isNotNull(), tries).alias("tries"), at("$.mode").alias("mode"), F.when(F.col("v").isNull(), "unreadable").alias("note"))
 
 
 def read_request_logs(spark: SparkSession, glob: str) -> DataFrame:
     """Site, record_id from request logs."""
-    raw = spark.read.text(glob, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)/[^/]+$", 1).alias("site"), F.try_parse_json("value").alias("v"))
-    return raw.select("site", F.coalesce(*(F.nullif(F.try_variant_get("v", p, "string"), F.lit("")) for p in ("$.record_id", "$.response.id", "$.id"))).alias("record_id"))
+    return _docs(spark, glob).select("site", F.coalesce(*(F.nullif(F.try_variant_get("v", p, "string"), F.lit("")) for p in ("$.record_id", "$.response.id", "$.id"))).alias("record_id"))
 
 
 def recovered_ids(state: DataFrame, logs: DataFrame) -> DataFrame:

@@ -19,8 +19,8 @@ BATCH = 8192
 
 
 class SiteFiles(DataSource):
-    """Format ``site_files``. Options: ``path``; ``slices``, into how many tasks the sites are dealt by a hash of their name; and
-    ``ranges``, into how many tasks the files of every site are dealt by a hash of theirs, for folders whose files take long
+    """Format ``site_files``. Options: ``path``; ``slices``, into how many tasks the sites are dealt by a hash of their name; ``names``, to
+    leave sizes and times unasked (they are null then); and ``ranges``, into how many tasks the files of every site are dealt by a hash of theirs, for folders whose files take long
     to stat. A folder's names are read by each of its tasks, sizes and times by one."""
 
     @classmethod
@@ -31,7 +31,7 @@ class SiteFiles(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return SiteReader(self.options["path"], int(self.options.get("slices", 32)), int(self.options.get("ranges", 1)))
+        return SiteReader(self.options["path"], int(self.options.get("slices", 32)), int(self.options.get("ranges", 1)), self.options.get("names", "false") == "true")
 
 
 class Slice(InputPartition):
@@ -42,8 +42,8 @@ class Slice(InputPartition):
 
 
 class SiteReader(DataSourceReader):
-    def __init__(self, path: str, slices: int, ranges: int) -> None:
-        self.path, self.slices, self.ranges = path.rstrip("/"), max(1, slices), max(1, ranges)
+    def __init__(self, path: str, slices: int, ranges: int, names: bool = False) -> None:
+        self.path, self.slices, self.ranges, self.names = path.rstrip("/"), max(1, slices), max(1, ranges), names
         self.sites: set[str] | None = None
         self.prefix = ""
         self.none = False
@@ -74,7 +74,7 @@ class SiteReader(DataSourceReader):
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         rows = []
         for site, folder in self._folders(partition):
-            for name, size, seconds, error in _entries(folder, lambda n: _dealt(n, self.ranges) == partition.part):
+            for name, size, seconds, error in _entries(folder, lambda n: _dealt(n, self.ranges) == partition.part, self.names):
                 rows.append((site, name, size, None if seconds is None else int(seconds // 1) * 1_000_000, name.startswith("._"), error))
                 if len(rows) == BATCH:
                     yield _batch(rows)
@@ -117,7 +117,7 @@ def _subfolders(root: str) -> Iterator[str]:
     yield from (i.base_name for i in store.get_file_info(fs.FileSelector(inner)) if i.type == fs.FileType.Directory)
 
 
-def _entries(folder: str, own) -> Iterator[tuple[str, int | None, float | None, str | None]]:
+def _entries(folder: str, own, names: bool = False) -> Iterator[tuple[str, int | None, float | None, str | None]]:
     """(name, bytes, seconds, error) of the regular files whose names are ``own``; a folder that is not there has none."""
     if (local := _local(folder)) is not None:
         try:
@@ -129,7 +129,9 @@ def _entries(folder: str, own) -> Iterator[tuple[str, int | None, float | None,
                 if not own(e.name):
                     continue
                 try:
-                    if e.is_file():
+                    if e.is_file() and names:
+                        yield e.name, None, None, None
+                    elif e.is_file():
                         at = e.stat()
                         yield e.name, at.st_size, at.st_mtime, None
                 except OSError as x:
@@ -143,12 +145,12 @@ def _entries(folder: str, own) -> Iterator[tuple[str, int | None, float | None,
             yield i.base_name, i.size, i.mtime.timestamp() if i.mtime else None, None
 
 
-def read_inventory(spark: SparkSession, root: str, slices: int | None = None, ranges: int = 1) -> DataFrame:
+def read_inventory(spark: SparkSession, root: str, slices: int | None = None, ranges: int = 1, names_only: bool = False) -> DataFrame:
     """Site, name, bytes, mtime (whole seconds), sidecar, error of the files one level under each site's folder. Hidden files are
     listed too; contents are not read. ``where`` on the site (=, IN, LIKE 'x%') reaches the source, and folders of
-    other sites are not looked at. A file whose size cannot be told has an error."""
+    other sites are not looked at. A file whose size cannot be told has an error. With ``names_only`` sizes and times may be left null."""
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SiteFiles)
     n = slices or max(1, min(1024, spark.sparkContext.defaultParallelism * 4))
-    return spark.read.format("site_files").option("slices", n).option("ranges", ranges).load(root)
+    return spark.read.format("site_files").option("slices", n).option("ranges", ranges).option("names", str(names_only).lower()).load(root)

@@ -50,3 +50,19 @@ def test_long_results_logs_are_read_by_many_tasks_in_their_order(spark, tmp_path
     assert got == [f"failed\n{p * 5000 + i}" for p in range(3) for i in range(5000) if i % 5]
     want = {f"{i % 7:03d}": f"failed\n{10000 + i}" for i in range(5000) if i % 5}
     assert {r.key: r.error_message for r in files.read_results(spark, str(tmp_path), range_bytes=4096).collect()} == want
+
+
+def test_state_documents_are_found_and_read_by_tasks(spark, tmp_path):
+    """Folders of any name; what is empty or no JSON is a note; other files are not looked into."""
+    for name, doc in (("S 1", '{"record_id": "a", "number_of_tries": 2}'), ("S%202", "{broken"), ("S3", ""), ("T4", '{"record_id": 7}')):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "upload_state.json").write_text(doc)
+        (tmp_path / name / "request.json").write_text('{"response": {"id": 5}}')
+    (tmp_path / "S5").mkdir()
+    docs = files.read_state_docs(spark, f"{tmp_path}/*/upload_state.json")
+    assert docs.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism * 4  # not one for every few files
+    assert sorted((r.site, r.record_id, r.tries, r.note) for r in docs.collect()) == [
+        ("S 1", "a", "2", None), ("S%202", None, None, "unreadable"), ("S3", None, None, "unreadable"), ("T4", "7", "0 (legacy)", None),
+    ]
+    assert sorted(r.site for r in files.read_state_docs(spark, f"{tmp_path}/S*/upload_*.json").collect()) == ["S 1", "S%202", "S3"]
+    assert {(r.site, r.record_id) for r in files.read_request_logs(spark, f"{tmp_path}/*/request.json").collect()} == {(s, "5") for s in ("S 1", "S%202", "S3", "T4")}
