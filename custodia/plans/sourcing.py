@@ -182,8 +182,8 @@ def s08(spark, d):
     log = "CASE c_custkey % 3 WHEN 0 THEN concat('{\"id\": \"', c_custkey, '\"}') WHEN 1 THEN concat('{\"response\": {\"id\": ', c_custkey, '}, \"record_id\": \"\"}') ELSE 'no json' END"
     few = c.where("c_custkey % 10 < 4")
     rows = few.selectExpr("concat(c_custkey, '/upload_state.json') AS path", f"{doc} AS data")
-    _put(rows.unionByName(c.where("c_custkey % 10 BETWEEN 2 AND 5").selectExpr("concat(c_custkey, '/request.json') AS path", f"{log} AS data")), root)
-    docs, ids = files.read_state_docs(spark, f"{root}/*/upload_state.json"), files.read_request_logs(spark, f"{root}/*/request.json")
+    _put_small(rows.unionByName(c.where("c_custkey % 10 BETWEEN 2 AND 5").selectExpr("concat(c_custkey, '/request.json') AS path", f"{log} AS data")), root)
+    docs, ids = materialise(files.read_state_docs(spark, f"{root}/*/upload_state.json"), "states"), files.read_request_logs(spark, f"{root}/*/request.json")
     found = files.recovered_ids(docs, ids).withColumnRenamed("record_id", "recovered")
     return found.join(docs.select("site", "tries", "mode", "note"), "site", "left")
 
