@@ -79,11 +79,13 @@ def manifest_problems(manifest: DataFrame, entries: DataFrame, archives: DataFra
     day = items.day_key("name")
     owned = manifest.withColumn("_day", day).withColumn("archive", F.when(F.col("_day").isNotNull(), F.concat_ws("_", "site", "_day"))).withColumn("_m", F.lit(True))
     there = entries.select("site", "archive", "name", F.col("bytes").alias("held"), F.lit(True).alias("_e"))
-    pairs = owned.join(there, ["site", "archive", "name"], "full_outer").select("site", "archive", F.col("_m").isNotNull().alias("listed"), F.col("_e").isNotNull().alias("there"), size_agrees().alias("agrees"), F.lit(False).alias("recorded"))
+    # a task sorts a bounded number of rows, however many there are
+    dealt = _dealing(manifest, entries)
+    pairs = dealt(owned, "site", "archive", "name").join(dealt(there, "site", "archive", "name"), ["site", "archive", "name"], "full_outer").select("site", "archive", F.col("_m").isNotNull().alias("listed"), F.col("_e").isNotNull().alias("there"), size_agrees().alias("agrees"), F.lit(False).alias("recorded"))
     # one pass over files and archives together: what a file means depends on whether its archive is recorded
     marks = archives.where("recorded").select("site", "archive", F.lit(False).alias("listed"), F.lit(False).alias("there"), F.lit(None).cast("boolean").alias("agrees"), F.lit(True).alias("recorded"))
     listed, there = F.col("listed"), F.col("there")
-    counted = pairs.unionByName(marks).groupBy("site", "archive").agg(
+    counted = dealt(pairs.unionByName(marks), "site", "archive").groupBy("site", "archive").agg(
         F.bool_or("recorded").alias("recorded"), F.count_if(listed).alias("listed"), F.count_if(listed & ~there).alias("missing"), F.count_if(there & ~listed).alias("extra"), F.count_if(listed & there & ~F.col("agrees")).alias("size_differs"),
     )
     sound, dated = F.col("recorded"), F.col("archive").isNotNull()
@@ -93,6 +95,17 @@ def manifest_problems(manifest: DataFrame, entries: DataFrame, archives: DataFra
     return counted.select("site", "archive", F.explode(found).alias("p")).select("site", "archive", "p.code", "p.n")
 
 
+#: Rows of a manifest and of entries that a task compares.
+TASK_ROWS = 1 << 18
+
+
+def _dealing(manifest: DataFrame, entries: DataFrame):
+    """How rows are dealt to tasks by columns: as Spark does where its partitions are enough for all rows, else on as many as they need."""
+    n = -(-manifest.select("site").unionByName(entries.select("site")).count() // TASK_ROWS)
+    enough = n <= int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lambda rows, *columns: rows if enough else rows.repartition(n, *columns)
+
+
 def size_agrees():
     """Exact bytes where the manifest has them, else its KB text."""
     return F.when(F.col("bytes").isNotNull(), F.col("bytes") == F.col("held")).otherwise(F.coalesce(items.size_kb_text("held") == F.col("kb_text"), F.lit(False)))

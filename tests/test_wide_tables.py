@@ -32,3 +32,22 @@ def test_sizes_near_a_tie_are_not_rounded_twice(spark):
 def test_suppliers_of_more_digits_are_in_scope_by_all_nine(spark, tmp_path):
     got = entry.queries()["p01_in_scope"](spark, supplier(spark, tmp_path, [6, 999, 1000, 1001])).collect()
     assert {r.s_suppkey: (r.key, r.in_scope) for r in got} == {6: ("006", True), 999: ("999", False), 1000: ("000001000", True), 1001: ("000001001", False)}
+
+
+def test_manifests_are_compared_by_tasks_of_bounded_rows(spark, monkeypatch):
+    from custodia.operators import integrity
+
+    monkeypatch.setattr(integrity, "TASK_ROWS", 100, raising=False)
+    name = "concat('20240101_', lpad(id, 6, '0'), '.wav')"
+    base = spark.range(2000)
+    manifest = base.where("id % 7 > 0").selectExpr("concat('s', id % 3) AS site", f"{name} AS name", "id AS bytes", "'' AS kb_text")
+    entries = base.where("id % 5 > 0").selectExpr("concat('s', id % 3) AS site", "concat('s', id % 3, '_2024_01_01') AS archive", f"{name} AS name", "id + CAST(id % 11 = 0 AS INT) AS bytes")
+    archives = entries.select("site", "archive").distinct().selectExpr("site", "archive", "true AS recorded")
+    problems = integrity.manifest_problems(manifest, entries, archives)
+    want = {}
+    for i in range(2000):
+        code = "missing" if i % 7 and not i % 5 else "extra" if i % 5 and not i % 7 else "size_differs" if i % 5 and i % 7 and not i % 11 else None
+        if code:
+            want[f"s{i % 3}", code] = want.get((f"s{i % 3}", code), 0) + 1
+    assert {(r.site, r.code): r.n for r in problems.collect()} == want
+    assert "REPARTITION_BY_NUM" in problems._jdf.queryExecution().toString()
